@@ -13,17 +13,18 @@ from pyspark.sql import functions as F
 from pomelo.functions import text as T
 
 
-def _valid_rows(df: DataFrame, key: str, value: str) -> DataFrame:
+def _valid_rows(df: DataFrame, key: str, value: str, extra: tuple[str, ...]) -> DataFrame:
     k = T.java_trim(key)
     return (df.where(F.col(value).isNotNull() & F.col(key).isNotNull() & (F.length(k) > 0))
-            .select(k.alias(key), F.col(value)))
+            .select(k.alias(key), *extra, F.col(value)))
 
 
-def explode_pairs(df: DataFrame, key: str = "entity_id", value: str = "feature") -> DataFrame:
-    """(key, "a:x b:y") -> (key, parts) for well-formed tokens only."""
-    rows = _valid_rows(df, key, value)
-    tok = rows.select(key, F.explode(T.split_tokens(value)).alias("token"))
-    return (tok.select(key, T.pair_parts("token").alias("parts"))
+def explode_pairs(df: DataFrame, key: str = "entity_id", value: str = "feature",
+                  extra: tuple[str, ...] = ()) -> DataFrame:
+    """(key, extra..., "a:x b:y") -> (key, extra..., parts), well-formed tokens only."""
+    rows = _valid_rows(df, key, value, extra)
+    tok = rows.select(key, *extra, F.explode(T.split_tokens(value)).alias("token"))
+    return (tok.select(key, *extra, T.pair_parts("token").alias("parts"))
             .where(T.is_pair(F.col("parts"))))
 
 
@@ -41,11 +42,11 @@ def explode_behavior_items(df: DataFrame, prefix_len: int = 2) -> DataFrame:
         "entity_id", T.strip_prefix(T.first_piece(F.col("parts")), prefix_len).alias("item_id"))
 
 
-def parse_feature_long(df: DataFrame, strict: bool = True) -> DataFrame:
-    """G3 in long form: (entity_id, "i:v ...") -> (entity_id, column_index, value)."""
+def parse_feature_long(df: DataFrame, strict: bool = True, extra: tuple[str, ...] = ()) -> DataFrame:
+    """G3 in long form: (entity_id, "i:v ...") -> (entity_id, extra..., column_index, value)."""
     p = F.col("parts")
-    return explode_pairs(df).select(
-        "entity_id", T.first_piece(p).cast("int").alias("column_index"),
+    return explode_pairs(df, extra=extra).select(
+        "entity_id", *extra, T.first_piece(p).cast("int").alias("column_index"),
         T.strict_double(T.second_piece(p), strict).alias("value"))
 
 

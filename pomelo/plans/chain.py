@@ -11,9 +11,16 @@ from __future__ import annotations
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from pomelo import params as P
+from pomelo.operators import compare as CP
 from pomelo.operators import features as FE
+from pomelo.operators import labels as LB
+from pomelo.operators import merge as MG
+from pomelo.operators import metrics as MT
+from pomelo.operators import model as MD
+from pomelo.operators import sets as ST
 from pomelo.operators import tokens as TK
 from pomelo.sources import fixtures as FX
 from pomelo.sources import tables as TB
@@ -66,3 +73,158 @@ class Chain:
     @cached_property
     def feature_long(self) -> DataFrame:
         return TK.parse_feature_long(self.features)
+
+    # --- label build (job 3.4) -----------------------------------------------
+    @cached_property
+    def labels_raw(self) -> DataFrame:
+        """User x device labels before de-duplication (the appended twin table)."""
+        return LB.user_device_labels(self.inp.users, self.inp.device_user, self.p.label_date)
+
+    @cached_property
+    def known_labels(self) -> DataFrame:
+        return LB.first_per_key(self.labels_raw)
+
+    @cached_property
+    def two_branch(self) -> DataFrame:
+        return LB.two_branch_labels(self.inp.users, self.inp.device_user, self.p.agreement_date)
+
+    @cached_property
+    def decoded(self) -> DataFrame:
+        return LB.decode_attributes(self.inp.coded_ids, self.p.reference_year, self.p.classes)
+
+    @cached_property
+    def device_labels(self) -> DataFrame:
+        return LB.labels_from_devices(self.decoded, self.inp.device_user, self.p.agreement_date,
+                                      self.p.classes)
+
+    @cached_property
+    def branch_labels(self) -> DataFrame:
+        return LB.first_per_key(self.two_branch)
+
+    # --- train / score / merge (job 3.2) -------------------------------------
+    @cached_property
+    def tagged(self) -> DataFrame:
+        return ST.tagged_sets(self.labels_raw, self.features)
+
+    @cached_property
+    def train(self) -> DataFrame:
+        return ST.train_rows(self.tagged)
+
+    @cached_property
+    def predict(self) -> DataFrame:
+        return ST.predict_rows(self.tagged)
+
+    @cached_property
+    def split(self) -> DataFrame:
+        return ST.hash_split(self.train, self.p.split_seed, self.p.train_fraction)
+
+    @cached_property
+    def weights(self) -> DataFrame:
+        return FX.fixed_weights(self.item_index)
+
+    @cached_property
+    def valid_scored(self) -> DataFrame:
+        valid = self.split.where(F.col("split") == "valid")
+        return MD.score_with_weights(valid, self.weights, self.p.top_k, self.p.threshold,
+                                     keep=("label",))
+
+    @cached_property
+    def f1_curve(self) -> DataFrame:
+        return MT.f1_by_threshold(self.valid_scored)
+
+    @cached_property
+    def best(self) -> DataFrame:
+        return MT.best_threshold(self.f1_curve)
+
+    @cached_property
+    def chosen_threshold(self):
+        """M7: best threshold (scalar subquery) or the default by flag."""
+        if self.p.select_threshold:
+            return self.best.select("threshold").scalar()
+        return F.lit(self.p.threshold)
+
+    @cached_property
+    def train_metrics(self) -> DataFrame:
+        """Default and selected threshold with hard AUC and accuracy (6 values)."""
+        at_default = MT.hard_metrics(self.valid_scored)
+        best_pred = self.valid_scored.withColumn(
+            "prediction", F.when(F.col("score") > self.best.select("threshold").scalar(), 1).otherwise(0))
+        at_best = MT.hard_metrics(best_pred)
+        return MT.one_row([
+            ("default_threshold", self.spark.range(1).select(F.lit(self.p.threshold).alias("t"))),
+            ("auc_default", at_default.select("auc")),
+            ("accuracy_default", at_default.select("accuracy")),
+            ("select_threshold", self.best.select("threshold")),
+            ("auc_select", at_best.select("auc")),
+            ("accuracy_select", at_best.select("accuracy")),
+        ])
+
+    @cached_property
+    def predict_scored(self) -> DataFrame:
+        return MD.score_with_weights(self.predict, self.weights, self.p.top_k, self.chosen_threshold)
+
+    @cached_property
+    def known_plus_predicted(self) -> DataFrame:
+        return MG.known_plus_predicted(self.train, self.predict_scored, self.p.classes)
+
+    @cached_property
+    def truth_latest(self) -> DataFrame:
+        """S3 + S4: newest partition of the trusted source (NULL classes kept)."""
+        return TB.latest_partition(self.inp.truth_full).select("entity_id", "class_name")
+
+    @cached_property
+    def truth_part(self) -> DataFrame:
+        """Trusted entities absent from the known labels, one class each."""
+        return (MG.trusted_one_per_key(self.truth_latest)
+                .join(self.known_labels.select("entity_id"), "entity_id", "left_anti"))
+
+    def accuracy_against(self, truth: DataFrame, pred: DataFrame) -> DataFrame:
+        """J11 + A13 (avg form): (accuracy, n) over truth x predictions."""
+        j = truth.select("entity_id", F.col("class_name").alias("t")).join(
+            pred.select("entity_id", F.col("class_name").alias("p")), "entity_id")
+        return j.agg(MT.accuracy_avg(j, "t", "p").alias("accuracy"), F.count(F.lit(1)).alias("n"))
+
+    @cached_property
+    def eval_metrics(self) -> DataFrame:
+        full = self.accuracy_against(self.truth_latest, self.known_plus_predicted)
+        part = self.accuracy_against(self.truth_part, self.known_plus_predicted)
+        return MT.one_row([("accuracy_full", full.select("accuracy")),
+                           ("accuracy_part", part.select("accuracy"))])
+
+    @cached_property
+    def merged(self) -> DataFrame:
+        return MG.override_merge(self.known_plus_predicted, self.truth_latest)
+
+    def class_counts(self, df: DataFrame) -> DataFrame:
+        c = self.p.classes
+        return MT.class_balance(df, "class_name", c.positive, c.negative)
+
+    @cached_property
+    def run_record(self) -> DataFrame:
+        """The 14-value run record, one row."""
+        tm, pc, mc, ev = (self.train_metrics, self.class_counts(self.known_plus_predicted),
+                          self.class_counts(self.merged), self.eval_metrics)
+        return MT.one_row([
+            ("default_threshold", tm.select("default_threshold")),
+            ("auc_default", tm.select("auc_default")),
+            ("accuracy_default", tm.select("accuracy_default")),
+            ("select_threshold", tm.select("select_threshold")),
+            ("auc_select", tm.select("auc_select")),
+            ("accuracy_select", tm.select("accuracy_select")),
+            ("pred_pos", pc.select("n_pos")), ("pred_neg", pc.select("n_neg")),
+            ("pred_ratio", pc.select("ratio")),
+            ("merged_pos", mc.select("n_pos")), ("merged_neg", mc.select("n_neg")),
+            ("merged_ratio", mc.select("ratio")),
+            ("accuracy_full", ev.select("accuracy_full")),
+            ("accuracy_part", ev.select("accuracy_part")),
+        ])
+
+    # --- validation and comparison (job 3.3) ---------------------------------
+    @cached_property
+    def stored_latest(self) -> DataFrame:
+        """The stored predictions of the newest snapshot."""
+        return TB.day_partition(self.inp.predictions, self.p.snapshot_new).select("entity_id", "class_name")
+
+    @cached_property
+    def snapshot_changes(self) -> DataFrame:
+        return CP.snapshot_changes(self.inp.predictions, self.p.snapshot_new, self.p.snapshot_old)

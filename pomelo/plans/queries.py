@@ -10,9 +10,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from pomelo.functions.dates import normalise_run_date
+from pomelo.operators import compare as CP
 from pomelo.operators import features as FE
+from pomelo.operators import merge as MG
+from pomelo.operators import metrics as MT
+from pomelo.operators import sets as ST
 from pomelo.plans.chain import Chain
+from pomelo.sources import fixtures as FX
+from pomelo.sources import tables as TB
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,6 +57,161 @@ def q_feature_parse_long(spark, sf_dir):
     return _chain(spark, sf_dir).feature_long
 
 
+def q_labels_from_users(spark, sf_dir):
+    return _chain(spark, sf_dir).known_labels
+
+
+def q_labels_two_branch_union(spark, sf_dir):
+    return MT.group_count(_chain(spark, sf_dir).two_branch, "label")
+
+
+def q_labels_from_devices(spark, sf_dir):
+    return _chain(spark, sf_dir).device_labels
+
+
+def q_label_balance(spark, sf_dir):
+    b = MT.class_balance(_chain(spark, sf_dir).known_labels)
+    return b.withColumn("ratio", F.round("ratio", 6))
+
+
+def q_decode_attributes(spark, sf_dir):
+    return _chain(spark, sf_dir).decoded
+
+
+def q_bucket_distribution(spark, sf_dir):
+    return MT.distribution(_chain(spark, sf_dir).decoded, "age_range")
+
+
+def q_value_counts(spark, sf_dir):
+    return MT.group_count(_chain(spark, sf_dir).decoded, "age")
+
+
+def q_run_date_normalise(spark, sf_dir):
+    """D1 over date strings built from the order dates, with day numbers
+    pushed past month ends so the lenient roll-over is exercised."""
+    o = FX.read_table(spark, sf_dir, "orders")
+    day = F.dayofmonth("o_orderdate") + (F.col("o_orderkey") % 4).cast("int") * 3
+    raw = F.concat(F.date_format("o_orderdate", "yyyyMM"), F.lpad(day.cast("string"), 2, "0"))
+    return o.select("o_orderkey", raw.alias("raw_date")).withColumn("run_date", normalise_run_date("raw_date"))
+
+
+def q_latest_partition_scan(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    return c.truth_latest.select("entity_id", F.col("class_name").alias("class_trusted"))
+
+
+def q_three_way_label_pred(spark, sf_dir):
+    from pomelo.operators.labels import three_way
+    c = _chain(spark, sf_dir)
+    return three_way(c.decoded, c.inp.device_user, c.inp.predictions, c.p.label_date, c.p.snapshot_new)
+
+
+def q_train_set(spark, sf_dir):
+    return _chain(spark, sf_dir).train
+
+
+def q_predict_set(spark, sf_dir):
+    return _chain(spark, sf_dir).predict
+
+
+def q_set_cardinality_report(spark, sf_dir):
+    return ST.cardinality_report(_chain(spark, sf_dir).tagged)
+
+
+def q_hash_split(spark, sf_dir):
+    return _chain(spark, sf_dir).split.select("entity_id", "label", "split")
+
+
+def _rounded(df: DataFrame, *cols: str) -> DataFrame:
+    for c in cols:
+        df = df.withColumn(c, F.round(c, 6))
+    return df
+
+
+def q_score_linear(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    from pomelo.operators.model import score_with_weights
+    s = score_with_weights(c.predict, c.weights, c.p.top_k, c.p.threshold)
+    return _rounded(s, "score")
+
+
+def q_f1_by_threshold(spark, sf_dir):
+    return _rounded(_chain(spark, sf_dir).f1_curve, "threshold", "f1")
+
+
+def q_best_threshold(spark, sf_dir):
+    return _rounded(_chain(spark, sf_dir).best, "threshold", "f1")
+
+
+def q_hard_auc_accuracy(spark, sf_dir):
+    m = _chain(spark, sf_dir).train_metrics
+    return _rounded(m, *m.columns)
+
+
+def q_accuracy_avg(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    return _rounded(c.accuracy_against(c.truth_part, c.stored_latest), "accuracy")
+
+
+def q_eval_full_and_part(spark, sf_dir):
+    m = _chain(spark, sf_dir).eval_metrics
+    return _rounded(m, *m.columns)
+
+
+def q_label_agreement(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    return MT.agreement(c.device_labels, c.branch_labels)
+
+
+def q_agreed_rows(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    return MG.agreed_rows(c.device_labels, c.branch_labels)
+
+
+def q_left_only_rows(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    return MG.left_only_rows(c.device_labels, c.branch_labels, c.p.classes)
+
+
+def q_known_plus_predicted(spark, sf_dir):
+    return _chain(spark, sf_dir).known_plus_predicted
+
+
+def q_override_merge(spark, sf_dir):
+    return _chain(spark, sf_dir).merged
+
+
+def q_snapshot_changes(spark, sf_dir):
+    return _chain(spark, sf_dir).snapshot_changes
+
+
+# The listed items of the drift check (a parameter list of item ids).
+DRIFT_ITEMS = [("7",), ("42",), ("137",), ("1009",)]
+
+
+def q_changed_item_share(spark, sf_dir):
+    c = _chain(spark, sf_dir)
+    items = TB.literal_frame(spark, DRIFT_ITEMS, "item_id string")
+    beh_new = c.behavior_items  # behaviour of the run date for both snapshots
+    return CP.changed_item_share(c.snapshot_changes, beh_new, beh_new, items, len(DRIFT_ITEMS),
+                                 c.p.classes.negative)
+
+
+def q_run_record(spark, sf_dir):
+    r = _chain(spark, sf_dir).run_record
+    return _rounded(r, *r.columns)
+
+
+def q_validation_run(spark, sf_dir):
+    """The validation job: stored latest predictions vs both truth sources."""
+    c = _chain(spark, sf_dir)
+    full = c.accuracy_against(c.truth_latest, c.stored_latest)
+    part = c.accuracy_against(c.truth_part, c.stored_latest)
+    row = MT.one_row([("accuracy_full", full.select("accuracy")),
+                      ("accuracy_part", part.select("accuracy"))])
+    return _rounded(row.select(F.lit(c.p.snapshot_new).alias("date"), "*"), "accuracy_full", "accuracy_part")
+
+
 QUERIES: dict[str, Query] = {
     "behavior_explode": q_behavior_explode,
     "behavior_items_stripped": q_behavior_items_stripped,
@@ -57,4 +220,33 @@ QUERIES: dict[str, Query] = {
     "item_index": q_item_index,
     "feature_strings": q_feature_strings,
     "feature_parse_long": q_feature_parse_long,
+    "labels_from_users": q_labels_from_users,
+    "labels_two_branch_union": q_labels_two_branch_union,
+    "labels_from_devices": q_labels_from_devices,
+    "label_balance": q_label_balance,
+    "decode_attributes": q_decode_attributes,
+    "bucket_distribution": q_bucket_distribution,
+    "value_counts": q_value_counts,
+    "run_date_normalise": q_run_date_normalise,
+    "latest_partition_scan": q_latest_partition_scan,
+    "three_way_label_pred": q_three_way_label_pred,
+    "train_set": q_train_set,
+    "predict_set": q_predict_set,
+    "set_cardinality_report": q_set_cardinality_report,
+    "hash_split": q_hash_split,
+    "score_linear": q_score_linear,
+    "f1_by_threshold": q_f1_by_threshold,
+    "best_threshold": q_best_threshold,
+    "hard_auc_accuracy": q_hard_auc_accuracy,
+    "accuracy_avg": q_accuracy_avg,
+    "eval_full_and_part": q_eval_full_and_part,
+    "label_agreement": q_label_agreement,
+    "agreed_rows": q_agreed_rows,
+    "left_only_rows": q_left_only_rows,
+    "known_plus_predicted": q_known_plus_predicted,
+    "override_merge": q_override_merge,
+    "snapshot_changes": q_snapshot_changes,
+    "changed_item_share": q_changed_item_share,
+    "run_record": q_run_record,
+    "validation_run": q_validation_run,
 }
