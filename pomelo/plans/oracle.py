@@ -259,6 +259,10 @@ def statement(final: str, *deps: str) -> str:
     return f"WITH {ctes}\n{final}"
 
 
+piece("dim", """
+    SELECT CASE WHEN length(item_code) > 2 THEN substr(item_code, 3) ELSE item_code END AS code,
+           item_name AS name, column_index FROM item_index""", "item_index")
+
 RUN_RECORD_COLS = ["default_threshold", "auc_default", "accuracy_default", "select_threshold",
                    "auc_select", "accuracy_select", "pred_pos", "pred_neg", "pred_ratio",
                    "merged_pos", "merged_neg", "merged_ratio", "accuracy_full", "accuracy_part"]
@@ -274,9 +278,7 @@ def oracle_statements() -> dict[str, str]:
         "behavior_items_stripped": statement("SELECT entity_id, item_id FROM beh_items", "beh_items"),
         "item_topk": statement("SELECT item_code, item_name, install_num FROM topk", "topk"),
         "active_items_semi": statement("SELECT item_code, item_name, install_num FROM active", "active"),
-        "item_index": statement(
-            "SELECT CASE WHEN length(item_code) > 2 THEN substr(item_code, 3) ELSE item_code END AS code, "
-            "item_name AS name, column_index FROM item_index", "item_index"),
+        "item_index": statement("SELECT code, name, column_index FROM dim", "dim"),
         "feature_strings": statement("SELECT entity_id, feature FROM features", "features"),
         "feature_parse_long": statement("SELECT entity_id, column_index, value FROM feature_long",
                                         "feature_long"),
@@ -376,4 +378,29 @@ def oracle_statements() -> dict[str, str]:
                    ROUND((SELECT accuracy FROM ({acc('truth_latest', 'stored_latest')}) a), 6) AS accuracy_full,
                    ROUND((SELECT accuracy FROM ({acc('truth_part', 'stored_latest')}) a), 6) AS accuracy_part""",
             "truth_latest", "truth_part", "stored_latest"),
+        "partition_overwrite_roundtrip": statement("""
+            SELECT code, name, column_index, '20171027' AS stat_date FROM dim
+            UNION ALL
+            SELECT code, name, column_index, '""" + D + """' AS stat_date FROM dim""", "dim"),
+        "table_overwrite_append_roundtrip": statement("""
+            SELECT entity_id, label FROM known_labels
+            UNION ALL
+            SELECT a.entity_id, a.label FROM device_labels a JOIN branch_labels b
+            ON a.entity_id = b.entity_id WHERE a.label = b.label""",
+            "known_labels", "device_labels", "branch_labels"),
+        "null_format_roundtrip": statement(
+            "SELECT entity_id, class_name, stat_date FROM truth_full", "truth_full"),
+        "publish_results": statement(f"""
+            SELECT 'prediction_day' AS sink, COUNT(*) AS n_rows,
+                   CAST(SUM(CASE WHEN class_name = '{POS}' THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
+                   CAST(SUM(CASE WHEN class_name = '{NEG}' THEN 1 ELSE 0 END) AS BIGINT) AS n_neg
+            FROM merged
+            UNION ALL
+            SELECT 'latest', COUNT(*),
+                   CAST(SUM(CASE WHEN class_name = '{POS}' THEN 1 ELSE 0 END) AS BIGINT),
+                   CAST(SUM(CASE WHEN class_name = '{NEG}' THEN 1 ELSE 0 END) AS BIGINT)
+            FROM merged
+            UNION ALL
+            SELECT 'metrics', 1, CAST(merged_pos AS BIGINT), CAST(merged_neg AS BIGINT) FROM run_record""",
+            "merged", "run_record"),
     }

@@ -18,6 +18,7 @@ from pomelo.operators import features as FE
 from pomelo.operators import merge as MG
 from pomelo.operators import metrics as MT
 from pomelo.operators import sets as ST
+from pomelo.plans import roundtrips as RT
 from pomelo.plans.chain import Chain
 from pomelo.sources import fixtures as FX
 from pomelo.sources import tables as TB
@@ -212,6 +213,24 @@ def q_validation_run(spark, sf_dir):
     return _rounded(row.select(F.lit(c.p.snapshot_new).alias("date"), "*"), "accuracy_full", "accuracy_part")
 
 
+def q_lr_fit_predict(spark, sf_dir):
+    """M1 + M4 + M8: fit on the train part of the split, score the predict set."""
+    from pomelo.operators import model as MD
+    c = _chain(spark, sf_dir)
+    train = c.split.where(F.col("split") == "train")
+    model = MD.fit(train, c.p.top_k, MD.lbfgs_estimator())
+    return MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
+
+
+def q_lr_fit_intercept(spark, sf_dir):
+    """M5 + M12: the ML-API fit (intercept, 1000 iterations); loss history."""
+    from pomelo.operators import model as MD
+    c = _chain(spark, sf_dir)
+    train = c.split.where(F.col("split") == "train")
+    model = MD.fit(train, c.p.top_k, MD.ml_estimator())
+    return MD.loss_history(spark, model)
+
+
 QUERIES: dict[str, Query] = {
     "behavior_explode": q_behavior_explode,
     "behavior_items_stripped": q_behavior_items_stripped,
@@ -249,4 +268,10 @@ QUERIES: dict[str, Query] = {
     "changed_item_share": q_changed_item_share,
     "run_record": q_run_record,
     "validation_run": q_validation_run,
+    "partition_overwrite_roundtrip": RT.partition_overwrite_roundtrip,
+    "table_overwrite_append_roundtrip": RT.table_overwrite_append_roundtrip,
+    "null_format_roundtrip": RT.null_format_roundtrip,
+    "publish_results": RT.publish_results,
+    "lr_fit_predict": q_lr_fit_predict,
+    "lr_fit_intercept": q_lr_fit_intercept,
 }
