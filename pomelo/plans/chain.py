@@ -23,19 +23,38 @@ from pomelo.operators import model as MD
 from pomelo.operators import sets as ST
 from pomelo.operators import tokens as TK
 from pomelo.sources import fixtures as FX
+from pomelo.session import ensure_checkpoint_dir
 from pomelo.sources import tables as TB
 
 
 class Chain:
-    def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams):
+    """Lazy plan of a daily run.
+
+    ``materialize=True`` checkpoints the nodes that several later steps read
+    (feature rows, the split training set, the scored sets, the prediction
+    set) into the shared checkpoint folder — the points where the reference
+    caches or writes a table.  Multi-output plans (run record, publishing)
+    then read each of them once instead of recomputing the whole run per
+    branch, and a lost executor restarts from the checkpoint.
+    """
+
+    def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
+                 materialize: bool = False):
         self.spark = spark
         self.inp = inputs
         self.p = params
+        self.materialize = materialize
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
-                      params: P.RunParams = P.QUERY_PARAMS) -> "Chain":
-        return cls(spark, FX.load_inputs(spark, sf_dir), params)
+                      params: P.RunParams = P.QUERY_PARAMS, materialize: bool = False) -> "Chain":
+        return cls(spark, FX.load_inputs(spark, sf_dir), params, materialize)
+
+    def _m(self, df: DataFrame) -> DataFrame:
+        if not self.materialize:
+            return df
+        ensure_checkpoint_dir(self.spark)
+        return df.checkpoint(eager=True)
 
     # --- feature build (job 3.1) ---------------------------------------------
     @cached_property
@@ -68,7 +87,7 @@ class Chain:
 
     @cached_property
     def features(self) -> DataFrame:
-        return FE.feature_rows(self.tokens, self.item_index, self.p.top_k)
+        return self._m(FE.feature_rows(self.tokens, self.item_index, self.p.top_k))
 
     @cached_property
     def feature_long(self) -> DataFrame:
@@ -116,7 +135,7 @@ class Chain:
 
     @cached_property
     def split(self) -> DataFrame:
-        return ST.hash_split(self.train, self.p.split_seed, self.p.train_fraction)
+        return self._m(ST.hash_split(self.train, self.p.split_seed, self.p.train_fraction))
 
     @cached_property
     def weights(self) -> DataFrame:
@@ -125,8 +144,8 @@ class Chain:
     @cached_property
     def valid_scored(self) -> DataFrame:
         valid = self.split.where(F.col("split") == "valid")
-        return MD.score_with_weights(valid, self.weights, self.p.top_k, self.p.threshold,
-                                     keep=("label",))
+        return self._m(MD.score_with_weights(valid, self.weights, self.p.top_k, self.p.threshold,
+                                             keep=("label",)))
 
     @cached_property
     def f1_curve(self) -> DataFrame:
@@ -165,7 +184,7 @@ class Chain:
 
     @cached_property
     def known_plus_predicted(self) -> DataFrame:
-        return MG.known_plus_predicted(self.train, self.predict_scored, self.p.classes)
+        return self._m(MG.known_plus_predicted(self.train, self.predict_scored, self.p.classes))
 
     @cached_property
     def truth_latest(self) -> DataFrame:
@@ -193,7 +212,7 @@ class Chain:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return MG.override_merge(self.known_plus_predicted, self.truth_latest)
+        return self._m(MG.override_merge(self.known_plus_predicted, self.truth_latest))
 
     def class_counts(self, df: DataFrame) -> DataFrame:
         c = self.p.classes

@@ -37,7 +37,6 @@ from pomelo.operators import merge as MG
 from pomelo.operators import metrics as MT
 from pomelo.operators import model as MD
 from pomelo.plans.chain import Chain
-from pomelo.session import ensure_checkpoint_dir
 from pomelo.sinks import tables as SK
 from pomelo.sources import fixtures as FX
 
@@ -66,18 +65,9 @@ class FittedChain(Chain):
     """The daily run with a fitted model instead of fixed weights."""
 
     def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
-                 estimator: LogisticRegression | None = None, checkpoint: bool = True):
-        super().__init__(spark, inputs, params)
+                 estimator: LogisticRegression | None = None, materialize: bool = True):
+        super().__init__(spark, inputs, params, materialize)
         self.estimator = estimator or MD.lbfgs_estimator()
-        self.use_checkpoint = checkpoint
-
-    @cached_property
-    def split(self) -> DataFrame:
-        s = super().split
-        if self.use_checkpoint:
-            ensure_checkpoint_dir(self.spark)
-            s = s.checkpoint(eager=True)
-        return s
 
     @cached_property
     def model(self) -> LogisticRegressionModel:
@@ -86,7 +76,7 @@ class FittedChain(Chain):
     @cached_property
     def valid_scored(self) -> DataFrame:
         valid = self.split.where(F.col("split") == "valid")
-        return MD.score_with_model(self.model, valid, self.p.top_k, self.p.threshold)
+        return self._m(MD.score_with_model(self.model, valid, self.p.top_k, self.p.threshold))
 
     @cached_property
     def predict_scored(self) -> DataFrame:

@@ -68,7 +68,7 @@ def null_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 def publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K9: run the three sinks of a run and summarise what each holds:
     (sink, n_rows, n_pos, n_neg)."""
-    c = Chain.from_testdata(spark, sf_dir)
+    c = Chain.from_testdata(spark, sf_dir, materialize=True)
     pred, latest, metrics = _name("pred"), _name("latest"), _name("metrics")
     SK.create_partitioned_table(spark, pred, "entity_id STRING, class_name STRING",
                                 scratch_path(spark, pred), fmt="parquet")
