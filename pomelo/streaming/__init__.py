@@ -1,0 +1,7 @@
+"""Streaming: none.
+
+The reference runs daily batches addressed by a date argument; it has no
+stream source, watermark, window or state.  Nothing is built here.  A daily
+run is ``plans.jobs`` called with a ``RunParams(run_date=...)``; the day
+partition scans and partition overwrites make each run idempotent.
+"""
