@@ -7,9 +7,9 @@ Plan shape (the behaviour table is the only large input):
 * active items: tokens are semi-joined to the *broadcast* top-K codes (narrow),
   then de-duplicated (partial aggregation leaves <= K codes per task).
 * numbering: one window over <= K rows.
-* feature rows: tokens x broadcast index (narrow), then ``collect_set`` per
-  entity.  ``collect_set`` combines map-side and its result is bounded by K
-  per entity, so a hot entity cannot grow one group beyond K ints.
+* feature rows: tokens x broadcast index (narrow), (entity, column) pairs
+  de-duplicated (hashing both columns splits a hot entity over many tasks),
+  then one ``collect_list`` per entity over at most K rows.
 """
 
 from __future__ import annotations
@@ -82,8 +82,12 @@ def feature_rows(tokens: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """
     idx = bounded_broadcast(index.select("item_code", "column_index"), k)
     joined = tokens.select("entity_id", "item_code").join(idx, "item_code")
-    return (joined.groupBy("entity_id")
-            .agg(F.array_sort(F.collect_set("column_index")).alias("idx"))
+    # De-duplicate (entity, column) pairs first: that shuffle hashes both
+    # columns, so an entity holding a third of all rows is spread over many
+    # tasks; the per-entity collect then sees at most K rows per entity.
+    pairs = joined.select("entity_id", "column_index").distinct()
+    return (pairs.groupBy("entity_id")
+            .agg(F.array_sort(F.collect_list("column_index")).alias("idx"))
             .select("entity_id",
                     F.array_join(F.transform("idx", lambda x: F.concat(x.cast("string"), F.lit(":1"))),
                                  " ").alias("feature")))
