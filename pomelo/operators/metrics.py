@@ -6,10 +6,10 @@ instead of one action per count.  Ratios use ``try_divide`` so x/0 is NULL
 
 The F1-by-threshold curve (M6) needs a running sum over all distinct scores
 in descending order.  A global window would move every distinct score to
-one task, so it is computed as a distributed prefix sum: range-partition the
-distinct scores, run the window inside each range, and add the totals of the
-ranges above (a table with one row per range, bounded by the partition
-count).
+one task, so it is computed as a distributed prefix sum: the distinct scores
+are cut into ranges at approximate quantiles, a window runs inside each
+range, and the totals of the ranges above are added from a table with one
+row per range (bounded by the range count).
 """
 
 from __future__ import annotations
@@ -84,8 +84,16 @@ def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label
          .agg(count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("cnt")))
     spark = scored.sparkSession
     n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (g.repartitionByRange(n_ranges, F.col("threshold").desc())
-              .withColumn("rng", F.spark_partition_id()))
+    # Range boundaries: approximate quantiles of the distinct scores (one
+    # partially aggregated pass, a scalar subquery of n_ranges - 1 values).
+    # A score's range is n minus its position among the sorted boundaries,
+    # i.e. the number of boundaries not below it: range 0 holds the highest
+    # scores and equal scores always share a range.
+    probs = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
+    bounds = g.select(F.percentile_approx("threshold", probs, 10000)).scalar()
+    t = F.col("threshold")
+    pos = F.array_position(F.sort_array(F.concat(bounds, F.array(t))), t)
+    ranged = g.withColumn("rng", (F.lit(len(probs) + 1) - pos).cast("int"))
     local = Window.partitionBy("rng").orderBy(F.col("threshold").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranged = (ranged.withColumn("tp_local", F.sum("pos").over(local))

@@ -31,9 +31,9 @@ class Chain:
     """Lazy plan of a daily run.
 
     ``materialize=True`` checkpoints the nodes that several later steps read
-    (feature rows, the split training set, the scored sets, the prediction
-    set) into the shared checkpoint folder — the points where the reference
-    caches or writes a table.  Multi-output plans (run record, publishing)
+    (the item index, the tagged train/predict set, the scored validation
+    set, the prediction set) into the shared checkpoint folder — the points
+    where the reference writes a table or caches.  Multi-output plans (run record, publishing)
     then read each of them once instead of recomputing the whole run per
     branch, and a lost executor restarts from the checkpoint.
     """
@@ -83,11 +83,11 @@ class Chain:
 
     @cached_property
     def item_index(self) -> DataFrame:
-        return FE.number_items(self.active)
+        return self._m(FE.number_items(self.active))
 
     @cached_property
     def features(self) -> DataFrame:
-        return self._m(FE.feature_rows(self.tokens, self.item_index, self.p.top_k))
+        return FE.feature_rows(self.tokens, self.item_index, self.p.top_k)
 
     @cached_property
     def feature_long(self) -> DataFrame:
@@ -123,7 +123,7 @@ class Chain:
     # --- train / score / merge (job 3.2) -------------------------------------
     @cached_property
     def tagged(self) -> DataFrame:
-        return ST.tagged_sets(self.labels_raw, self.features)
+        return self._m(ST.tagged_sets(self.labels_raw, self.features))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -135,7 +135,7 @@ class Chain:
 
     @cached_property
     def split(self) -> DataFrame:
-        return self._m(ST.hash_split(self.train, self.p.split_seed, self.p.train_fraction))
+        return ST.hash_split(self.train, self.p.split_seed, self.p.train_fraction)
 
     @cached_property
     def weights(self) -> DataFrame:

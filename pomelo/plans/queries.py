@@ -142,11 +142,11 @@ def q_score_linear(spark, sf_dir):
 
 
 def q_f1_by_threshold(spark, sf_dir):
-    return _rounded(_chain(spark, sf_dir).f1_curve, "threshold", "f1")
+    return _rounded(_mchain(spark, sf_dir).f1_curve, "threshold", "f1")
 
 
 def q_best_threshold(spark, sf_dir):
-    return _rounded(_chain(spark, sf_dir).best, "threshold", "f1")
+    return _rounded(_mchain(spark, sf_dir).best, "threshold", "f1")
 
 
 def q_hard_auc_accuracy(spark, sf_dir):
@@ -221,7 +221,7 @@ def q_validation_run(spark, sf_dir):
 def q_lr_fit_predict(spark, sf_dir):
     """M1 + M4 + M8: fit on the train part of the split, score the predict set."""
     from pomelo.operators import model as MD
-    c = _chain(spark, sf_dir)
+    c = _mchain(spark, sf_dir)
     train = c.split.where(F.col("split") == "train")
     model = MD.fit(train, c.p.top_k, MD.lbfgs_estimator())
     return MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
@@ -230,7 +230,7 @@ def q_lr_fit_predict(spark, sf_dir):
 def q_lr_fit_intercept(spark, sf_dir):
     """M5 + M12: the ML-API fit (intercept, 1000 iterations); loss history."""
     from pomelo.operators import model as MD
-    c = _chain(spark, sf_dir)
+    c = _mchain(spark, sf_dir)
     train = c.split.where(F.col("split") == "train")
     model = MD.fit(train, c.p.top_k, MD.ml_estimator())
     return MD.loss_history(spark, model)
