@@ -4,12 +4,13 @@ Plan shape (the behaviour table is the only large input):
 
 * top-K items: ``orderBy(...).limit(K)`` -> TakeOrderedAndProject, every task
   keeps at most K rows; the result is bounded by K by construction.
-* active items: tokens are semi-joined to the *broadcast* top-K codes (narrow),
-  then de-duplicated (partial aggregation leaves <= K codes per task).
+* pairs: tokens semi-joined to the *broadcast* top-K codes (narrow), then
+  distinct (entity, code) pairs — one shuffle hashing both columns, so a hot
+  entity is split over many tasks; this exchange is shared by the next two.
+* active items: distinct codes of the pairs (<= K), semi-joined to top-K.
 * numbering: one window over <= K rows.
-* feature rows: tokens x broadcast index (narrow), (entity, column) pairs
-  de-duplicated (hashing both columns splits a hot entity over many tasks),
-  then one ``collect_list`` per entity over at most K rows.
+* feature rows: pairs x broadcast index (narrow), then one ``collect_list``
+  per entity over at most K rows.
 """
 
 from __future__ import annotations
@@ -42,15 +43,30 @@ def top_k_items(items: DataFrame, k: int) -> DataFrame:
     return items.orderBy(*topk_order()).limit(k)
 
 
-def active_items(topk: DataFrame, tokens: DataFrame, k: int) -> DataFrame:
-    """A7 + J2: top-K items whose code occurs in the behaviour (left semi).
+def topk_pairs(tokens: DataFrame, topk: DataFrame, k: int) -> DataFrame:
+    """Distinct (entity_id, item_code) pairs whose code is among the top K.
+
+    The tokens are semi-joined to the broadcast top-K codes (narrow), then
+    de-duplicated on both columns.  That one shuffle serves both the active
+    item list and the feature rows (the same exchange is reused), and since
+    it hashes both columns an entity holding a third of all rows is spread
+    over many tasks."""
+    codes = bounded_broadcast(topk.select("item_code"), k)
+    return (tokens.select("entity_id", "item_code")
+            .join(codes, "item_code", "left_semi")
+            .distinct())
+
+
+def active_items(topk: DataFrame, pairs: DataFrame, k: int) -> DataFrame:
+    """A7 + J2: top-K items held by at least one entity (left semi).
 
     Top-K is taken first, so fewer than K columns can result (trap #1).
-    """
-    codes = (tokens.select("item_code")
-             .join(bounded_broadcast(topk.select("item_code"), k), "item_code", "left_semi")
-             .distinct())
-    return topk.join(bounded_broadcast(codes, k), "item_code", "left_semi")
+    ``pairs`` come from ``topk_pairs`` (<= K distinct codes).  Counting the
+    entities per code reads the distinct pairs' exchange, the same one the
+    feature rows read, so the behaviour is exploded once for both."""
+    held = (pairs.groupBy("item_code").agg(F.count("entity_id").alias("n_entities"))
+            .where(F.col("n_entities") >= 1).select("item_code"))
+    return topk.join(bounded_broadcast(held, k), "item_code", "left_semi")
 
 
 def number_items(active: DataFrame) -> DataFrame:
@@ -71,22 +87,20 @@ def item_index(item_dim: DataFrame, tokens: DataFrame, k: int,
                prefix: str = P.CODE_PREFIX) -> DataFrame:
     """O1 -> J2 -> O3: (item_code, item_name, install_num, column_index)."""
     topk = top_k_items(item_codes(item_dim, prefix), k)
-    return number_items(active_items(topk, tokens, k))
+    return number_items(active_items(topk, topk_pairs(tokens, topk, k), k))
 
 
-def feature_rows(tokens: DataFrame, index: DataFrame, k: int) -> DataFrame:
+def feature_rows(pairs: DataFrame, index: DataFrame, k: int) -> DataFrame:
     """J1 + P17 + O2 + A11: (entity_id, feature ``"i:1 j:1 ..."``).
 
+    ``pairs`` are the distinct (entity, code) pairs of ``topk_pairs``.
     Features are binary (the parsed value is discarded, trap #4) and each
-    index appears once (trap #5, deviation required by the sparse vector).
+    index appears once (trap #5, deviation required by the sparse vector);
+    one entity's group holds at most K rows.
     """
     idx = bounded_broadcast(index.select("item_code", "column_index"), k)
-    joined = tokens.select("entity_id", "item_code").join(idx, "item_code")
-    # De-duplicate (entity, column) pairs first: that shuffle hashes both
-    # columns, so an entity holding a third of all rows is spread over many
-    # tasks; the per-entity collect then sees at most K rows per entity.
-    pairs = joined.select("entity_id", "column_index").distinct()
-    return (pairs.groupBy("entity_id")
+    return (pairs.join(idx, "item_code")
+            .groupBy("entity_id")
             .agg(F.array_sort(F.collect_list("column_index")).alias("idx"))
             .select("entity_id",
                     F.array_join(F.transform("idx", lambda x: F.concat(x.cast("string"), F.lit(":1"))),

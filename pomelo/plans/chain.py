@@ -77,9 +77,13 @@ class Chain:
     def topk(self) -> DataFrame:
         return FE.top_k_items(self.items, self.p.top_k)
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return FE.topk_pairs(self.tokens, self.topk, self.p.top_k)
+
     @cached_property
     def active(self) -> DataFrame:
-        return FE.active_items(self.topk, self.tokens, self.p.top_k)
+        return FE.active_items(self.topk, self.pairs, self.p.top_k)
 
     @cached_property
     def item_index(self) -> DataFrame:
@@ -87,7 +91,7 @@ class Chain:
 
     @cached_property
     def features(self) -> DataFrame:
-        return FE.feature_rows(self.tokens, self.item_index, self.p.top_k)
+        return FE.feature_rows(self.pairs, self.item_index, self.p.top_k)
 
     @cached_property
     def feature_long(self) -> DataFrame:

@@ -77,7 +77,8 @@ def test_repeated_item_one_index(spark):
     dim = _items(spark, [("1", "a", 9)])
     tokens = TK.explode_behavior(beh(spark, [("e", "111:1 111:2")]))
     idx = FE.item_index(dim, tokens, 10)
-    assert FE.feature_rows(tokens, idx, 10).collect()[0].feature == "0:1"
+    pairs = FE.topk_pairs(tokens, FE.top_k_items(FE.item_codes(dim), 10), 10)
+    assert FE.feature_rows(pairs, idx, 10).collect()[0].feature == "0:1"
 
 
 def test_feature_indices_sorted_numerically(spark):
@@ -85,7 +86,8 @@ def test_feature_indices_sorted_numerically(spark):
     toks = " ".join(f"11{i}:1" for i in (11, 2, 10, 0))
     tokens = TK.explode_behavior(beh(spark, [("e", toks)]))
     idx = FE.item_index(dim, tokens, 12)
-    assert FE.feature_rows(tokens, idx, 12).collect()[0].feature == "0:1 1:1 2:1 3:1"
+    pairs = FE.topk_pairs(tokens, FE.top_k_items(FE.item_codes(dim), 12), 12)
+    assert FE.feature_rows(pairs, idx, 12).collect()[0].feature == "0:1 1:1 2:1 3:1"
 
 
 def _tagged(spark, labels, feats):
