@@ -219,8 +219,10 @@ def balance(src: str, col: str, pos, neg) -> str:
 
 
 piece("run_record", f"""
-    SELECT m.*, pc.n_pos AS pred_pos, pc.n_neg AS pred_neg, pc.n_pos * 1.0 / NULLIF(pc.n_neg, 0) AS pred_ratio,
-           mc.n_pos AS merged_pos, mc.n_neg AS merged_neg, mc.n_pos * 1.0 / NULLIF(mc.n_neg, 0) AS merged_ratio,
+    SELECT m.*, CAST(pc.n_pos AS DOUBLE) AS pred_pos, CAST(pc.n_neg AS DOUBLE) AS pred_neg,
+           pc.n_pos * 1.0 / NULLIF(pc.n_neg, 0) AS pred_ratio,
+           CAST(mc.n_pos AS DOUBLE) AS merged_pos, CAST(mc.n_neg AS DOUBLE) AS merged_neg,
+           mc.n_pos * 1.0 / NULLIF(mc.n_neg, 0) AS merged_ratio,
            e.accuracy_full, e.accuracy_part
     FROM train_metrics m, ({balance('kpp', 'class_name', repr(POS), repr(NEG))}) pc,
          ({balance('merged', 'class_name', repr(POS), repr(NEG))}) mc, eval_metrics e""",
@@ -235,8 +237,9 @@ piece("changes", f"""
 
 
 def rnd(cols: list[str], src: str, keep: list[str] | None = None) -> str:
+    """Select ``cols`` in order, rounding all but those in ``keep``."""
     keep = keep or []
-    sel = ", ".join(keep + [f"ROUND({c}, 6) AS {c}" for c in cols])
+    sel = ", ".join(c if c in keep else f"ROUND({c}, 6) AS {c}" for c in cols)
     return f"SELECT {sel} FROM {src}"
 
 
@@ -325,7 +328,7 @@ def oracle_statements() -> dict[str, str]:
             SELECT entity_id, margin, ROUND(1.0 / (1.0 + exp(-margin)), 6) AS score,
                    CASE WHEN 1.0 / (1.0 + exp(-margin)) > {QP.threshold} THEN 1 ELSE 0 END AS prediction
             FROM ({margins('predict')}) m""", "predict", "weights"),
-        "f1_by_threshold": statement(rnd(["threshold", "f1"], "f1_curve", ["tp", "pp"]), "f1_curve"),
+        "f1_by_threshold": statement(rnd(["threshold", "tp", "pp", "f1"], "f1_curve", ["tp", "pp"]), "f1_curve"),
         "best_threshold": statement(rnd(["threshold", "f1"], "best"), "best"),
         "hard_auc_accuracy": statement(rnd(["default_threshold", "auc_default", "accuracy_default",
                                             "select_threshold", "auc_select", "accuracy_select"],
