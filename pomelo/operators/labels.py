@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from pomelo import params as P
 from pomelo.functions import recode as R
-from pomelo.functions import text as T
 from pomelo.sources.tables import day_partition
 
 
@@ -88,6 +87,3 @@ def three_way(decoded: DataFrame, device_user: DataFrame, preds: DataFrame,
             .join(d, "user_id").join(p, "entity_id")
             .select("user_id", "entity_id", "class_trusted", "class_pred"))
 
-
-def entity_key(c: str = "entity_id"):
-    return T.java_trim(c)

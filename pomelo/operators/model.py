@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pomelo.operators.features import assemble_vectors
+from pomelo.operators.metrics import best_threshold
 from pomelo.operators.tokens import parse_feature_long
 from pomelo.session import bounded_broadcast
 
@@ -79,6 +80,14 @@ def score_with_model(model: LogisticRegressionModel, df: DataFrame, k: int,
                       F.when(score > t, F.lit(1)).otherwise(F.lit(0)).alias("prediction"))
 
 
+def best_threshold_from_summary(model: LogisticRegressionModel) -> DataFrame:
+    """M7 the way the ML-API variant picks it: the threshold with the best
+    F-measure on the *training* summary (a distributed DataFrame), ties to
+    the higher threshold.  (threshold, f1)"""
+    f = model.summary.fMeasureByThreshold
+    return best_threshold(f.select("threshold", F.col("F-Measure").alias("f1")))
+
+
 def weight_table(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
     """Export the fitted coefficients as (column_index, weight) rows.
 

@@ -65,9 +65,21 @@ class FittedChain(Chain):
     """The daily run with a fitted model instead of fixed weights."""
 
     def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
-                 estimator: LogisticRegression | None = None, materialize: bool = True):
+                 estimator: LogisticRegression | None = None, materialize: bool = True,
+                 threshold_source: str = "validation"):
         super().__init__(spark, inputs, params, materialize)
         self.estimator = estimator or MD.lbfgs_estimator()
+        if threshold_source not in ("validation", "training_summary"):
+            raise ValueError(threshold_source)
+        self.threshold_source = threshold_source
+
+    @cached_property
+    def best(self) -> DataFrame:
+        """Best-F1 threshold on the validation scores (default), or on the
+        training summary as the ML-API variant does."""
+        if self.threshold_source == "training_summary":
+            return MD.best_threshold_from_summary(self.model)
+        return super().best
 
     @cached_property
     def model(self) -> LogisticRegressionModel:

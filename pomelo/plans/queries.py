@@ -15,8 +15,10 @@ from pyspark.sql import functions as F
 from pomelo.functions.dates import normalise_run_date
 from pomelo.operators import compare as CP
 from pomelo.operators import features as FE
+from pomelo.operators import labels as LB
 from pomelo.operators import merge as MG
 from pomelo.operators import metrics as MT
+from pomelo.operators import model as MD
 from pomelo.operators import sets as ST
 from pomelo.plans import roundtrips as RT
 from pomelo.plans.chain import Chain
@@ -107,9 +109,8 @@ def q_latest_partition_scan(spark, sf_dir):
 
 
 def q_three_way_label_pred(spark, sf_dir):
-    from pomelo.operators.labels import three_way
     c = _chain(spark, sf_dir)
-    return three_way(c.decoded, c.inp.device_user, c.inp.predictions, c.p.label_date, c.p.snapshot_new)
+    return LB.three_way(c.decoded, c.inp.device_user, c.inp.predictions, c.p.label_date, c.p.snapshot_new)
 
 
 def q_train_set(spark, sf_dir):
@@ -136,8 +137,7 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
 
 def q_score_linear(spark, sf_dir):
     c = _chain(spark, sf_dir)
-    from pomelo.operators.model import score_with_weights
-    s = score_with_weights(c.predict, c.weights, c.p.top_k, c.p.threshold)
+    s = MD.score_with_weights(c.predict, c.weights, c.p.top_k, c.p.threshold)
     return _rounded(s, "score")
 
 
@@ -220,7 +220,6 @@ def q_validation_run(spark, sf_dir):
 
 def q_lr_fit_predict(spark, sf_dir):
     """M1 + M4 + M8: fit on the train part of the split, score the predict set."""
-    from pomelo.operators import model as MD
     c = _mchain(spark, sf_dir)
     train = c.split.where(F.col("split") == "train")
     model = MD.fit(train, c.p.top_k, MD.lbfgs_estimator())
@@ -229,7 +228,6 @@ def q_lr_fit_predict(spark, sf_dir):
 
 def q_lr_fit_intercept(spark, sf_dir):
     """M5 + M12: the ML-API fit (intercept, 1000 iterations); loss history."""
-    from pomelo.operators import model as MD
     c = _mchain(spark, sf_dir)
     train = c.split.where(F.col("split") == "train")
     model = MD.fit(train, c.p.top_k, MD.ml_estimator())

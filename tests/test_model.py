@@ -66,3 +66,15 @@ def test_f1_curve_matches_mllib_and_brute_force(spark):
     ref = {float(x._1()): float(x._2()) for x in jm}
     assert set(ref) == set(ours)
     assert max(abs(ref[t] - ours[t]) for t in ref) < 1e-9
+
+
+def test_threshold_from_training_summary(spark):
+    from pomelo.plans.jobs import FittedChain
+    from pomelo.sources import fixtures as FX
+    from pomelo import params as P
+    c = FittedChain(spark, FX.load_inputs(spark, SF_SMALL), P.RunParams(top_k=1000),
+                    estimator=MD.ml_estimator(max_iter=30), threshold_source="training_summary")
+    b = c.best.collect()
+    assert len(b) == 1 and 0.0 < b[0].threshold < 1.0 and 0.0 < b[0].f1 <= 1.0
+    ref = c.model.summary.fMeasureByThreshold.agg(F.max("F-Measure")).collect()[0][0]
+    assert abs(b[0].f1 - ref) < 1e-12
