@@ -29,18 +29,21 @@ DEVICE_DATES = ("20170711", "20171028")      # even / odd order key
 TRUTH_DATES = ("20170711", "20171105")       # even / odd order key
 PREDICTION_DATES = ("20170910", "20171028")  # even / odd order key
 PRICE_CUT = 250000
+SPREAD_MIN_BYTES = 8 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one test table.
 
     The test files hold a single row group each, so the scan yields one
-    split and everything up to the first shuffle would run in one task.  An
-    input with fewer splits than cores is spread by hashing its key (first)
-    column; real inputs of many files keep their scan splits untouched."""
+    split and everything up to the first shuffle would run in one task.  A
+    large input (file statistics, no job) with fewer splits than cores is
+    spread by hashing its key (first) column; small inputs and real inputs
+    of many files keep their scan splits untouched."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < want:
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= SPREAD_MIN_BYTES and df.rdd.getNumPartitions() < want:
         df = df.repartition(want, df.columns[0])
     return df
 
