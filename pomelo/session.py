@@ -43,8 +43,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     ``spark.checkpoint.dir`` is read from the session; only when it is unset
     (local runs and tests) is a private folder created and set.
     """
-    sc = spark.sparkContext
-    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - remote sessions manage their own folder
+        return configured or ""
+    current = sc.getCheckpointDir() or configured
     if not current:
         current = tempfile.mkdtemp(prefix="pomelo-ckpt-")
         spark.conf.set("spark.checkpoint.dir", current)
