@@ -32,9 +32,22 @@ def _q(s: str) -> str:
     return s.replace("\\", "\\\\").replace("'", "\\'")
 
 
+def _ensure_location(spark: SparkSession, location: str) -> None:
+    """Create the table folder (on whatever file system it names) so that
+    ``CREATE TABLE ... LOCATION`` finds it; best effort."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(location)
+        path.getFileSystem(conf).mkdirs(path)
+    except Exception:  # noqa: BLE001 - remote sessions: let CREATE TABLE handle it
+        pass
+
+
 def create_partitioned_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
                              fmt: str = "parquet", partition_col: str = PARTITION_COL) -> None:
     """K1: ``CREATE TABLE IF NOT EXISTS ... PARTITIONED BY (stat_date)``."""
+    _ensure_location(spark, location)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}, {partition_col} STRING) "
               f"USING {fmt} PARTITIONED BY ({partition_col}) LOCATION '{_q(location)}'")
 
@@ -42,6 +55,7 @@ def create_partitioned_table(spark: SparkSession, name: str, columns_ddl: str, l
 def create_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
                  fmt: str = "parquet") -> None:
     """K2: unpartitioned ``CREATE TABLE IF NOT EXISTS``."""
+    _ensure_location(spark, location)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING {fmt} LOCATION '{_q(location)}'")
 
 
@@ -54,6 +68,7 @@ def create_text_table(spark: SparkSession, name: str, columns_ddl: str, location
     as with a ``serialization.null.format=''`` table."""
     part = f", {partition_col} STRING" if partition_col else ""
     by = f" PARTITIONED BY ({partition_col})" if partition_col else ""
+    _ensure_location(spark, location)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}{part}) USING csv "
               f"OPTIONS (sep '{_q(sep)}', nullValue '{_q(null_format)}', emptyValue '{_q(null_format)}', "
               f"quote '', escape '') {by} LOCATION '{_q(location)}'")
