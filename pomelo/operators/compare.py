@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pomelo.operators.metrics import one_row, ratio
+from pomelo.operators.metrics import count_if, ratio
 from pomelo.session import bounded_broadcast
 from pomelo.sources.tables import snapshot_pair
 
@@ -29,34 +29,42 @@ def snapshot_changes(preds: DataFrame, new_date: str, old_date: str,
 
 def changed_item_share(changes: DataFrame, items_new: DataFrame, items_old: DataFrame,
                        item_list: DataFrame, list_bound: int, cls: str) -> DataFrame:
-    """J13 + F11 + A3 + M14, both snapshots in one row.
+    """J13 + F11 + A3 + M14, both snapshots in one row, one pass.
 
     ``items_*`` are (entity_id, item_id) rows of the behaviour on each date.
-    The behaviour is first semi-joined to the broadcast item list (narrow),
-    so only matching rows reach the join with the changed entities.
+    They are semi-joined to the broadcast item list (narrow) and counted per
+    (entity, side) — pre-aggregated, so a hot entity collapses map-side —
+    then left-joined to the changed entities of each side (one row each) and
+    summarised by one conditional aggregate:
+
+    n_changed   changed entities holding class ``cls`` on that side
+    n_hit       of those, entities with a listed item (distinct)
+    n_hit_rows  the reference's joined-row count (an entity listing an item
+                twice counts twice)
     """
     lst = bounded_broadcast(item_list.select("item_id").distinct(), list_bound)
 
-    def side(col: str, items: DataFrame, tag: str) -> DataFrame:
-        ch = changes.where(F.col(col) == cls).select("entity_id")
-        hits = items.join(lst, "item_id", "left_semi").select("entity_id")
-        j = ch.join(hits, "entity_id")
-        n = ch.agg(F.count(F.lit(1)).alias(f"n_changed_{tag}"))
-        h = j.agg(F.countDistinct("entity_id").alias(f"n_hit_{tag}"),
-                  F.count(F.lit(1)).alias(f"n_hit_rows_{tag}"))
-        return n, h
-
-    n_new, h_new = side("class_new", items_new, "new")
-    n_old, h_old = side("class_old", items_old, "old")
-    # one-row aggregates side by side without a cross join
-    row = one_row([
-        ("n_changed_new", n_new), ("n_hit_new", h_new.select("n_hit_new")),
-        ("n_hit_rows_new", h_new.select("n_hit_rows_new")),
-        ("n_changed_old", n_old), ("n_hit_old", h_old.select("n_hit_old")),
-        ("n_hit_rows_old", h_old.select("n_hit_rows_old")),
-    ])
-    cols = [F.col(c).cast("bigint").alias(c) for c in
-            ("n_changed_new", "n_hit_new", "n_hit_rows_new", "n_changed_old", "n_hit_old", "n_hit_rows_old")]
-    return row.select(*cols,
-                      F.round(ratio(F.col("n_hit_new"), F.col("n_changed_new")), 6).alias("share_new"),
-                      F.round(ratio(F.col("n_hit_old"), F.col("n_changed_old")), 6).alias("share_old"))
+    def hits(items: DataFrame, side: str) -> DataFrame:
+        return (items.join(lst, "item_id", "left_semi")
+                .select("entity_id", F.lit(side).alias("side")))
+
+    counts = (hits(items_new, "new").unionByName(hits(items_old, "old"))
+              .groupBy("entity_id", "side").agg(F.count(F.lit(1)).alias("n_items")))
+    changed = (changes.where(F.col("class_new") == cls).select("entity_id", F.lit("new").alias("side"))
+               .unionByName(changes.where(F.col("class_old") == cls)
+                            .select("entity_id", F.lit("old").alias("side"))))
+    j = changed.join(counts, ["entity_id", "side"], "left")
+    hit = F.col("n_items").isNotNull()
+    aggs = []
+    for side in ("new", "old"):
+        on = F.col("side") == side
+        aggs += [count_if(on).alias(f"n_changed_{side}"),
+                 F.countDistinct(F.when(on & hit, F.col("entity_id"))).alias(f"n_hit_{side}"),
+                 F.coalesce(F.sum(F.when(on, F.col("n_items"))), F.lit(0)).cast("bigint")
+                 .alias(f"n_hit_rows_{side}")]
+    row = j.agg(*aggs)
+    return row.select(
+        *[F.col(c).cast("bigint").alias(c) for c in
+          ("n_changed_new", "n_hit_new", "n_hit_rows_new", "n_changed_old", "n_hit_old", "n_hit_rows_old")],
+        F.round(ratio(F.col("n_hit_new"), F.col("n_changed_new")), 6).alias("share_new"),
+        F.round(ratio(F.col("n_hit_old"), F.col("n_changed_old")), 6).alias("share_old"))

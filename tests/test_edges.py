@@ -181,3 +181,21 @@ def test_decode_filters_out_of_range_and_regex(spark):
 def test_first_per_key_is_min(spark):
     df = spark.createDataFrame([("e", 1), ("e", 0), ("f", 1)], "entity_id string, label int")
     assert sorted(tuple(r) for r in LB.first_per_key(df).collect()) == [("e", 0), ("f", 1)]
+
+
+def test_changed_item_share_counts(spark):
+    from pomelo.operators import compare as CP
+    preds = spark.createDataFrame(
+        [("a", "neg", "N"), ("a", "pos", "O"), ("b", "neg", "N"), ("b", "pos", "O"),
+         ("c", "pos", "N"), ("c", "neg", "O"), ("d", "neg", "N"), ("d", "neg", "O")],
+        "entity_id string, class_name string, stat_date string")
+    ch = CP.snapshot_changes(preds, "N", "O")
+    assert sorted(r.entity_id for r in ch.collect()) == ["a", "b", "c"]
+    items = spark.createDataFrame([("a", "7"), ("a", "7"), ("b", "8"), ("c", "7")],
+                                  "entity_id string, item_id string")
+    lst = spark.createDataFrame([("7",)], "item_id string")
+    r = CP.changed_item_share(ch, items, items, lst, 1, "neg").collect()[0]
+    # new side: a, b changed to neg; a holds item 7 (listed twice)
+    assert (r.n_changed_new, r.n_hit_new, r.n_hit_rows_new, r.share_new) == (2, 1, 2, 0.5)
+    # old side: c was neg; c holds item 7
+    assert (r.n_changed_old, r.n_hit_old, r.n_hit_rows_old, r.share_old) == (1, 1, 1, 1.0)
