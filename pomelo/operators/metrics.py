@@ -143,15 +143,23 @@ def agreement(left: DataFrame, right: DataFrame, key: str = "entity_id",
                       F.round(ratio(F.col("n_mismatch"), F.col("n_both")), 6).alias("mismatch_ratio"))
 
 
-def one_row(metrics: list[tuple[str, DataFrame]]) -> DataFrame:
-    """Put one-value frames side by side as one row, in order.
-
-    Each frame holds one row and one column.  They are stacked as
-    (name, value) rows and pivoted by conditional aggregation, so no cross
-    join is needed."""
-    stacked = None
-    for name, df in metrics:
-        part = df.select(F.lit(name).alias("metric"), df[df.columns[0]].cast("double").alias("value"))
+def side_by_side(parts: list[tuple[DataFrame, dict[str, str]]]) -> DataFrame:
+    """One-row frames placed side by side as one row.
+
+    Each part is (frame with one row, {source column: output name}); the
+    output columns follow the given order.  The frames are stacked as
+    (name, value) rows and pivoted by one conditional aggregate, so there is
+    no cross join and each frame's aggregate is computed once."""
+    stacked, names = None, []
+    for df, cols in parts:
+        pairs = [F.struct(F.lit(out).alias("metric"), df[src].cast("double").alias("value"))
+                 for src, out in cols.items()]
+        part = df.select(F.explode(F.array(*pairs)).alias("m")).select("m.metric", "m.value")
         stacked = part if stacked is None else stacked.unionByName(part)
-    return stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n)
-                         for n, _ in metrics])
+        names += list(cols.values())
+    return stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
+
+
+def one_row(metrics: list[tuple[str, DataFrame]]) -> DataFrame:
+    """``side_by_side`` for one-column frames: [(output name, frame)]."""
+    return side_by_side([(df, {df.columns[0]: name}) for name, df in metrics])

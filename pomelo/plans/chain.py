@@ -173,14 +173,14 @@ class Chain:
         best_pred = self.valid_scored.withColumn(
             "prediction", F.when(F.col("score") > self.best.select("threshold").scalar(), 1).otherwise(0))
         at_best = MT.hard_metrics(best_pred)
-        return MT.one_row([
-            ("default_threshold", self.spark.range(1).select(F.lit(self.p.threshold).alias("t"))),
-            ("auc_default", at_default.select("auc")),
-            ("accuracy_default", at_default.select("accuracy")),
-            ("select_threshold", self.best.select("threshold")),
-            ("auc_select", at_best.select("auc")),
-            ("accuracy_select", at_best.select("accuracy")),
+        row = MT.side_by_side([
+            (at_default, {"auc": "auc_default", "accuracy": "accuracy_default"}),
+            (self.best, {"threshold": "select_threshold"}),
+            (at_best, {"auc": "auc_select", "accuracy": "accuracy_select"}),
         ])
+        return row.select(F.lit(float(self.p.threshold)).alias("default_threshold"),
+                          "auc_default", "accuracy_default", "select_threshold",
+                          "auc_select", "accuracy_select")
 
     @cached_property
     def predict_scored(self) -> DataFrame:
@@ -211,8 +211,8 @@ class Chain:
     def eval_metrics(self) -> DataFrame:
         full = self.accuracy_against(self.truth_latest, self.known_plus_predicted)
         part = self.accuracy_against(self.truth_part, self.known_plus_predicted)
-        return MT.one_row([("accuracy_full", full.select("accuracy")),
-                           ("accuracy_part", part.select("accuracy"))])
+        return MT.side_by_side([(full, {"accuracy": "accuracy_full"}),
+                                (part, {"accuracy": "accuracy_part"})])
 
     @cached_property
     def merged(self) -> DataFrame:
@@ -227,19 +227,11 @@ class Chain:
         """The 14-value run record, one row."""
         tm, pc, mc, ev = (self.train_metrics, self.class_counts(self.known_plus_predicted),
                           self.class_counts(self.merged), self.eval_metrics)
-        return MT.one_row([
-            ("default_threshold", tm.select("default_threshold")),
-            ("auc_default", tm.select("auc_default")),
-            ("accuracy_default", tm.select("accuracy_default")),
-            ("select_threshold", tm.select("select_threshold")),
-            ("auc_select", tm.select("auc_select")),
-            ("accuracy_select", tm.select("accuracy_select")),
-            ("pred_pos", pc.select("n_pos")), ("pred_neg", pc.select("n_neg")),
-            ("pred_ratio", pc.select("ratio")),
-            ("merged_pos", mc.select("n_pos")), ("merged_neg", mc.select("n_neg")),
-            ("merged_ratio", mc.select("ratio")),
-            ("accuracy_full", ev.select("accuracy_full")),
-            ("accuracy_part", ev.select("accuracy_part")),
+        return MT.side_by_side([
+            (tm, {c: c for c in tm.columns}),
+            (pc, {"n_pos": "pred_pos", "n_neg": "pred_neg", "ratio": "pred_ratio"}),
+            (mc, {"n_pos": "merged_pos", "n_neg": "merged_neg", "ratio": "merged_ratio"}),
+            (ev, {"accuracy_full": "accuracy_full", "accuracy_part": "accuracy_part"}),
         ])
 
     # --- validation and comparison (job 3.3) ---------------------------------

@@ -151,8 +151,8 @@ def validation(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
     latest = spark.table(t.latest)
     full = chain.accuracy_against(chain.truth_latest, latest)
     part = chain.accuracy_against(chain.truth_part, latest)
-    row = MT.one_row([("accuracy_full", full.select("accuracy")),
-                      ("accuracy_part", part.select("accuracy"))])
+    row = MT.side_by_side([(full, {"accuracy": "accuracy_full"}),
+                           (part, {"accuracy": "accuracy_part"})])
     row = row.select(F.lit(date).alias("date"), "accuracy_full", "accuracy_part")
     SK.create_table(spark, t.accuracy, "date STRING, accuracy_full DOUBLE, accuracy_part DOUBLE",
                     t.loc(t.accuracy))

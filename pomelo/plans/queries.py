@@ -213,8 +213,8 @@ def q_validation_run(spark, sf_dir):
     c = _chain(spark, sf_dir)
     full = c.accuracy_against(c.truth_latest, c.stored_latest)
     part = c.accuracy_against(c.truth_part, c.stored_latest)
-    row = MT.one_row([("accuracy_full", full.select("accuracy")),
-                      ("accuracy_part", part.select("accuracy"))])
+    row = MT.side_by_side([(full, {"accuracy": "accuracy_full"}),
+                           (part, {"accuracy": "accuracy_part"})])
     return _rounded(row.select(F.lit(c.p.snapshot_new).alias("date"), "*"), "accuracy_full", "accuracy_part")
 
 
