@@ -54,6 +54,9 @@ class RunParams:
     snapshot_new: str = "20171028"
     snapshot_old: str = "20170910"
     reference_year: int = 2017
+    # buckets of the written feature table (by entity_id); the training job
+    # joins and aggregates it on entity_id without shuffling it again
+    feature_buckets: int = 256
 
 
 # Parameters of the registered driver queries.  K is below the number of

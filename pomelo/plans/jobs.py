@@ -100,12 +100,26 @@ def feature_build(spark: SparkSession, chain: Chain, t: TableNames) -> None:
     date = normalise_run_date_py(chain.p.run_date)
     SK.create_partitioned_table(spark, t.items, "code STRING, name STRING, column_index BIGINT",
                                 t.loc(t.items))
-    SK.create_partitioned_table(spark, t.features, "entity_id STRING, feature STRING", t.loc(t.features))
-    # the index is bounded by K rows: write it once, read the written copy back
+    SK.create_partitioned_table(spark, t.features, "entity_id STRING, feature STRING", t.loc(t.features),
+                                bucket_by="entity_id", buckets=chain.p.feature_buckets)
     SK.overwrite_partition(spark, FE.dimension_rows(chain.item_index), t.items, date)
     SK.overwrite_partition(spark, chain.features, t.features, date)
 
 
+def use_written_features(spark: SparkSession, chain: Chain, t: TableNames) -> None:
+    """Point the chain at the tables the feature job wrote (as the reference's
+    training job reads them): the bucketed feature table and the item table.
+    The item index is bounded by K rows; its ``item_code`` is rebuilt with
+    the prefix for the scoring join."""
+    date = normalise_run_date_py(chain.p.run_date)
+    feats = spark.table(t.features).where(F.col("stat_date") == date).select("entity_id", "feature")
+    items = spark.table(t.items).where(F.col("stat_date") == date)
+    index = items.select(F.concat(F.lit(chain.p.code_prefix), F.col("code")).alias("item_code"),
+                         F.col("name").alias("item_name"), "column_index")
+    chain.__dict__["features"] = feats
+    chain.__dict__["item_index"] = index
+
+
 def label_build(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
     """Job 3.4: known labels, overwritten; returns the class balance row."""
     SK.create_table(spark, t.known_labels, "entity_id STRING, label INT", t.loc(t.known_labels))
@@ -133,8 +147,13 @@ def agreement(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
 
 
 def train_publish(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
-    """Job 3.2: fit/score/evaluate/merge and the three sinks; returns the record."""
+    """Job 3.2: fit/score/evaluate/merge and the three sinks; returns the record.
+
+    Reads the feature and item tables of the run day when the feature job
+    has written them."""
     date = normalise_run_date_py(chain.p.run_date)
+    if spark.catalog.tableExists(t.features) and spark.catalog.tableExists(t.items):
+        use_written_features(spark, chain, t)
     SK.create_partitioned_table(spark, t.predictions, "entity_id STRING, class_name STRING",
                                 t.loc(t.predictions))
     SK.create_table(spark, t.latest, "entity_id STRING, class_name STRING", t.loc(t.latest))

@@ -45,11 +45,17 @@ def _ensure_location(spark: SparkSession, location: str) -> None:
 
 
 def create_partitioned_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
-                             fmt: str = "parquet", partition_col: str = PARTITION_COL) -> None:
-    """K1: ``CREATE TABLE IF NOT EXISTS ... PARTITIONED BY (stat_date)``."""
+                             fmt: str = "parquet", partition_col: str = PARTITION_COL,
+                             bucket_by: str | None = None, buckets: int = 0) -> None:
+    """K1: ``CREATE TABLE IF NOT EXISTS ... PARTITIONED BY (stat_date)``.
+
+    ``bucket_by``/``buckets`` add ``CLUSTERED BY (col) INTO n BUCKETS``: a
+    later join or aggregation on that column reads the table already
+    hash-partitioned and does not shuffle it again."""
     _ensure_location(spark, location)
+    clustered = f" CLUSTERED BY ({bucket_by}) INTO {buckets} BUCKETS" if bucket_by and buckets else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}, {partition_col} STRING) "
-              f"USING {fmt} PARTITIONED BY ({partition_col}) LOCATION '{_q(location)}'")
+              f"USING {fmt} PARTITIONED BY ({partition_col}){clustered} LOCATION '{_q(location)}'")
 
 
 def create_table(spark: SparkSession, name: str, columns_ddl: str, location: str,

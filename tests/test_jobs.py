@@ -19,7 +19,7 @@ def test_daily_run(spark):
         f: f"{getattr(J.TableNames, f)}_{tag}" for f in
         ("items", "features", "known_labels", "known_labels_twin", "decoded", "truth_part",
          "predictions", "latest", "metrics", "accuracy")})
-    params = P.RunParams(top_k=1000)
+    params = P.RunParams(top_k=1000, feature_buckets=8)
     chain = J.FittedChain(spark, FX.load_inputs(spark, SF_SMALL), params)
 
     J.feature_build(spark, chain, t)
@@ -32,6 +32,12 @@ def test_daily_run(spark):
     assert rep.n_both == rep.n_match + rep.n_mismatch
 
     rec = J.train_publish(spark, chain, t).collect()
+    # the training job read the bucketed feature table back: grouping it by
+    # entity (as J9 does) needs no exchange
+    feats = spark.table(t.features).where(F.col("stat_date") == "20171028")
+    plan = feats.groupBy("entity_id").count()._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+    assert feats.count() == chain.features.count()
     assert len(rec) == 1
     r = rec[0]
     assert r.default_threshold == 0.5 and 0.0 <= r.select_threshold <= 1.0
