@@ -7,19 +7,24 @@ instead of one action per count.  Ratios use ``try_divide`` so x/0 is NULL
 The F1-by-threshold curve (M6) needs a running sum over all distinct scores
 in descending order.  A global window would move every distinct score to
 one task, so it is computed as a distributed prefix sum: the distinct scores
-are cut into ranges at approximate quantiles, a window runs inside each
-range, and the totals of the ranges above are added from a table with one
-row per range (bounded by the range count).
+are cut into ranges at approximate quantiles (at most ``MAX_RANGES`` numbers
+reach the driver), a window runs inside each range, and the totals of the
+ranges above are added from a table with one row per range.
 """
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pomelo.session import bounded_broadcast
 
 
+# Upper bound of the ranges of the F1 prefix sum (and of its offsets table).
+MAX_RANGES = 1024
+
+
 def ratio(num: Column, den: Column) -> Column:
     """A3: ``num * 1.0 / den``; NULL when ``den`` is 0."""
     return F.try_divide(num.cast("double"), den.cast("double"))
@@ -83,17 +88,22 @@ def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label
     g = (scored.groupBy(F.col(score).alias("threshold"))
          .agg(count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("cnt")))
     spark = scored.sparkSession
-    n_ranges = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Range boundaries: approximate quantiles of the distinct scores (one
-    # partially aggregated pass, a scalar subquery of n_ranges - 1 values).
-    # A score's range is n minus its position among the sorted boundaries,
-    # i.e. the number of boundaries not below it: range 0 holds the highest
-    # scores and equal scores always share a range.
-    probs = [i / n_ranges for i in range(1, n_ranges)] or [0.5]
-    bounds = g.select(F.percentile_approx("threshold", probs, 10000)).scalar()
-    t = F.col("threshold")
-    pos = F.array_position(F.sort_array(F.concat(bounds, F.array(t))), t)
-    ranged = g.withColumn("rng", (F.lit(len(probs) + 1) - pos).cast("int"))
+    n_ranges = min(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
+    # Range boundaries: approximate quantiles of the distinct scores, one
+    # partially aggregated pass returning at most MAX_RANGES - 1 numbers.
+    # Each score finds its range by binary search (Bucketizer, in the JVM);
+    # range 0 holds the highest scores and equal scores share a range.
+    probs = [i / n_ranges for i in range(1, n_ranges)]
+    cuts = g.agg(F.percentile_approx("threshold", probs or [0.5], 10000).alias("b")).first()
+    bounds = sorted({float(b) for b in (cuts.b or [])}) if probs else []
+    if bounds:
+        splits = [float("-inf")] + bounds + [float("inf")]
+        ranged = (Bucketizer(splits=splits, inputCol="threshold", outputCol="bucket")
+                  .transform(g)
+                  .withColumn("rng", (F.lit(len(splits) - 2) - F.col("bucket")).cast("int"))
+                  .drop("bucket"))
+    else:  # empty input or a single range
+        ranged = g.withColumn("rng", F.lit(0))
     local = Window.partitionBy("rng").orderBy(F.col("threshold").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranged = (ranged.withColumn("tp_local", F.sum("pos").over(local))
@@ -107,7 +117,7 @@ def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label
         F.coalesce(F.sum("rpos").over(above), F.lit(0)).alias("tp_off"),
         F.coalesce(F.sum("rcnt").over(above), F.lit(0)).alias("pp_off"),
         F.sum("rpos").over(every).alias("positives"))
-    out = ranged.join(bounded_broadcast(offs, n_ranges), "rng")
+    out = ranged.join(bounded_broadcast(offs, MAX_RANGES), "rng")
     tp = (F.col("tp_local") + F.col("tp_off")).cast("bigint")
     pp = (F.col("pp_local") + F.col("pp_off")).cast("bigint")
     return out.select(

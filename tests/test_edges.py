@@ -199,3 +199,11 @@ def test_changed_item_share_counts(spark):
     assert (r.n_changed_new, r.n_hit_new, r.n_hit_rows_new, r.share_new) == (2, 1, 2, 0.5)
     # old side: c was neg; c holds item 7
     assert (r.n_changed_old, r.n_hit_old, r.n_hit_rows_old, r.share_old) == (1, 1, 1, 1.0)
+
+
+def test_f1_curve_empty_and_single_score(spark):
+    empty = spark.createDataFrame([], "score double, label int")
+    assert MT.f1_by_threshold(empty).count() == 0
+    one = spark.createDataFrame([(0.3, 1), (0.3, 0)], "score double, label int")
+    r = MT.f1_by_threshold(one, ranges=4).collect()
+    assert [(x.threshold, x.tp, x.pp, x.f1) for x in r] == [(0.3, 1, 2, 2 / 3)]
