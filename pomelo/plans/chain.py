@@ -22,8 +22,8 @@ from pomelo.operators import metrics as MT
 from pomelo.operators import model as MD
 from pomelo.operators import sets as ST
 from pomelo.operators import tokens as TK
-from pomelo.sources import fixtures as FX
 from pomelo.session import ensure_checkpoint_dir
+from pomelo.sources import fixtures as FX
 from pomelo.sources import tables as TB
 
 
@@ -32,10 +32,11 @@ class Chain:
 
     ``materialize=True`` checkpoints the nodes that several later steps read
     (the item index, the tagged train/predict set, the scored validation
-    set, the prediction set) into the shared checkpoint folder — the points
-    where the reference writes a table or caches.  Multi-output plans (run record, publishing)
-    then read each of them once instead of recomputing the whole run per
-    branch, and a lost executor restarts from the checkpoint.
+    set, the prediction set, the merged set) into the shared checkpoint
+    folder — the points where the reference writes a table or caches.
+    Multi-output plans (run record, publishing) then read each of them once
+    instead of recomputing the whole run per branch, and a lost executor
+    restarts from the checkpoint.
     """
 
     def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
@@ -125,9 +126,16 @@ class Chain:
         return LB.first_per_key(self.two_branch)
 
     # --- train / score / merge (job 3.2) -------------------------------------
+    @cached_property
+    def set_labels(self) -> DataFrame:
+        """Label rows entering J9.  The registered queries use the rows before
+        de-duplication (FIXTURES.md) so the cardinality rule is exercised; the
+        training job reads the written known-label table instead."""
+        return self.labels_raw
+
     @cached_property
     def tagged(self) -> DataFrame:
-        return self._m(ST.tagged_sets(self.labels_raw, self.features))
+        return self._m(ST.tagged_sets(self.set_labels, self.features))
 
     @cached_property
     def train(self) -> DataFrame:

@@ -154,6 +154,8 @@ def train_publish(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame
     date = normalise_run_date_py(chain.p.run_date)
     if spark.catalog.tableExists(t.features) and spark.catalog.tableExists(t.items):
         use_written_features(spark, chain, t)
+    if spark.catalog.tableExists(t.known_labels):
+        chain.__dict__["set_labels"] = spark.table(t.known_labels)
     SK.create_partitioned_table(spark, t.predictions, "entity_id STRING, class_name STRING",
                                 t.loc(t.predictions))
     SK.create_table(spark, t.latest, "entity_id STRING, class_name STRING", t.loc(t.latest))
