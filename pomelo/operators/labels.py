@@ -23,8 +23,11 @@ def first_per_key(df: DataFrame, key: str = "entity_id", value: str = "label") -
 
 def user_device_labels(users: DataFrame, device_user: DataFrame, date: str,
                        codes: tuple[int, ...] = (1, 2), positive_code: int = 2) -> DataFrame:
-    """J3 + F2 + P12: (entity_id, label) rows, not yet de-duplicated."""
-    u = users.where(F.col("label_code").isin(*codes)).select("user_id", "label_code")
+    """J3 + F2 + P12: (entity_id, label) rows, not yet de-duplicated.
+
+    User rows are made distinct first, so copies of one user row cannot
+    multiply that user's device rows (a join emits one row per device)."""
+    u = users.where(F.col("label_code").isin(*codes)).select("user_id", "label_code").distinct()
     d = day_partition(device_user, date).select("entity_id", "user_id")
     return (u.join(d, "user_id")
             .select("entity_id", R.code_to_label("label_code", positive_code).alias("label")))
@@ -42,7 +45,7 @@ def two_branch_labels(users: DataFrame, device_user: DataFrame, date: str,
     d = day_partition(device_user, date).select("entity_id", "user_id")
 
     def branch(code: int, label: int) -> DataFrame:
-        u = users.where(F.col("label_code") == code).select("user_id")
+        u = users.where(F.col("label_code") == code).select("user_id").distinct()
         return u.join(d, "user_id").select("entity_id", F.lit(label).alias("label"))
 
     return branch(positive_code, 1).unionByName(branch(negative_code, 0))
@@ -82,7 +85,10 @@ def three_way(decoded: DataFrame, device_user: DataFrame, preds: DataFrame,
 
     (user_id, entity_id, class_trusted, class_pred)."""
     d = day_partition(device_user, device_date).select("entity_id", "user_id")
-    p = day_partition(preds, pred_date).select("entity_id", F.col("class_name").alias("class_pred"))
+    # distinct (entity, class) rows: copies of a stored prediction cannot
+    # multiply the device rows of that entity
+    p = (day_partition(preds, pred_date)
+         .select("entity_id", F.col("class_name").alias("class_pred")).distinct())
     return (decoded.select("user_id", F.col("class_name").alias("class_trusted"))
             .join(d, "user_id").join(p, "entity_id")
             .select("user_id", "entity_id", "class_trusted", "class_pred"))

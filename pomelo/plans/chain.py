@@ -245,8 +245,10 @@ class Chain:
     # --- validation and comparison (job 3.3) ---------------------------------
     @cached_property
     def stored_latest(self) -> DataFrame:
-        """The stored predictions of the newest snapshot."""
-        return TB.day_partition(self.inp.predictions, self.p.snapshot_new).select("entity_id", "class_name")
+        """The stored predictions of the newest snapshot, distinct (entity,
+        class) rows so copies cannot multiply the truth join."""
+        return (TB.day_partition(self.inp.predictions, self.p.snapshot_new)
+                .select("entity_id", "class_name").distinct())
 
     @cached_property
     def snapshot_changes(self) -> DataFrame:

@@ -67,15 +67,18 @@ piece("feature_long", """
 LD, AD = QP.label_date, QP.agreement_date
 piece("labels_raw", f"""
     SELECT d.entity_id, CASE WHEN CAST(u.label_code AS INTEGER) = 2 THEN 1 ELSE 0 END AS label
-    FROM users u JOIN device_user d ON u.user_id = d.user_id
-    WHERE u.label_code IN (1, 2) AND d.stat_date = '{LD}'""", "users", "device_user")
+    FROM (SELECT DISTINCT user_id, label_code FROM users WHERE label_code IN (1, 2)) u
+    JOIN device_user d ON u.user_id = d.user_id
+    WHERE d.stat_date = '{LD}'""", "users", "device_user")
 piece("known_labels", "SELECT entity_id, MIN(label) AS label FROM labels_raw GROUP BY entity_id", "labels_raw")
 piece("two_branch", f"""
-    SELECT d.entity_id, 1 AS label FROM users u JOIN device_user d ON u.user_id = d.user_id
-    WHERE u.label_code = 2 AND d.stat_date = '{AD}'
+    SELECT d.entity_id, 1 AS label
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 2) u JOIN device_user d ON u.user_id = d.user_id
+    WHERE d.stat_date = '{AD}'
     UNION ALL
-    SELECT d.entity_id, 0 AS label FROM users u JOIN device_user d ON u.user_id = d.user_id
-    WHERE u.label_code = 1 AND d.stat_date = '{AD}'""", "users", "device_user")
+    SELECT d.entity_id, 0 AS label
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 1) u JOIN device_user d ON u.user_id = d.user_id
+    WHERE d.stat_date = '{AD}'""", "users", "device_user")
 piece("branch_labels", "SELECT entity_id, MIN(label) AS label FROM two_branch GROUP BY entity_id", "two_branch")
 piece("decoded_age", f"""
     SELECT user_id, second_code,
@@ -193,7 +196,7 @@ piece("trusted1", """SELECT entity_id, MIN(class_name) AS class_name FROM truth_
     WHERE class_name IS NOT NULL GROUP BY entity_id""", "truth_latest")
 piece("truth_part", """SELECT entity_id, class_name FROM trusted1
     WHERE entity_id NOT IN (SELECT entity_id FROM known_labels)""", "trusted1", "known_labels")
-piece("stored_latest", f"SELECT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_new}'",
+piece("stored_latest", f"SELECT DISTINCT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_new}'",
       "predictions")
 
 
@@ -231,9 +234,10 @@ piece("run_record", f"""
 # --- snapshots ------------------------------------------------------------------------
 piece("changes", f"""
     SELECT a.entity_id, a.class_name AS class_new, b.class_name AS class_old
-    FROM predictions a JOIN predictions b ON a.entity_id = b.entity_id
-    WHERE a.stat_date = '{QP.snapshot_new}' AND b.stat_date = '{QP.snapshot_old}'
-      AND a.class_name <> b.class_name""", "predictions")
+    FROM (SELECT DISTINCT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_new}') a
+    JOIN (SELECT DISTINCT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_old}') b
+      ON a.entity_id = b.entity_id
+    WHERE a.class_name <> b.class_name""", "predictions")
 
 
 def rnd(cols: list[str], src: str, keep: list[str] | None = None) -> str:
@@ -310,8 +314,9 @@ def oracle_statements() -> dict[str, str]:
         "three_way_label_pred": statement(f"""
             SELECT x.user_id, d.entity_id, x.class_name AS class_trusted, p.class_name AS class_pred
             FROM decoded x JOIN device_user d ON x.user_id = d.user_id
-            JOIN predictions p ON d.entity_id = p.entity_id
-            WHERE d.stat_date = '{LD}' AND p.stat_date = '{QP.snapshot_new}'""",
+            JOIN (SELECT DISTINCT entity_id, class_name FROM predictions
+                  WHERE stat_date = '{QP.snapshot_new}') p ON d.entity_id = p.entity_id
+            WHERE d.stat_date = '{LD}'""",
             "decoded", "device_user", "predictions"),
         "train_set": statement("SELECT * FROM train", "train"),
         "predict_set": statement("SELECT * FROM predict", "predict"),

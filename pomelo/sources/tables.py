@@ -54,9 +54,12 @@ def latest_partition(df: DataFrame, col: str = PARTITION_COL,
 
 def snapshot_pair(df: DataFrame, key: str, value: str, new_date: str, old_date: str,
                   col: str = PARTITION_COL) -> tuple[DataFrame, DataFrame]:
-    """Two fixed snapshots with per-snapshot renames of ``value``."""
-    a = day_partition(df, new_date, col).select(key, F.col(value).alias(f"{value}_new"))
-    b = day_partition(df, old_date, col).select(key, F.col(value).alias(f"{value}_old"))
+    """Two fixed snapshots with per-snapshot renames of ``value``.
+
+    Each side is reduced to distinct (key, value) rows, so copies of a row
+    cannot multiply in a join of the two snapshots."""
+    a = day_partition(df, new_date, col).select(key, F.col(value).alias(f"{value}_new")).distinct()
+    b = day_partition(df, old_date, col).select(key, F.col(value).alias(f"{value}_old")).distinct()
     return a, b
 
 

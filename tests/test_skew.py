@@ -41,3 +41,17 @@ def test_hot_entity_is_split_and_result_is_whole(spark):
     hot_codes = sorted({pos[f"11{(i * 7 + j) % 300}"] for i in range(3000) for j in range(5)})
     assert feats["hot"] == " ".join(f"{c}:1" for c in hot_codes)
     assert len(feats) == 2001 and len(codes) == 300
+
+
+def test_copies_do_not_multiply_join_rows(spark):
+    from pomelo.operators import compare as CP
+    from pomelo.operators import labels as LB
+    # 200 copies of one stored prediction in each snapshot: one changed row
+    preds = spark.createDataFrame([("a", "pos", "N")] * 200 + [("a", "neg", "O")] * 200,
+                                  "entity_id string, class_name string, stat_date string")
+    assert CP.snapshot_changes(preds, "N", "O").count() == 1
+    # 100 copies of one user row with 50 devices: 50 label rows, not 5000
+    users = spark.createDataFrame([(1, 2)] * 100, "user_id bigint, label_code int")
+    dev = spark.createDataFrame([(f"d{i}", 1, "D") for i in range(50)],
+                                "entity_id string, user_id bigint, stat_date string")
+    assert LB.user_device_labels(users, dev, "D").count() == 50
