@@ -78,3 +78,11 @@ def test_threshold_from_training_summary(spark):
     assert len(b) == 1 and 0.0 < b[0].threshold < 1.0 and 0.0 < b[0].f1 <= 1.0
     ref = c.model.summary.fMeasureByThreshold.agg(F.max("F-Measure")).collect()[0][0]
     assert abs(b[0].f1 - ref) < 1e-12
+
+
+def test_random_split_variant_is_seeded(spark):
+    df = spark.range(2000).withColumnRenamed("id", "entity_id").coalesce(4)
+    a1, b1 = ST.random_split(df, 1234, 0.8)
+    a2, b2 = ST.random_split(df, 1234, 0.8)
+    assert sorted(r.entity_id for r in a1.collect()) == sorted(r.entity_id for r in a2.collect())
+    assert a1.count() + b1.count() == 2000 and 0.7 < a1.count() / 2000 < 0.9

@@ -60,3 +60,14 @@ def test_publish_writes_three_sinks(spark):
     assert spark.table(pred).where(F.col("stat_date") == "20171028").count() == 2
     assert spark.table(latest).count() == 2
     assert spark.table(metrics).count() == 1
+
+
+def test_read_hive_default_text_files(spark):
+    import os
+    loc = scratch_path(spark, "hive_text")
+    path = loc[len("file:"):] if loc.startswith("file:") else loc
+    os.makedirs(path, exist_ok=True)
+    with open(os.path.join(path, "part-0"), "w", encoding="utf-8") as f:
+        f.write("a\u00011\nb\u0001\\N\n")
+    df = SK.read_delimited(spark, loc, "k string, v int")
+    assert sorted((r.k, r.v) for r in df.collect()) == [("a", 1), ("b", None)]
