@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pomelo import params as P
 from pomelo.functions import recode as R
-from pomelo.sources.tables import day_partition
+from pomelo.sources.tables import day_partition, distinct_per_key
 
 
 def first_per_key(df: DataFrame, key: str = "entity_id", value: str = "label") -> DataFrame:
@@ -27,7 +27,7 @@ def user_device_labels(users: DataFrame, device_user: DataFrame, date: str,
 
     User rows are made distinct first, so copies of one user row cannot
     multiply that user's device rows (a join emits one row per device)."""
-    u = users.where(F.col("label_code").isin(*codes)).select("user_id", "label_code").distinct()
+    u = distinct_per_key(users.where(F.col("label_code").isin(*codes)), "user_id", "label_code")
     d = day_partition(device_user, date).select("entity_id", "user_id")
     return (u.join(d, "user_id")
             .select("entity_id", R.code_to_label("label_code", positive_code).alias("label")))
@@ -87,8 +87,9 @@ def three_way(decoded: DataFrame, device_user: DataFrame, preds: DataFrame,
     d = day_partition(device_user, device_date).select("entity_id", "user_id")
     # distinct (entity, class) rows: copies of a stored prediction cannot
     # multiply the device rows of that entity
-    p = (day_partition(preds, pred_date)
-         .select("entity_id", F.col("class_name").alias("class_pred")).distinct())
+    p = distinct_per_key(day_partition(preds, pred_date)
+                         .select("entity_id", F.col("class_name").alias("class_pred")),
+                         "entity_id", "class_pred")
     return (decoded.select("user_id", F.col("class_name").alias("class_trusted"))
             .join(d, "user_id").join(p, "entity_id")
             .select("user_id", "entity_id", "class_trusted", "class_pred"))

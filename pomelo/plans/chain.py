@@ -247,8 +247,8 @@ class Chain:
     def stored_latest(self) -> DataFrame:
         """The stored predictions of the newest snapshot, distinct (entity,
         class) rows so copies cannot multiply the truth join."""
-        return (TB.day_partition(self.inp.predictions, self.p.snapshot_new)
-                .select("entity_id", "class_name").distinct())
+        return TB.distinct_per_key(TB.day_partition(self.inp.predictions, self.p.snapshot_new),
+                                   "entity_id", "class_name")
 
     @cached_property
     def snapshot_changes(self) -> DataFrame:

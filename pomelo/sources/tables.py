@@ -52,14 +52,27 @@ def latest_partition(df: DataFrame, col: str = PARTITION_COL,
     return df.where(F.col(col).cast("int") == latest)
 
 
+def distinct_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Distinct (key, value) rows, hash-partitioned by ``key``.
+
+    ``collect_set`` combines map-side (copies of a row collapse before the
+    shuffle) and holds the distinct values of one key (a handful of
+    classes); exploding it keeps the partitioning by ``key``, so a following
+    join on ``key`` needs no second shuffle."""
+    return (df.groupBy(key).agg(F.collect_set(value).alias("_vals"))
+            .select(key, F.explode("_vals").alias(value)))
+
+
 def snapshot_pair(df: DataFrame, key: str, value: str, new_date: str, old_date: str,
                   col: str = PARTITION_COL) -> tuple[DataFrame, DataFrame]:
     """Two fixed snapshots with per-snapshot renames of ``value``.
 
     Each side is reduced to distinct (key, value) rows, so copies of a row
     cannot multiply in a join of the two snapshots."""
-    a = day_partition(df, new_date, col).select(key, F.col(value).alias(f"{value}_new")).distinct()
-    b = day_partition(df, old_date, col).select(key, F.col(value).alias(f"{value}_old")).distinct()
+    a = distinct_per_key(day_partition(df, new_date, col).select(key, F.col(value).alias(f"{value}_new")),
+                         key, f"{value}_new")
+    b = distinct_per_key(day_partition(df, old_date, col).select(key, F.col(value).alias(f"{value}_old")),
+                         key, f"{value}_old")
     return a, b
 
 
