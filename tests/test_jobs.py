@@ -59,3 +59,22 @@ def test_latest_partition_from_catalog(spark):
         SK.overwrite_partition(spark, spark.createDataFrame([(d,)], "k string"), name, d)
     v = spark.range(1).select(latest_partition_value_from_catalog(spark, name).alias("v")).collect()[0].v
     assert v == 20171105
+
+
+def test_daily_command_line_reads_catalog_tables(spark):
+    import json
+    import dataclasses
+    from pomelo.plans import daily
+    inputs = FX.load_inputs(spark, SF_SMALL)
+    names = {}
+    for f in dataclasses.fields(FX.Inputs):
+        view = f"in_{f.name}_{uuid.uuid4().hex[:6]}"
+        getattr(inputs, f.name).createOrReplaceTempView(view)
+        names[f.name] = view
+    root = scratch_path(spark, "daily")
+    daily.main(["--date", "20171028", "--out-root", root, "--top-k", "1000",
+                "--inputs", json.dumps(names), "--jobs", "label,decode,agreement"])
+    t = J.TableNames(root=root)
+    assert spark.table(t.known_labels).count() > 0
+    assert spark.table(t.decoded).count() > 0
+    assert spark.table(t.truth_part).count() > 0
