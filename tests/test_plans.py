@@ -21,10 +21,13 @@ def plan_text(df) -> str:
 
 
 @pytest.mark.parametrize("name", sorted(set(E.queries()) - SINK_QUERIES))
-def test_no_cross_join_or_nested_loop(spark, name):
+def test_no_cross_join_nested_loop_or_python(spark, name):
     text = plan_text(E.queries()[name](spark, SF_SMALL))
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
+    # everything stays in the JVM: no Python UDF / pandas evaluation nodes
+    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
+        assert node not in text
 
 
 def test_feature_join_broadcasts_only_the_bounded_index(spark):
