@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pomelo.llm import bpe_tree
+from pomelo.llm import bpe_tree, packing
 from pomelo.llm.common import table
 
 
@@ -14,8 +14,13 @@ def op6_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_decode_report(table(spark, sf_dir, "documents"))
 
 
+def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_tree": op6_bpe_tree,
+    "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
 }
 
 ORACLES: dict[str, str] = {}
