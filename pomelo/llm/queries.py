@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pomelo.llm import bpe_tree, packing
+from pomelo.llm import bpe_tree, packing, simhash
 from pomelo.llm.common import table
 
 
@@ -18,9 +18,14 @@ def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
 
+def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_tree": op6_bpe_tree,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
+    "op9_simhash_multi_index": op9_simhash_multi_index,
 }
 
 ORACLES: dict[str, str] = {}
