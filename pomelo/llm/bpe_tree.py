@@ -107,9 +107,12 @@ class ByteBpe:
             return np.array(self.slow.encode(text, add_special_tokens=False).ids, dtype=np.uint32)
         return self.fast.encode_to_numpy(text)
 
-    def decode(self, ids) -> str:
-        get = self.bytes_of.__getitem__
-        return b"".join(map(get, ids)).decode("utf-8", errors="replace")
+    def decode(self, ids: list[int]) -> str:
+        try:
+            raw = self.fast._core_bpe.decode_bytes(ids)
+        except KeyError:                       # special tokens among them
+            raw = b"".join(map(self.bytes_of.__getitem__, ids))
+        return raw.decode("utf-8", errors="replace")
 
     # -- parts of a text and their joins ----------------------------------
     def split(self, text: str) -> list[str]:
@@ -215,7 +218,7 @@ def encoder(vocab: str) -> ByteBpe:
 def _ids_array(rows: list[np.ndarray]) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.concatenate(rows).astype(np.int32) if rows else np.zeros(0, np.int32)
+    flat = np.concatenate(rows).view(np.int32) if rows else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
@@ -232,8 +235,9 @@ def text_of(ids: Column, vocab: str = VOCAB) -> Column:
     """The text that ids stand for; bytes that are no UTF-8 become U+FFFD."""
     @F.arrow_udf(T.StringType())
     def decode(rows: pa.Array) -> pa.Array:
-        one = encoder(vocab)
-        return pa.array([one.decode(r) if r is not None else "" for r in rows.to_pylist()], pa.string())
+        one, ends = encoder(vocab), rows.offsets.to_numpy()
+        flat = rows.values.to_numpy()          # a null list has no values
+        return pa.array([one.decode(flat[a:b].tolist()) for a, b in zip(ends, ends[1:])], pa.string())
     return decode(ids)
 
 
