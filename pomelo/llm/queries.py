@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pomelo.llm import bpe_tree, outlier_rules, packing, quality_mil, simhash
+from pomelo.llm import bpe_tree, outlier_rules, packing, quality_mil, secret_dfa, simhash
 from pomelo.llm.common import table
 
 
@@ -14,6 +14,10 @@ def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outlier_rules.report(table(spark, sf_dir, "documents"))
 
 
+def op3_secret_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_dfa.report(table(spark, sf_dir, "documents"))
+
+
 def op4_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -32,6 +36,7 @@ def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_robust_outliers": op2_robust_outliers,
+    "op3_secret_automaton": op3_secret_automaton,
     "op4_attention_mil": op4_attention_mil,
     "op6_bpe_tree": op6_bpe_tree,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
