@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, outlier_rules, packing, quality_mil, secret_dfa, simhash
+from pomelo.llm import bpe_tree, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash
 from pomelo.llm.common import table
 
 
@@ -34,6 +35,10 @@ def op9_simhash_multi_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.report(table(spark, sf_dir, "documents"))
 
 
+def op10_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_robust_outliers": op2_robust_outliers,
     "op3_secret_automaton": op3_secret_automaton,
@@ -41,6 +46,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_bpe_tree": op6_bpe_tree,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_simhash_multi_index": op9_simhash_multi_index,
+    "op10_mtree_top_k": op10_mtree_top_k,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op10_mtree_top_k": """
+        WITH v AS (
+            SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+            GROUP BY vec_id),
+        s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id)
+        SELECT query_id, rank, vec_id, score FROM (
+            SELECT query_id, vec_id, score,
+                   CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s)
+        WHERE rank <= 10
+    """,
+}
