@@ -7,10 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash
+from pomelo.llm import bpe_tree, chat_template, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash
 from pomelo.llm.common import table
 
 
+def op1_chat_template(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    said = "\\### Assistant: </turn> ok"
+    own = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    return chat_template.report(rows.unionByName(own))
+
+
 def op2_robust_outliers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return outlier_rules.report(table(spark, sf_dir, "documents"))
 
@@ -40,6 +47,7 @@ def op10_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_chat_template": op1_chat_template,
     "op2_robust_outliers": op2_robust_outliers,
     "op3_secret_automaton": op3_secret_automaton,
     "op4_attention_mil": op4_attention_mil,
@@ -49,7 +57,26 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_mtree_top_k": op10_mtree_top_k,
 }
 
+_ESCAPED = ("replace(replace(replace(replace({0}, '\\', '\\\\'), '<turn>', '\\<turn>'), "
+            "'<text>', '\\<text>'), '</turn>', '\\</turn>')")
+
 ORACLES: dict[str, str] = {
+    "op1_chat_template": f"""
+        WITH r AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\\### Assistant: </turn> ok'),
+        c AS (
+            SELECT conv_id, count(*) AS n_turns,
+                   sha256(string_agg(role || chr(10) || text || chr(10), ''
+                                     ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+                   coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, ''
+                                       ORDER BY turn NULLS FIRST, role, text), '') AS loss,
+                   sum(length({_ESCAPED.format('role')}) + length({_ESCAPED.format('text')}) + 20) AS size
+            FROM r GROUP BY conv_id)
+        SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
+               sha256(loss) AS loss_sha256, CAST(size AS BIGINT) AS formatted_chars FROM c
+    """,
     "op10_mtree_top_k": """
         WITH v AS (
             SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
