@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, chat_template, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash
+from pomelo.llm import bpe_tree, chat_template, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
 from pomelo.llm.common import table
 
 
@@ -34,6 +34,10 @@ def op6_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_decode_report(table(spark, sf_dir, "documents"))
 
 
+def op7_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_crf.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op8_sum_of_squares_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(table(spark, sf_dir, "documents"))
 
@@ -52,6 +56,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_secret_automaton": op3_secret_automaton,
     "op4_attention_mil": op4_attention_mil,
     "op6_bpe_tree": op6_bpe_tree,
+    "op7_crf_toxicity": op7_crf_toxicity,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_mtree_top_k": op10_mtree_top_k,
