@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, chat_template, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
+from pomelo.llm import bpe_tree, chat_template, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
 from pomelo.llm.common import table
 
 
@@ -30,6 +30,10 @@ def op4_attention_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_mil.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_license_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_digest.report(table(spark, sf_dir, "documents"))
+
+
 def op6_bpe_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_tree.encode_decode_report(table(spark, sf_dir, "documents"))
 
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_robust_outliers": op2_robust_outliers,
     "op3_secret_automaton": op3_secret_automaton,
     "op4_attention_mil": op4_attention_mil,
+    "op5_license_digest": op5_license_digest,
     "op6_bpe_tree": op6_bpe_tree,
     "op7_crf_toxicity": op7_crf_toxicity,
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
@@ -82,6 +87,7 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
                sha256(loss) AS loss_sha256, CAST(size AS BIGINT) AS formatted_chars FROM c
     """,
+    "op5_license_digest": license_digest.oracle(),
     "op10_mtree_top_k": """
         WITH v AS (
             SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
