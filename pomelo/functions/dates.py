@@ -14,13 +14,15 @@ import datetime as _dt
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from pomelo.functions.text import java_trim
+
 
 def normalise_run_date(c: Column | str) -> Column:
     """Column form of D1 (``yyyyMMdd`` string in, ``yyyyMMdd`` string out)."""
     c = F.col(c) if isinstance(c, str) else c
-    y = F.btrim(F.substring(c, 1, 4)).cast("int")
-    m = F.btrim(F.substring(c, 5, 2)).cast("int")
-    d = F.btrim(F.substring(c, 7, 2)).cast("int")
+    y = java_trim(F.substring(c, 1, 4)).cast("int")
+    m = java_trim(F.substring(c, 5, 2)).cast("int")
+    d = java_trim(F.substring(c, 7, 2)).cast("int")
     day = F.date_add(F.add_months(F.make_date(y, F.lit(1), F.lit(1)), m - 1), d - 1)
     return F.date_format(day, "yyyyMMdd")
 

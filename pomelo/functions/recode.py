@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from pomelo import params as P
+from pomelo.functions.text import java_trim
 
 
 def _c(c: Column | str) -> Column:
@@ -32,7 +33,7 @@ def label_to_class(c: Column | str, classes: P.ClassNames) -> Column:
 
 def birth_year(code: Column | str) -> Column:
     """Year from an encoded id by its length (14 -> [6,10), 12 -> 1900+[6,8))."""
-    code = F.btrim(_c(code))
+    code = java_trim(code)
     n = F.length(code)
     return (F.when(n == 14, F.substring(code, 7, 4).cast("int"))
             .when(n == 12, F.substring(code, 7, 2).cast("int") + 1900)
@@ -61,5 +62,5 @@ def double_text(c: Column) -> Column:
 
 def parity_class(c: Column | str, classes: P.ClassNames) -> Column:
     """Odd -> positive name, even -> negative name (strict int cast)."""
-    n = F.btrim(_c(c).cast("string")).cast("int")
+    n = java_trim(_c(c).cast("string")).cast("int")
     return F.when(n % 2 == 0, F.lit(classes.negative)).otherwise(F.lit(classes.positive))

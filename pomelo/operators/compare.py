@@ -2,7 +2,7 @@
 
 M14 asks, per snapshot, how many of the entities whose class changed (and
 that hold a given class on that snapshot) have a listed item.  The item list
-is a parameter (S6) and is broadcast with its proven size; entities are
+is a parameter (S6), counted before it is broadcast; entities are
 counted distinct (trap #28, deviation) and the raw joined-row count is kept
 next to it.
 """
@@ -19,16 +19,17 @@ from pomelo.sources.tables import snapshot_pair
 
 def snapshot_changes(preds: DataFrame, new_date: str, old_date: str,
                      key: str = "entity_id", value: str = "class_name") -> DataFrame:
-    """S5 + J12 + F10: (entity_id, class_new, class_old) where they differ."""
+    """S5 + J12 + F10: (entity_id, class_new, class_old) where they differ; a
+    null class differs from every other."""
     a, b = snapshot_pair(preds, key, value, new_date, old_date)
     return (a.join(b, key)
-            .where(F.col(f"{value}_new") != F.col(f"{value}_old"))
+            .where(~F.col(f"{value}_new").eqNullSafe(F.col(f"{value}_old")))
             .select(key, F.col(f"{value}_new").alias("class_new"),
                     F.col(f"{value}_old").alias("class_old")))
 
 
 def changed_item_share(changes: DataFrame, items_new: DataFrame, items_old: DataFrame,
-                       item_list: DataFrame, list_bound: int, cls: str) -> DataFrame:
+                       item_list: DataFrame, cls: str) -> DataFrame:
     """J13 + F11 + A3 + M14, both snapshots in one row, one pass.
 
     ``items_*`` are (entity_id, item_id) rows of the behaviour on each date.
@@ -42,7 +43,7 @@ def changed_item_share(changes: DataFrame, items_new: DataFrame, items_old: Data
     n_hit_rows  the reference's joined-row count (an entity listing an item
                 twice counts twice)
     """
-    lst = bounded_broadcast(item_list.select("item_id").distinct(), list_bound)
+    lst = bounded_broadcast(item_list.select("item_id").distinct())
 
     def hits(items: DataFrame, side: str) -> DataFrame:
         return (items.join(lst, "item_id", "left_semi")

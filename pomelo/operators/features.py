@@ -15,13 +15,13 @@ Plan shape (the behaviour table is the only large input):
 
 from __future__ import annotations
 
-from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pomelo import params as P
 from pomelo.functions import text as T
-from pomelo.operators.tokens import active_index_terms
+from pomelo.operators.tokens import index_values
 from pomelo.session import bounded_broadcast
 
 
@@ -31,8 +31,11 @@ def topk_order() -> list:
 
 
 def item_codes(item_dim: DataFrame, prefix: str = P.CODE_PREFIX) -> DataFrame:
-    """P5 + P8 + P10: (item_code = prefix + trimmed id, item_name, install_num)."""
-    return item_dim.select(
+    """P5 + P8 + P10: (item_code = prefix + trimmed id, item_name, install_num).
+
+    Items without an id are dropped here, before they could take a top-K slot."""
+    blank = T.java_trim(F.regexp_replace("item_id", "\n", "")) == ""
+    return item_dim.where(F.col("item_id").isNotNull() & ~blank).select(
         T.add_prefix(prefix, "item_id").alias("item_code"),
         T.java_trim(F.regexp_replace("item_name", "\n", "")).alias("item_name"),
         F.col("install_num").cast("bigint").alias("install_num"))
@@ -107,20 +110,18 @@ def feature_rows(pairs: DataFrame, index: DataFrame, k: int) -> DataFrame:
                                  " ").alias("feature")))
 
 
-def vectorizer(k: int, input_col: str = "terms", output_col: str = "features") -> CountVectorizerModel:
-    """M1: sparse vector of dimension K from canonical index terms "0".."K-1".
-
-    A fixed vocabulary maps term ``str(i)`` to position ``i``; binary output
-    gives the 0/1 features.  Runs in the JVM (no Python per row); indices
-    come out sorted and de-duplicated, as ``Vectors.sparse`` requires.
-    """
-    vocab = [str(i) for i in range(k)]
-    return CountVectorizerModel.from_vocabulary(vocab, inputCol=input_col,
-                                                outputCol=output_col, binary=True)
-
-
 def assemble_vectors(df: DataFrame, k: int, feature_col: str = "feature",
                      output_col: str = "features") -> DataFrame:
-    """M1 on a frame with a feature string column."""
-    with_terms = df.withColumn("_terms", active_index_terms(feature_col))
-    return vectorizer(k, "_terms", output_col).transform(with_terms).drop("_terms")
+    """M1: the sparse vector of dimension K of a feature string, values and all.
+
+    Tokens are parsed and sorted in the JVM; an Arrow-batched function only
+    wraps indices and values as a vector.  An index outside [0, K), or one
+    that occurs twice, fails the job."""
+    @F.udf(VectorUDT(), useArrow=True)
+    def sparse(index, value):
+        if len(index) and not 0 <= index[0] <= index[-1] < k:
+            raise ValueError(f"column index outside [0, {k})")
+        return Vectors.sparse(k, index, value)
+
+    pairs = index_values(feature_col)
+    return df.withColumn(output_col, sparse(F.transform(pairs, lambda p: p["i"]), F.transform(pairs, lambda p: p["v"])))

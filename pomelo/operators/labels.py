@@ -23,11 +23,11 @@ def first_per_key(df: DataFrame, key: str = "entity_id", value: str = "label") -
 
 def user_device_labels(users: DataFrame, device_user: DataFrame, date: str,
                        codes: tuple[int, ...] = (1, 2), positive_code: int = 2) -> DataFrame:
-    """J3 + F2 + P12: (entity_id, label) rows, not yet de-duplicated.
+    """J3 + F1 + F2 + P12: (entity_id, label) rows of one day, not yet de-duplicated.
 
-    User rows are made distinct first, so copies of one user row cannot
-    multiply that user's device rows (a join emits one row per device)."""
-    u = distinct_per_key(users.where(F.col("label_code").isin(*codes)), "user_id", "label_code")
+    User rows of the day are made distinct first, so copies of one user row
+    cannot multiply that user's device rows (a join emits one row per device)."""
+    u = distinct_per_key(day_partition(users, date).where(F.col("label_code").isin(*codes)), "user_id", "label_code")
     d = day_partition(device_user, date).select("entity_id", "user_id")
     return (u.join(d, "user_id")
             .select("entity_id", R.code_to_label("label_code", positive_code).alias("label")))
@@ -45,7 +45,7 @@ def two_branch_labels(users: DataFrame, device_user: DataFrame, date: str,
     d = day_partition(device_user, date).select("entity_id", "user_id")
 
     def branch(code: int, label: int) -> DataFrame:
-        u = users.where(F.col("label_code") == code).select("user_id").distinct()
+        u = distinct_per_key(day_partition(users, date).where(F.col("label_code") == code), "user_id", "label_code")
         return u.join(d, "user_id").select("entity_id", F.lit(label).alias("label"))
 
     return branch(positive_code, 1).unionByName(branch(negative_code, 0))

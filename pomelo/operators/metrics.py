@@ -6,10 +6,11 @@ instead of one action per count.  Ratios use ``try_divide`` so x/0 is NULL
 
 The F1-by-threshold curve (M6) needs a running sum over all distinct scores
 in descending order.  A global window would move every distinct score to
-one task, so it is computed as a distributed prefix sum: the distinct scores
-are cut into ranges at approximate quantiles (at most ``MAX_RANGES`` numbers
-reach the driver), a window runs inside each range, and the totals of the
-ranges above are added from a table with one row per range.
+one task, so it is computed as a distributed prefix sum: the distinct scores,
+kept in the checkpoint folder, are cut at approximate quantiles into ranges of
+about ``RANGE_ROWS`` (one number per range reaches the driver), a window runs
+inside each range, and the totals of the ranges above are added from a table
+with one row per range.
 """
 
 from __future__ import annotations
@@ -18,11 +19,11 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pomelo.session import bounded_broadcast
+from pomelo.session import bounded_broadcast, ensure_checkpoint_dir
 
 
-# Upper bound of the ranges of the F1 prefix sum (and of its offsets table).
-MAX_RANGES = 1024
+# Distinct scores in one range of the F1 prefix sum, about.
+RANGE_ROWS = 50_000
 
 
 def ratio(num: Column, den: Column) -> Column:
@@ -85,25 +86,22 @@ def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label
     At threshold t: tp = #(label 1, score >= t), pp = #(score >= t),
     f1 = 2 tp / (pp + P) with P the number of positives.
     """
+    ensure_checkpoint_dir(scored.sparkSession)
     g = (scored.groupBy(F.col(score).alias("threshold"))
-         .agg(count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("cnt")))
-    spark = scored.sparkSession
-    n_ranges = min(ranges or int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_RANGES)
-    # Range boundaries: approximate quantiles of the distinct scores, one
-    # partially aggregated pass returning at most MAX_RANGES - 1 numbers.
-    # Each score finds its range by binary search (Bucketizer, in the JVM);
-    # range 0 holds the highest scores and equal scores share a range.
+         .agg(count_if(F.col(label) == 1).alias("pos"), F.count(F.lit(1)).alias("cnt"))
+         .checkpoint(eager=True))
+    n_ranges = max(2, ranges or -(-g.count() // RANGE_ROWS))
+    # Range boundaries: approximate quantiles of the distinct scores.  Each
+    # score finds its range by binary search (Bucketizer, in the JVM); range 0
+    # holds the highest scores and equal scores share a range.
     probs = [i / n_ranges for i in range(1, n_ranges)]
-    cuts = g.agg(F.percentile_approx("threshold", probs or [0.5], 10000).alias("b")).first()
-    bounds = sorted({float(b) for b in (cuts.b or [])}) if probs else []
-    if bounds:
-        splits = [float("-inf")] + bounds + [float("inf")]
-        ranged = (Bucketizer(splits=splits, inputCol="threshold", outputCol="bucket")
-                  .transform(g)
-                  .withColumn("rng", (F.lit(len(splits) - 2) - F.col("bucket")).cast("int"))
-                  .drop("bucket"))
-    else:  # empty input or a single range
-        ranged = g.withColumn("rng", F.lit(0))
+    cuts = g.agg(F.percentile_approx("threshold", probs, max(10000, 20 * n_ranges)).alias("b")).first()
+    bounds = sorted({float(b) for b in (cuts.b or [0.0])})
+    splits = [float("-inf")] + bounds + [float("inf")]
+    ranged = (Bucketizer(splits=splits, inputCol="threshold", outputCol="bucket")
+              .transform(g)
+              .withColumn("rng", (F.lit(len(splits) - 2) - F.col("bucket")).cast("int"))
+              .drop("bucket"))
     local = Window.partitionBy("rng").orderBy(F.col("threshold").desc()).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ranged = (ranged.withColumn("tp_local", F.sum("pos").over(local))
@@ -117,7 +115,7 @@ def f1_by_threshold(scored: DataFrame, score: str = "score", label: str = "label
         F.coalesce(F.sum("rpos").over(above), F.lit(0)).alias("tp_off"),
         F.coalesce(F.sum("rcnt").over(above), F.lit(0)).alias("pp_off"),
         F.sum("rpos").over(every).alias("positives"))
-    out = ranged.join(bounded_broadcast(offs, MAX_RANGES), "rng")
+    out = ranged.join(bounded_broadcast(offs, len(bounds) + 1), "rng")
     tp = (F.col("tp_local") + F.col("tp_off")).cast("bigint")
     pp = (F.col("pp_local") + F.col("pp_off")).cast("bigint")
     return out.select(
@@ -168,8 +166,3 @@ def side_by_side(parts: list[tuple[DataFrame, dict[str, str]]]) -> DataFrame:
         stacked = part if stacked is None else stacked.unionByName(part)
         names += list(cols.values())
     return stacked.agg(*[F.max(F.when(F.col("metric") == n, F.col("value"))).alias(n) for n in names])
-
-
-def one_row(metrics: list[tuple[str, DataFrame]]) -> DataFrame:
-    """``side_by_side`` for one-column frames: [(output name, frame)]."""
-    return side_by_side([(df, {df.columns[0]: name}) for name, df in metrics])

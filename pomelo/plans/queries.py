@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pomelo.functions.dates import normalise_run_date
-from pomelo.operators import compare as CP
 from pomelo.operators import features as FE
 from pomelo.operators import labels as LB
 from pomelo.operators import merge as MG
@@ -70,7 +69,8 @@ def q_labels_from_users(spark, sf_dir):
 
 
 def q_labels_two_branch_union(spark, sf_dir):
-    return MT.group_count(_chain(spark, sf_dir).two_branch, "label")
+    """P13 + U4: the rows of both branches, as the twin table gets them."""
+    return _chain(spark, sf_dir).two_branch
 
 
 def q_labels_from_devices(spark, sf_dir):
@@ -136,8 +136,8 @@ def _rounded(df: DataFrame, *cols: str) -> DataFrame:
 
 
 def q_score_linear(spark, sf_dir):
-    c = _chain(spark, sf_dir)
-    s = MD.score_with_weights(c.predict, c.weights, c.p.top_k, c.p.threshold)
+    c = _mchain(spark, sf_dir)
+    s = MD.score_with_weights(c.predict, c.weights, c.p.threshold, margin_digits=6)
     return _rounded(s, "score")
 
 
@@ -196,11 +196,7 @@ DRIFT_ITEMS = [("7",), ("42",), ("137",), ("1009",)]
 
 
 def q_changed_item_share(spark, sf_dir):
-    c = _chain(spark, sf_dir)
-    items = TB.literal_frame(spark, DRIFT_ITEMS, "item_id string")
-    beh_new = c.behavior_items  # behaviour of the run date for both snapshots
-    return CP.changed_item_share(c.snapshot_changes, beh_new, beh_new, items, len(DRIFT_ITEMS),
-                                 c.p.classes.negative)
+    return _chain(spark, sf_dir).changed_item_share(TB.literal_frame(spark, DRIFT_ITEMS, "item_id string"))
 
 
 def q_run_record(spark, sf_dir):
@@ -218,20 +214,40 @@ def q_validation_run(spark, sf_dir):
     return _rounded(row.select(F.lit(c.p.snapshot_new).alias("date"), "*"), "accuracy_full", "accuracy_part")
 
 
+def _fit_checks(c: Chain, model) -> DataFrame:
+    """Per entity of the predict set: scored by ``transform`` as by the
+    exported weights, and class 1 exactly above the threshold."""
+    a = MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
+    w = MD.weight_table(c.spark, model)
+    b = (MD.score_with_weights(c.predict, w, c.p.threshold, float(model.intercept))
+         .select("entity_id", F.col("score").alias("long_score")))
+    return a.join(b, "entity_id", "full_outer").select(
+        "entity_id", (F.abs(F.col("score") - F.col("long_score")) < 1e-9).alias("score_is_sigmoid_of_margin"),
+        ((F.col("prediction") == 1) == (F.col("score") > c.p.threshold)).alias("prediction_is_above_threshold"))
+
+
 def q_lr_fit_predict(spark, sf_dir):
     """M1 + M4 + M8: fit on the train part of the split, score the predict set."""
     c = _mchain(spark, sf_dir)
-    train = c.split.where(F.col("split") == "train")
-    model = MD.fit(train, c.p.top_k, MD.lbfgs_estimator())
-    return MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
+    model = MD.fit(c.split.where(F.col("split") == "train"), c.p.top_k, MD.lbfgs_estimator())
+    return _fit_checks(c, model)
 
 
 def q_lr_fit_intercept(spark, sf_dir):
-    """M5 + M12: the ML-API fit (intercept, 1000 iterations); loss history."""
+    """M5 + M12: the ML-API fit (intercept, 1000 iterations): the same checks, and
+    for the loss history that it never rises."""
     c = _mchain(spark, sf_dir)
-    train = c.split.where(F.col("split") == "train")
-    model = MD.fit(train, c.p.top_k, MD.ml_estimator())
-    return MD.loss_history(spark, model)
+    model = MD.fit(c.split.where(F.col("split") == "train"), c.p.top_k, MD.ml_estimator())
+    before = F.lag("loss").over(Window.orderBy("iteration"))        # at most maxIter rows
+    loss = MD.loss_history(spark, model).select("loss", before.alias("before"))
+    row = loss.agg((F.count(F.lit(1)) > 1).alias("has_history"),
+                   F.coalesce(F.max((F.col("loss") > F.col("before") + 1e-9).cast("int")), F.lit(0)).alias("rises"))
+    return (_fit_checks(c, model).withColumn("part", F.lit("score"))
+            .unionByName(row.select(F.lit("loss").alias("part"), F.lit("").alias("entity_id"),
+                                    F.col("has_history").alias("score_is_sigmoid_of_margin"),
+                                    (F.col("rises") == 0).alias("prediction_is_above_threshold")))
+            .withColumnsRenamed({"score_is_sigmoid_of_margin": "score_is_sigmoid_or_history",
+                                 "prediction_is_above_threshold": "prediction_above_or_never_rises"}))
 
 
 QUERIES: dict[str, Query] = {
@@ -251,6 +267,7 @@ QUERIES: dict[str, Query] = {
     "value_counts": q_value_counts,
     "run_date_normalise": q_run_date_normalise,
     "latest_partition_scan": q_latest_partition_scan,
+    "latest_partition_catalog": RT.latest_partition_catalog,
     "three_way_label_pred": q_three_way_label_pred,
     "train_set": q_train_set,
     "predict_set": q_predict_set,

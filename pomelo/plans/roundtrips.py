@@ -7,6 +7,7 @@ returns the table read back as a lazy DataFrame.
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -66,8 +67,8 @@ def null_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K9: run the three sinks of a run and summarise what each holds:
-    (sink, n_rows, n_pos, n_neg)."""
+    """K9: run the three sinks of a run; every row that each holds, as
+    (sink, key, class_name, value)."""
     c = Chain.from_testdata(spark, sf_dir, materialize=True)
     pred, latest, metrics = _name("pred"), _name("latest"), _name("metrics")
     SK.create_partitioned_table(spark, pred, "entity_id STRING, class_name STRING",
@@ -77,17 +78,28 @@ def publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = ", ".join(f"{x} DOUBLE" for x in record.columns)
     SK.create_partitioned_table(spark, metrics, cols, scratch_path(spark, metrics))
     SK.publish(spark, c.merged, record, c.p.run_date, pred, latest, metrics)
-    pos, neg = c.p.classes.positive, c.p.classes.negative
-
-    def summary(tag: str, df: DataFrame) -> DataFrame:
-        return df.agg(F.lit(tag).alias("sink"), F.count(F.lit(1)).alias("n_rows"),
-                      F.sum(F.when(F.col("class_name") == pos, 1).otherwise(0)).cast("bigint").alias("n_pos"),
-                      F.sum(F.when(F.col("class_name") == neg, 1).otherwise(0)).cast("bigint").alias("n_neg"))
-
-    m = spark.table(metrics).where(F.col("stat_date") == c.p.run_date)
-    msum = m.agg(F.lit("metrics").alias("sink"), F.count(F.lit(1)).alias("n_rows"),
-                 F.max(F.col("merged_pos")).cast("bigint").alias("n_pos"),
-                 F.max(F.col("merged_neg")).cast("bigint").alias("n_neg"))
-    return (summary("prediction_day", spark.table(pred).where(F.col("stat_date") == c.p.run_date))
-            .unionByName(summary("latest", spark.table(latest)))
-            .unionByName(msum))
+    none = F.lit(None)
+    day = spark.table(pred).where(F.col("stat_date") == c.p.run_date)
+    written = spark.table(metrics).where(F.col("stat_date") == c.p.run_date)
+    names = record.columns
+    values = written.select(F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value"))
+                                                for n in names])).alias("m"))
+    rows = [df.select(F.lit(tag).alias("sink"), F.col("entity_id").alias("key"), "class_name",
+                      none.cast("double").alias("value")) for tag, df in (("prediction_day", day), ("latest", spark.table(latest)))]
+    return rows[0].unionByName(rows[1]).unionByName(values.select(
+        F.lit("metrics").alias("sink"), "m.key", none.cast("string").alias("class_name"),
+        F.round("m.value", 6).alias("value")))
+
+
+def latest_partition_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S3 + S4 + P22: the trusted source as a partitioned table; its newest
+    partition is found by the partition names and read alone."""
+    c = Chain.from_testdata(spark, sf_dir)
+    name = _name("truth")
+    SK.create_partitioned_table(spark, name, "entity_id STRING, class_name STRING", scratch_path(spark, name))
+    truth = c.inp.truth_full.select("entity_id", "class_name", "stat_date")
+    for day in ("20170711", "20171105"):
+        SK.overwrite_partition(spark, truth.where(F.col("stat_date") == day), name, day)
+    inputs = dataclasses.replace(c.inp, truth_full=spark.table(name), truth_table=name)
+    latest = Chain(spark, inputs, c.p).truth_latest
+    return latest.select("entity_id", F.col("class_name").alias("class_trusted"))

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructType
 
-# A side is broadcast only when its row count is bounded by construction
-# (a top-K limit, a fixed small list) and that bound is below this value.
-MAX_BROADCAST_ROWS = 2_000_000
+# A side is broadcast only when its size, rows times estimated row width, stays below this.
+MAX_BROADCAST_BYTES = 256 << 20
 
 
 def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
@@ -40,18 +41,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    ``spark.checkpoint.dir`` is read from the session; only when it is unset
-    (local runs and tests) is a private folder created and set.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - remote sessions manage their own folder
-        return configured or ""
-    current = sc.getCheckpointDir() or configured
+    ``spark.checkpoint.dir`` is read from the session.  Only a run on this one
+    machine may do without: it gets a private folder.  On a cluster an unset
+    folder is an error, since a machine's own folder is not shared."""
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        if not re.fullmatch(r"local(\[.*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         current = tempfile.mkdtemp(prefix="pomelo-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return sc.getCheckpointDir() or current
@@ -63,14 +61,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/pomelo-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
-def bounded_broadcast(df: DataFrame, row_bound: int,
-                      max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if its proven row bound is small enough.
+def row_width(schema: StructType) -> int:
+    """Bytes of a row, estimated: strings and arrays at 64."""
+    return 16 + sum(64 if isinstance(f.dataType, (StringType, ArrayType, StructType)) else 8 for f in schema.fields)
 
-    ``row_bound`` must come from construction (a limit, a parameter), never
-    from a guess.  Above the limit the plan is left to the join planner and
-    AQE, which can still switch to a broadcast at run time.
-    """
-    if row_bound <= max_rows:
-        return F.broadcast(df)
-    return df
+
+def bounded_broadcast(df: DataFrame, row_bound: int | None = None, max_bytes: int | None = None) -> DataFrame:
+    """Broadcast ``df`` only if its size is known to be small enough.
+
+    ``row_bound`` is for frames whose plan has that limit (a top-K, one row
+    per range).  Without it the rows are counted, no further than the limit
+    allows.  Beyond the limit the join is left to the planner and AQE."""
+    most = (MAX_BROADCAST_BYTES if max_bytes is None else max_bytes) // row_width(df.schema)
+    if row_bound is None:
+        row_bound = df.limit(most + 1).count()
+    return F.broadcast(df) if row_bound <= most else df

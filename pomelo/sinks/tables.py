@@ -15,6 +15,8 @@ shared storage, e.g. under ``session.scratch_path``.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,10 +24,15 @@ PARTITION_COL = "stat_date"
 HIVE_SEP = "\u0001"
 
 
-def _view(df: DataFrame) -> str:
+@contextmanager
+def _view(df: DataFrame) -> Iterator[str]:
+    """A temporary view of ``df`` for one statement."""
     name = f"pomelo_src_{uuid.uuid4().hex[:12]}"
     df.createOrReplaceTempView(name)
-    return name
+    try:
+        yield name
+    finally:
+        df.sparkSession.catalog.dropTempView(name)
 
 
 def _q(s: str) -> str:
@@ -81,21 +88,28 @@ def create_text_table(spark: SparkSession, name: str, columns_ddl: str, location
 
 
 def overwrite_partition(spark: SparkSession, df: DataFrame, name: str, date: str,
-                        partition_col: str = PARTITION_COL) -> None:
-    """K4: replace one day partition with ``df`` (its columns in table order)."""
-    cols = ", ".join(f"`{c}`" for c in df.columns if c != partition_col)
-    spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition_col} = '{_q(date)}') "
-              f"SELECT {cols} FROM {_view(df)}")
+                        partition_col: str = PARTITION_COL, bucket_by: str | None = None, buckets: int = 0) -> None:
+    """K4: replace one day partition with ``df``, columns matched by name.
+
+    For a bucketed table the rows are dealt out by bucket first, so that each
+    bucket is one file whatever the number of tasks before."""
+    if bucket_by and buckets:
+        df = df.repartition(buckets, bucket_by)
+    with _view(df.drop(partition_col)) as view:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition_col} = '{_q(date)}') BY NAME "
+                  f"SELECT * FROM {view}")
 
 
 def overwrite_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """K5: replace the whole table (the "latest" table)."""
-    spark.sql(f"INSERT OVERWRITE TABLE {name} SELECT * FROM {_view(df)}")
+    """K5: replace the whole table (the "latest" table), columns matched by name."""
+    with _view(df) as view:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} BY NAME SELECT * FROM {view}")
 
 
 def append(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """K6: ``INSERT INTO``."""
-    spark.sql(f"INSERT INTO {name} SELECT * FROM {_view(df)}")
+    """K6: ``INSERT INTO``, columns matched by name."""
+    with _view(df) as view:
+        spark.sql(f"INSERT INTO {name} BY NAME SELECT * FROM {view}")
 
 
 def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = HIVE_SEP,

@@ -16,23 +16,11 @@ from pomelo.functions.dates import partition_value
 PARTITION_COL = "stat_date"
 
 
-def as_frame(spark: SparkSession, src: DataFrame | str) -> DataFrame:
-    """A DataFrame from a DataFrame or a catalog table name."""
-    return spark.table(src) if isinstance(src, str) else src
-
-
 def day_partition(df: DataFrame, date: str, col: str = PARTITION_COL) -> DataFrame:
     """``select * from T where stat_date = D`` (partition pruned)."""
     return df.where(F.col(col) == F.lit(date))
 
 
-def project(df: DataFrame, *cols: str | Column, **renames: str) -> DataFrame:
-    """Projected scan with optional ``new=old`` renames."""
-    out = [F.col(c) if isinstance(c, str) else c for c in cols]
-    out += [F.col(old).alias(new) for new, old in renames.items()]
-    return df.select(*out)
-
-
 def latest_partition_value(df: DataFrame, col: str = PARTITION_COL) -> Column:
     """The newest partition value as a scalar subquery (int)."""
     return df.select(F.max(F.col(col).cast("int"))).scalar()
@@ -53,14 +41,12 @@ def latest_partition(df: DataFrame, col: str = PARTITION_COL,
 
 
 def distinct_per_key(df: DataFrame, key: str, value: str) -> DataFrame:
-    """Distinct (key, value) rows, hash-partitioned by ``key``.
-
-    ``collect_set`` combines map-side (copies of a row collapse before the
-    shuffle) and holds the distinct values of one key (a handful of
-    classes); exploding it keeps the partitioning by ``key``, so a following
-    join on ``key`` needs no second shuffle."""
-    return (df.groupBy(key).agg(F.collect_set(value).alias("_vals"))
-            .select(key, F.explode("_vals").alias(value)))
+    """Distinct (key, value) rows; a null value is a value like any other.
+
+    The rows are hashed by both columns, so copies and hot keys spread, and a
+    following join on ``key`` has an exchange of its own on both sides, which
+    AQE can split where a key is hot."""
+    return df.select(key, value).distinct()
 
 
 def snapshot_pair(df: DataFrame, key: str, value: str, new_date: str, old_date: str,

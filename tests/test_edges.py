@@ -126,7 +126,7 @@ def test_trusted_null_keeps_prediction_and_trusted_only_added(spark):
 def test_score_equal_to_threshold_is_class_0(spark):
     feats = spark.createDataFrame([("e", "0:1 1:1")], "entity_id string, feature string")
     w = spark.createDataFrame([(0, 0.25), (1, -0.25)], "column_index int, weight double")
-    r = score_with_weights(feats, w, 2, 0.5).collect()[0]
+    r = score_with_weights(feats, w, 0.5).collect()[0]
     assert r.score == 0.5 and r.prediction == 0
 
 
@@ -194,7 +194,7 @@ def test_changed_item_share_counts(spark):
     items = spark.createDataFrame([("a", "7"), ("a", "7"), ("b", "8"), ("c", "7")],
                                   "entity_id string, item_id string")
     lst = spark.createDataFrame([("7",)], "item_id string")
-    r = CP.changed_item_share(ch, items, items, lst, 1, "neg").collect()[0]
+    r = CP.changed_item_share(ch, items, items, lst, "neg").collect()[0]
     # new side: a, b changed to neg; a holds item 7 (listed twice)
     assert (r.n_changed_new, r.n_hit_new, r.n_hit_rows_new, r.share_new) == (2, 1, 2, 0.5)
     # old side: c was neg; c holds item 7

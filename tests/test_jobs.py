@@ -4,15 +4,27 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from compare import assert_same
+from conftest import SF_SMALL, duck_for
 from pomelo import params as P
 from pomelo.plans import jobs as J
+from pomelo.plans.oracle import statement
 from pomelo.session import scratch_path
 from pomelo.sinks import tables as SK
 from pomelo.sources import fixtures as FX
 from pomelo.sources.tables import latest_partition_value_from_catalog
 
 
+D = "20171028"
+LEFT_ONLY = """SELECT entity_id, CASE WHEN label = 1 THEN 'pos' ELSE 'neg' END AS class_name FROM device_labels
+    WHERE entity_id NOT IN (SELECT entity_id FROM branch_labels)"""
+
+
+def same(table, sql, *pieces):
+    """A written table holds the rows of a statement over the oracle's pieces."""
+    assert_same(table.toPandas(), duck_for(SF_SMALL).execute(statement(sql, *pieces)).df())
+
+
 def test_daily_run(spark):
     tag = uuid.uuid4().hex[:6]
     t = J.TableNames(root=scratch_path(spark, "run"), **{
@@ -28,8 +40,18 @@ def test_daily_run(spark):
     assert bal.n == bal.n_pos + bal.n_neg > 0
     dist = J.decode_build(spark, chain, t).collect()
     assert abs(sum(r.share for r in dist) - 1.0) < 1e-5
-    rep = J.agreement(spark, chain, t).collect()[0]
-    assert rep.n_both == rep.n_match + rep.n_mismatch
+    for _ in range(2):      # a second run of the day changes nothing
+        rep = J.agreement(spark, chain, t).collect()[0]
+        assert rep.n_both == rep.n_match + rep.n_mismatch
+        same(spark.table(t.known_labels_twin), """
+            SELECT entity_id, label FROM two_branch
+            UNION SELECT a.entity_id, a.label FROM device_labels a JOIN branch_labels b USING (entity_id)
+            WHERE a.label = b.label""", "two_branch", "device_labels", "branch_labels")
+        same(spark.table(t.truth_part), LEFT_ONLY, "device_labels", "branch_labels")
+    same(spark.table(t.items), f"SELECT code, name, column_index, '{D}' AS stat_date FROM dim", "dim")
+    same(spark.table(t.features), f"SELECT entity_id, feature, '{D}' AS stat_date FROM features", "features")
+    same(spark.table(t.known_labels), "SELECT entity_id, label FROM known_labels", "known_labels")
+    same(spark.table(t.decoded), "SELECT user_id, age_range, class_name FROM decoded", "decoded")
 
     rec = J.train_publish(spark, chain, t).collect()
     # the training job read the bucketed feature table back: grouping it by
@@ -46,6 +68,11 @@ def test_daily_run(spark):
     assert spark.table(t.latest).count() == r.merged_pos + r.merged_neg
     acc = J.validation(spark, chain, t).collect()
     assert len(acc) == 1 and acc[0].date == "20171028"
+    # both truth accuracies against the written latest table and the written partial truth
+    latest = dict(map(tuple, spark.table(t.latest).select("entity_id", "class_name").collect()))
+    for got, truth in ((acc[0].accuracy_full, chain.truth_latest), (acc[0].accuracy_part, spark.table(t.truth_part))):
+        pairs = [(x.class_name, latest[x.entity_id]) for x in truth.collect() if x.class_name and latest.get(x.entity_id)]
+        assert pairs and abs(got - sum(a == b for a, b in pairs) / len(pairs)) < 1e-12
     # a second run of the same day replaces, never duplicates
     J.train_publish(spark, chain, t)
     assert spark.table(t.latest).count() == r.merged_pos + r.merged_neg
@@ -61,6 +88,17 @@ def test_latest_partition_from_catalog(spark):
     assert v == 20171105
 
 
+def test_ml_variant_and_drift_jobs(spark):
+    params = P.RunParams(top_k=1000)
+    inputs = FX.load_inputs(spark, SF_SMALL)
+    chain = J.FittedChain.ml_variant(spark, inputs, params)
+    best = chain.best.collect()
+    assert len(best) == 1 and 0.0 < best[0].threshold < 1.0 and 0.0 < best[0].f1 <= 1.0
+    assert chain.model.intercept != 0.0
+    row = J.drift(spark, chain, J.TableNames(root=""), ["7", "42", "137", "3"]).collect()[0]
+    assert row.n_changed_new > 0 and row.n_hit_new + row.n_hit_old > 0
+
+
 def test_daily_command_line_reads_catalog_tables(spark):
     import json
     import dataclasses
@@ -68,13 +106,23 @@ def test_daily_command_line_reads_catalog_tables(spark):
     inputs = FX.load_inputs(spark, SF_SMALL)
     names = {}
     for f in dataclasses.fields(FX.Inputs):
-        view = f"in_{f.name}_{uuid.uuid4().hex[:6]}"
-        getattr(inputs, f.name).createOrReplaceTempView(view)
-        names[f.name] = view
+        if f.name != "truth_table":
+            view = f"in_{f.name}_{uuid.uuid4().hex[:6]}"
+            getattr(inputs, f.name).createOrReplaceTempView(view)
+            names[f.name] = view
+    truth = f"in_truth_{uuid.uuid4().hex[:6]}"
+    SK.create_partitioned_table(spark, truth, "entity_id STRING, class_name STRING", scratch_path(spark, truth))
+    for day in ("20170711", "20171105"):
+        SK.overwrite_partition(spark, inputs.truth_full.where(F.col("stat_date") == day), truth, day)
+    names["truth_full"] = truth
+    got = daily.inputs_from_catalog(spark, names)
+    assert got.truth_table == truth and daily.inputs_from_catalog(spark, {**names, "truth_full": names["users"]}).truth_table is None
     root = scratch_path(spark, "daily")
-    daily.main(["--date", "20171028", "--out-root", root, "--top-k", "1000",
-                "--inputs", json.dumps(names), "--jobs", "label,decode,agreement"])
+    daily.main(["--date", "20171028", "--agreement-date", "20170711", "--out-root", root, "--top-k", "1000",
+                "--feature-buckets", "4", "--inputs", json.dumps(names), "--jobs", "label,decode,agreement"])
     t = J.TableNames(root=root)
     assert spark.table(t.known_labels).count() > 0
     assert spark.table(t.decoded).count() > 0
     assert spark.table(t.truth_part).count() > 0
+    daily.main(["--date", "20171028", "--snapshot-old", "20170910", "--drift-items", "7,42", "--out-root", root,
+                "--inputs", json.dumps(names), "--jobs", "drift"])

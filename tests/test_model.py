@@ -1,6 +1,7 @@
 """Model invariants (the fit itself has no SQL oracle)."""
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -26,7 +27,7 @@ def test_transform_equals_weight_table_scoring(spark):
     by_model = {r.entity_id: r.score for r in MD.score_with_model(model, c.predict, c.p.top_k, 0.5).collect()}
     w = MD.weight_table(spark, model)
     by_table = {r.entity_id: r.score for r in
-                MD.score_with_weights(c.predict, w, c.p.top_k, 0.5, margin_digits=15).collect()}
+                MD.score_with_weights(c.predict, w, 0.5).collect()}
     assert set(by_model) == set(by_table) and by_model
     assert max(abs(by_model[k] - by_table[k]) for k in by_model) < 1e-9
 
@@ -68,16 +69,54 @@ def test_f1_curve_matches_mllib_and_brute_force(spark):
     assert max(abs(ref[t] - ours[t]) for t in ref) < 1e-9
 
 
-def test_threshold_from_training_summary(spark):
-    from pomelo.plans.jobs import FittedChain
-    from pomelo.sources import fixtures as FX
-    from pomelo import params as P
-    c = FittedChain(spark, FX.load_inputs(spark, SF_SMALL), P.RunParams(top_k=1000),
-                    estimator=MD.ml_estimator(max_iter=30), threshold_source="training_summary")
-    b = c.best.collect()
-    assert len(b) == 1 and 0.0 < b[0].threshold < 1.0 and 0.0 < b[0].f1 <= 1.0
-    ref = c.model.summary.fMeasureByThreshold.agg(F.max("F-Measure")).collect()[0][0]
-    assert abs(b[0].f1 - ref) < 1e-12
+def test_threshold_on_training_scores_is_exact(spark):
+    """More than 5,000 distinct scores: every one is a candidate."""
+    rng = np.random.default_rng(3)
+    n = 6000
+    x = rng.normal(size=(n, 3)).round(4)
+    y = (x @ [1.0, -2.0, 0.5] + rng.normal(size=n) * 2 > 0).astype(float)
+    rows = [(f"e{i}", float(t), " ".join(f"{j}:{v}" for j, v in enumerate(r))) for i, (r, t) in enumerate(zip(x, y))]
+    train = spark.createDataFrame(rows, "entity_id string, label double, feature string")
+    model = MD.fit(train, 3, MD.ml_estimator(max_iter=30))
+    scored = MD.score_with_model(model, train, 3, 0.5).select("score", "label").toPandas()
+    score, label = scored["score"].to_numpy(), scored["label"].to_numpy()
+    assert len(set(score)) > 5000
+    order = np.argsort(-score, kind="stable")
+    tp, pp = np.cumsum(label[order]), np.arange(1, n + 1)
+    last = np.append(score[order][1:] != score[order][:-1], True)
+    f1 = 2 * tp / (pp + label.sum())
+    at = np.flatnonzero(last)[np.argmax(f1[last])]
+    got = MD.best_threshold_on_training(model, train, 3).collect()[0]
+    assert abs(got.threshold - score[order][at]) < 1e-15 and abs(got.f1 - f1[at]) < 1e-12
+
+
+def test_vectors_carry_values_and_reject_foreign_indices(spark):
+    from pyspark.errors import PythonException
+    from pomelo.operators.features import assemble_vectors
+    df = spark.createDataFrame([("a", "2:0.5 0:3 1:x:"), ("b", ""), ("c", None)], "entity_id string, feature string")
+    got = {r.entity_id: r.features for r in assemble_vectors(df.where("entity_id <> 'c'").withColumn(
+        "feature", F.regexp_replace("feature", " 1:x:", "")), 4).collect()}
+    assert got["a"].toArray().tolist() == [3.0, 0.0, 0.5, 0.0] and got["b"].numNonzeros() == 0
+    for bad in ("4:1", "-1:1", "1:1 1:2"):
+        with pytest.raises(PythonException):
+            assemble_vectors(spark.createDataFrame([(bad,)], "feature string"), 4).collect()
+
+
+def test_both_scoring_forms_agree_on_values(spark):
+    rows = [(f"e{i}", float(i % 2), f"0:{i % 5} 1:{(i * 7) % 3 + 0.25}") for i in range(60)]
+    df = spark.createDataFrame(rows, "entity_id string, label double, feature string")
+    model = MD.fit(df, 3, MD.ml_estimator(max_iter=20))
+    a = {r.entity_id: r.score for r in MD.score_with_model(model, df, 3, 0.5).collect()}
+    b = {r.entity_id: r.score for r in MD.score_with_weights(
+        df, MD.weight_table(spark, model), 0.5, float(model.intercept)).collect()}
+    assert set(a) == set(b) and max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+def test_entities_without_weights_score_at_the_intercept(spark):
+    df = spark.createDataFrame([("a", "0:1"), ("b", "5:1"), ("c", ""), ("d", "0:2 5:1")], "entity_id string, feature string")
+    w = spark.createDataFrame([(0, 1.5)], "column_index int, weight double")
+    got = {r.entity_id: r.margin for r in MD.score_with_weights(df, w, 0.5, intercept=0.25).collect()}
+    assert got == {"a": 1.75, "b": 0.25, "c": 0.25, "d": 3.25}
 
 
 def test_random_split_variant_is_seeded(spark):

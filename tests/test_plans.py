@@ -5,12 +5,14 @@ import io
 
 import pytest
 
-import __spark_entry__ as E
 from conftest import SF_SMALL
+from pomelo.operators import labels as LB
 from pomelo.plans.chain import Chain
+from pomelo.plans.queries import QUERIES
+from pomelo.sources.tables import day_partition
 
-SINK_QUERIES = {"partition_overwrite_roundtrip", "table_overwrite_append_roundtrip",
-                "null_format_roundtrip", "publish_results", "lr_fit_predict", "lr_fit_intercept"}
+# the vectors of a fit are wrapped by an Arrow-batched function (M1)
+FITS = {"lr_fit_predict", "lr_fit_intercept"}
 
 
 def plan_text(df) -> str:
@@ -20,14 +22,48 @@ def plan_text(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SINK_QUERIES))
-def test_no_cross_join_nested_loop_or_python(spark, name):
-    text = plan_text(E.queries()[name](spark, SF_SMALL))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    # everything stays in the JVM: no Python UDF / pandas evaluation nodes
-    for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
-        assert node not in text
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_no_cross_join_nested_loop_or_python(spark, name, monkeypatch):
+    """Of the query's own plan and of every plan that is run or cut off before it."""
+    plans = []
+    own = type(spark.range(1))
+
+    def seen(self, *args, **kwargs):
+        plans.append(plan_text(self))
+        return kept(self, *args, **kwargs)
+
+    kept = own.checkpoint
+    monkeypatch.setattr(own, "checkpoint", seen)
+    plans.append(plan_text(QUERIES[name](spark, SF_SMALL)))
+    for text in plans:
+        assert "CartesianProduct" not in text
+        assert "BroadcastNestedLoopJoin" not in text
+        for node in ("BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", *(["ArrowEvalPython"] * (name not in FITS))):
+            assert node not in text
+
+
+def test_hot_user_join_is_split(spark, tmp_path):
+    """A user with half of all devices; the join deals its rows out anew."""
+    (spark.range(40_000).selectExpr("concat('d', id) as entity_id", "if(id % 2 = 0, 7L, id) as user_id", "'D' as stat_date")
+     .repartition(8).write.parquet(str(tmp_path / "d")))
+    (spark.range(40_000).selectExpr("id as user_id", "cast(1 + id % 2 as int) as label_code", "'D' as stat_date")
+     .write.parquet(str(tmp_path / "u")))
+    devices, users = (spark.read.parquet(str(tmp_path / x)) for x in "du")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10k",
+            "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        one = LB.user_device_labels(users, devices, "D")
+        assert len(one.collect()) == 40_000
+        both = LB.two_branch_labels(users, devices, "D")
+        assert len(both.collect()) == 40_000
+        for df in (one, both):
+            assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
 
 
 def test_feature_join_broadcasts_only_the_bounded_index(spark):
@@ -38,11 +74,16 @@ def test_feature_join_broadcasts_only_the_bounded_index(spark):
     assert "TakeOrderedAndProject" in text or "limit" in text.lower()
 
 
-def test_scan_prunes_columns_and_pushes_filters(spark):
+def test_scan_prunes_columns_and_pushes_filters(spark, tmp_path):
     c = Chain.from_testdata(spark, SF_SMALL)
-    text = plan_text(c.truth_latest)
-    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in text
-    assert "PushedFilters" in text
+    assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan_text(c.truth_latest)
+    plain, days = str(tmp_path / "plain"), str(tmp_path / "days")
+    c.inp.behavior.write.parquet(plain)
+    c.inp.behavior.write.partitionBy("stat_date").parquet(days)
+    text = plan_text(day_partition(spark.read.parquet(plain), c.p.run_date).select("entity_id"))
+    assert f"EqualTo(stat_date,{c.p.run_date})" in text and "ReadSchema: struct<entity_id:string,stat_date:string>" in text
+    text = plan_text(day_partition(spark.read.parquet(days), c.p.run_date).select("entity_id"))
+    assert "PartitionFilters: [isnotnull(stat_date" in text and "ReadSchema: struct<entity_id:string>" in text
 
 
 def test_latest_partition_is_a_scalar_subquery(spark):

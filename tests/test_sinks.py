@@ -71,3 +71,32 @@ def test_read_hive_default_text_files(spark):
         f.write("a\u00011\nb\u0001\\N\n")
     df = SK.read_delimited(spark, loc, "k string, v int")
     assert sorted((r.k, r.v) for r in df.collect()) == [("a", 1), ("b", None)]
+
+
+def test_columns_are_matched_by_name_and_views_are_dropped(spark):
+    name = _name()
+    SK.create_table(spark, name, "a STRING, b STRING", scratch_path(spark, name))
+    SK.overwrite_table(spark, spark.createDataFrame([("B", "A")], "b string, a string"), name)
+    SK.append(spark, spark.createDataFrame([("B2", "A2")], "b string, a string"), name)
+    assert sorted(map(tuple, spark.table(name).select("a", "b").collect())) == [("A", "B"), ("A2", "B2")]
+    assert not [v for v in spark.catalog.listTables() if v.name.startswith("pomelo_src_")]
+
+
+def test_a_bucket_is_one_file(spark):
+    name = _name()
+    SK.create_partitioned_table(spark, name, "k STRING, v INT", scratch_path(spark, name), bucket_by="k", buckets=4)
+    rows = spark.range(2000).selectExpr("cast(id as string) as k", "cast(id as int) as v").repartition(13)
+    SK.overwrite_partition(spark, rows, name, "20171028", bucket_by="k", buckets=4)
+    assert len(spark.table(name).inputFiles()) <= 4
+    assert spark.table(name).count() == 2000
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    import pytest
+    from types import SimpleNamespace
+    from pomelo.session import ensure_checkpoint_dir
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        session = SimpleNamespace(sparkContext=SimpleNamespace(master=master, getCheckpointDir=lambda: None),
+                                  conf=SimpleNamespace(get=lambda k, d: d))
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(session)

@@ -51,7 +51,20 @@ def test_copies_do_not_multiply_join_rows(spark):
                                   "entity_id string, class_name string, stat_date string")
     assert CP.snapshot_changes(preds, "N", "O").count() == 1
     # 100 copies of one user row with 50 devices: 50 label rows, not 5000
-    users = spark.createDataFrame([(1, 2)] * 100, "user_id bigint, label_code int")
+    users = spark.createDataFrame([(1, 2, "D")] * 100 + [(1, 1, "C")], "user_id bigint, label_code int, stat_date string")
     dev = spark.createDataFrame([(f"d{i}", 1, "D") for i in range(50)],
                                 "entity_id string, user_id bigint, stat_date string")
-    assert LB.user_device_labels(users, dev, "D").count() == 50
+    rows = LB.user_device_labels(users, dev, "D").collect()
+    assert len(rows) == 50 and {r.label for r in rows} == {1}      # the code of another day does not count
+    assert LB.two_branch_labels(users, dev, "D").count() == 50
+
+
+def test_null_classes_and_null_items_are_kept_or_dropped_as_they_should(spark):
+    from pomelo.operators import compare as CP
+    preds = spark.createDataFrame([("a", None, "N"), ("a", "neg", "O"), ("b", None, "N"), ("b", None, "O"), ("c", "pos", "N"),
+                                   ("c", None, "O"), ("d", "pos", "N"), ("d", "pos", "O")],
+                                  "entity_id string, class_name string, stat_date string")
+    assert sorted(map(tuple, CP.snapshot_changes(preds, "N", "O").collect())) == [("a", None, "neg"), ("c", "pos", None)]
+    dim = spark.createDataFrame([(None, "x", 9), (" \t", "y", 8), ("1", "z", 7), ("2", "w", 6)],
+                                "item_id string, item_name string, install_num bigint")
+    assert [r.item_code for r in FE.top_k_items(FE.item_codes(dim), 2).collect()] == ["111", "112"]
