@@ -11,9 +11,10 @@ def fold(id_col: str, parts: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int,
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int | dict[int, int],
                     id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, dict[int, int]]:
-    """``(doc_id, text, y)`` of at most ``per_class`` documents per label, and how many labels there are.
+    """``(doc_id, text, y)`` of at most ``per_class`` documents per label (one number, or one for each), and
+    how many labels there are.
 
     Ids are taken in the order of their hash, so the sample is the same
     however the rows lie.  Ids without a label, outside ``train`` or with
@@ -26,11 +27,11 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     sizes = {int(r.y): r.n for r in known.groupBy("y").agg(F.count(F.lit(1)).alias("n")).collect()}
     picked = None
     for y in sorted(sizes):
-        some = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class)
+        some = known.where(F.col("y") == y).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class if isinstance(per_class, int) else per_class[y])
         picked = some if picked is None else picked.unionByName(some)
     if picked is None:
         picked = known.limit(0)
     texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sample = (texts.join(F.broadcast(picked), "doc_id")      # at most 2 * per_class rows
+    sample = (texts.join(F.broadcast(picked), "doc_id")      # a fixed number of rows
               .groupBy("doc_id", "y").agg(F.min("text").alias("text")))
     return sample, sizes

@@ -28,7 +28,7 @@ from __future__ import annotations
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -38,8 +38,9 @@ from pyspark.sql import functions as F
 
 from pomelo.llm.sampling import fold, labelled_sample
 
-PER_CLASS = 2000            # bound of the fitting sample
-FIT_WORDS = 4000            # bound of a sampled document's words
+PER_CLASS = {0: 2000, 1: 1000}    # bound of the fitting sample: clean and toxic documents
+FIT_WORDS = 2000            # bound of a sampled document's words
+FIT_WINDOWS = (4, 2)        # of those, tagged and untagged sequences that the field is fitted on
 WINDOW = 64
 HASHED = 1 << 16
 BEGINNINGS = (3, 4, 5, 6)   # letters of a word's beginnings
@@ -47,7 +48,7 @@ MIN_EVIDENCE = 24.0         # a sign's log-likelihood ratio against equal rates
 MAX_CLEAN = 0.02            # its rate in clean documents over that in toxic ones, at most
 THRESHOLD = 0.5
 FOLDS, HELD_OUT = 5, 0
-CACHED_WORDS = 200_000      # per worker; beyond it the cache begins anew
+CACHED_WORDS = 300_000      # per worker; beyond it the cache begins anew
 
 _EDGES = ".,;:!?\"'`()[]{}<>*#$%&|~_-+=/\\^@"
 
@@ -61,33 +62,65 @@ def signs_of(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in BEGINNINGS if len(word) >= k)]
 
 
-def features(word: str) -> list[int]:
-    """Hashed features of a word as written."""
-    w = normal(word)
-    form = ("A" if word.isupper() else "a" if word.islower() else "x") + ("0" if not w.isalpha() else "")
-    names = [*signs_of(w)[:1 + len(BEGINNINGS)], "-" + w[-3:], "=" + form]
-    return [zlib.crc32(f.encode()) % (HASHED - 1) + 1 for f in names + [""] * (N_FEATURES - len(names))]
-
-
 N_FEATURES = 3 + len(BEGINNINGS)
+_STEP, _MIX = np.uint64(1099511628211), np.uint64(0x9E3779B97F4A7C15)
+
+
+def features(words: list[str]) -> np.ndarray:
+    """Hashed features of words as written, one row each; 0 stands for a beginning that a word lacks.
+
+    Polynomial hashes of UTF-8 bytes: whole words, beginnings and the last three bytes."""
+    norm = [w.strip(_EDGES).lower() for w in words]
+    raw = [w.encode() for w in norm]
+    size = np.fromiter(map(len, raw), np.int64, len(raw))
+    start = np.cumsum(size) - size
+    flat = np.frombuffer(b"".join(raw), np.uint8).astype(np.uint64) + np.uint64(1)
+    power = np.cumprod(np.full(int(size.max(initial=0)) + 1, _STEP, np.uint64))
+    at = np.arange(len(flat)) - np.repeat(start, size)
+    total = np.concatenate([np.zeros(1, np.uint64), np.cumsum(flat * power[at], dtype=np.uint64)])
+
+    def slot(value: np.ndarray, kind: int) -> np.ndarray:
+        return (((value + np.uint64(kind)) * _MIX) >> np.uint64(48)).astype(np.int64) % (HASHED - 1) + 1
+
+    out = np.zeros((len(words), N_FEATURES), np.int32)
+    out[:, 0] = slot(total[start + size] - total[start], 1)
+    tail = np.zeros(len(words), np.uint64)
+    for k in (3, 2, 1):
+        has = size >= k
+        tail[has] = tail[has] * np.uint64(257) + flat[(start + size - k)[has]]
+    out[:, 1] = slot(tail, 2)
+    form = np.fromiter((a.isupper() + 2 * a.islower() + 4 * b.isalpha() for a, b in zip(words, norm)), np.uint64, len(words))
+    out[:, 2] = slot(form, 3)
+    for i, k in enumerate(BEGINNINGS):
+        has = size >= k
+        out[has, 3 + i] = slot(total[start[has] + k] - total[start[has]], 4 + i)
+    return out
 
 
-def _distinct(docs: list[set[str]]) -> list[set[str]]:
+def _distinct(docs: Iterable[set[str]]) -> Iterator[set[str]]:
     """Documents without near-copies: the three least word hashes of two kinds are each met once."""
-    seen, out = set(), []
+    seen = set()
     for d in docs:
         keys = [(salt, *sorted(zlib.crc32((salt + w).encode()) for w in d)[:3]) for salt in ("a", "b")]
         if not seen.intersection(keys):
-            out.append(d)
+            yield d
         seen.update(keys)
-    return out
 
 
-def find_signs(toxic: list[set[str]], clean: list[set[str]]) -> set[str]:
+def find_signs(toxic: Iterable[set[str]], clean: Iterable[set[str]]) -> set[str]:
     """Words and beginnings that mark toxic documents; of nested ones with the same reach, the longest."""
-    toxic, clean = _distinct(toxic), _distinct(clean)
-    hits, misses = (Counter(s for d in docs for s in {s for w in d if w for s in signs_of(w)}) for docs in (toxic, clean))
-    n, m = len(toxic), max(len(clean), 1)
+    n = m = 0
+    hits: Counter[str] = Counter()
+    for d in _distinct(toxic):
+        n += 1
+        hits.update({s for w in d if w for s in signs_of(w)})
+    hits = Counter({s: t for s, t in hits.items() if t > 2})       # fewer are never evidence enough
+    misses: Counter[str] = Counter()
+    for d in _distinct(clean):
+        m += 1
+        misses.update({s for w in d if w for s in signs_of(w) if s in hits})
+
+    m = max(m, 1)
 
     def evidence(t: int, c: int) -> float:
         both = (t + c) / (n + m)
@@ -139,7 +172,7 @@ def fit_crf(seqs: np.ndarray, mask: np.ndarray, y: np.ndarray, rounds: int = 60,
     """
     emission, start, step = np.zeros(HASHED), -2.0, np.array([[0.5, -0.5], [-0.5, 0.5]])
     n, length, k = seqs.shape
-    flat, m = seqs[mask], mask.astype(float)
+    flat, m = seqs[mask], mask.astype(np.float32)
     used, index = np.unique(flat, return_inverse=True)
     index = index.reshape(flat.shape)
     moments = [np.zeros(len(used)), np.zeros(5)]
@@ -149,11 +182,11 @@ def fit_crf(seqs: np.ndarray, mask: np.ndarray, y: np.ndarray, rounds: int = 60,
     state = np.stack([1 - y, y], -1)
     seen = np.einsum("ntf,ntg,nt->fg", state[:, :-1], state[:, 1:], pair_mask)
     for t in range(1, rounds + 1):
-        e = np.zeros((n, length))
+        e = np.zeros((n, length), np.float32)
         e[mask] = theta[0][index].sum(1)
-        w, p = np.exp(np.clip(e, -30, 30)), np.exp(theta[1][1:].reshape(2, 2))
+        w, p = np.exp(np.clip(e, -30, 30)), np.exp(theta[1][1:].reshape(2, 2)).astype(np.float32)
         # scaled forward and backward messages
-        a, b = np.empty((n, length, 2)), np.ones((n, length, 2))
+        a, b = np.empty((n, length, 2), np.float32), np.ones((n, length, 2), np.float32)
         a[:, 0] = np.stack([np.ones(n), np.exp(theta[1][0]) * w[:, 0]], -1)
         a[:, 0] /= a[:, 0].sum(-1, keepdims=True)
         for j in range(1, length):
@@ -183,30 +216,24 @@ def fit_crf(seqs: np.ndarray, mask: np.ndarray, y: np.ndarray, rounds: int = 60,
     return Crf(0.5, emission, float(theta[1][0]), theta[1][1:].reshape(2, 2))
 
 
-class _Emissions(dict):
-    """Words as written -> emission log odds, computed when first met."""
-
-    def __init__(self, weights: np.ndarray):
-        super().__init__()
-        self.weights = weights.tolist()
-
-    def __missing__(self, word: str) -> float:
-        weights = self.weights
-        value = self[word] = sum([weights[f] for f in features(word)])
-        return value
-
-
 class Tagger:
     """A fitted field on one worker, with the emissions of the words it has met."""
 
     def __init__(self, crf: Crf):
-        self.crf, self.known = crf, _Emissions(crf.emission)
+        self.crf, self.known = crf, {}
 
-    def tag(self, texts: list[str]) -> list[np.ndarray]:
-        """Log odds of every word of each text."""
+    def meet(self, words: list[list[str]]) -> None:
+        """Emission log odds of the words that are new."""
         if len(self.known) > CACHED_WORDS:
             self.known.clear()
+        new = list(set().union(*words).difference(self.known))
+        if new:
+            self.known.update(zip(new, self.crf.emission[features(new)].sum(1).tolist()))
+
+    def tag(self, texts: list[str]) -> list[np.ndarray]:
+        """Log odds of every word of each text."""
         words = [t.split() for t in texts]
+        self.meet(words)
         sizes = np.array([len(w) for w in words], np.int64)
         rows = np.concatenate([[0], np.cumsum(-(-sizes // WINDOW))])
         e = np.zeros(rows[-1] * WINDOW)
@@ -246,12 +273,12 @@ def fit_unit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return b
 
 
-def fit_texts(texts: list[list[str]], y: np.ndarray, prior: float) -> Crf:
-    """Field and document unit from the words of labelled documents."""
+def fit_texts(texts: list[str], y: np.ndarray, prior: float) -> Crf:
+    """Field and document unit from labelled documents."""
     if len(set(y.tolist())) < 2:
         return Crf(prior)
-    sets = [{normal(w) for w in t} for t in texts]
-    signs = find_signs([s for s, t in zip(sets, y) if t], [s for s, t in zip(sets, y) if not t])
+    sets = lambda kind: ({normal(w) for w in t.split()} for t, k in zip(texts, y) if k == kind)
+    signs = find_signs(sets(1), sets(0))
     if not signs:
         return Crf(prior)
     known: dict[str, bool] = {}
@@ -262,31 +289,32 @@ def fit_texts(texts: list[list[str]], y: np.ndarray, prior: float) -> Crf:
         return known[word]
 
     rows, tags, sizes = [], [], []
-    for words, toxic in zip(texts, y):
+    for words, toxic in zip(map(str.split, texts), y):
         windows = [words[i:i + WINDOW] for i in range(0, len(words), WINDOW)]
         marks = [[float(toxic and signed(w)) for w in win] for win in windows]
         some = [i for i, m in enumerate(marks) if any(m)]
         plain = [i for i, m in enumerate(marks) if not any(m)]
-        for i in some[:4] + plain[:: max(1, len(plain) // 2)][:2]:
-            rows.append([features(w) for w in windows[i]])
+        for i in some[:FIT_WINDOWS[0]] + plain[::max(1, len(plain) // FIT_WINDOWS[1])][:FIT_WINDOWS[1]]:
+            rows.append(windows[i])
             tags.append(marks[i])
             sizes.append(len(marks[i]))
-    seqs = np.zeros((len(rows), WINDOW, N_FEATURES), np.int64)
+    seqs = np.zeros((len(rows), WINDOW, N_FEATURES), np.int32)
     tag = np.zeros((len(rows), WINDOW))
     mask = np.arange(WINDOW) < np.array(sizes)[:, None]
     for i, (r, m) in enumerate(zip(rows, tags)):
-        seqs[i, :len(r)], tag[i, :len(m)] = r, m
+        seqs[i, :len(r)], tag[i, :len(m)] = features(r), m
     crf = fit_crf(seqs, mask, tag)
     crf.prior = prior
     tagger = Tagger(crf)
-    odds = tagger.tag([" ".join(t) for t in texts])
+    summaries = np.array([_summary(o) for at in range(0, len(texts), 100)
+                          for o in tagger.tag(texts[at:at + 100])])
     weight = np.where(y == 1, prior / (y == 1).sum(), (1 - prior) / (y == 0).sum()) * len(y)
-    crf.unit = fit_unit(np.array([_summary(o) for o in odds]), y, weight)
+    crf.unit = fit_unit(summaries, y, weight)
     return crf
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label: str = "toxic", per_class: int = PER_CLASS) -> Crf:
+        label: str = "toxic", per_class: dict[int, int] = PER_CLASS) -> Crf:
     """The field, fitted on labelled rows outside the held-out fold (a bounded sample of them)."""
     sample, sizes = labelled_sample(docs, labels, label, fold(id_col, FOLDS) != HELD_OUT, per_class, id_col, text_col)
     if len(sizes) < 2:
@@ -295,7 +323,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     rows = sorted(sample.select("doc_id", "y", F.array_join(words, " ").alias("text")).collect())
     if not rows:
         return Crf(0.5)
-    return fit_texts([r.text.split() for r in rows], np.array([int(r.y) for r in rows]), sizes[1] / (sizes[0] + sizes[1]))
+    return fit_texts([r.text for r in rows], np.array([int(r.y) for r in rows]), sizes[1] / (sizes[0] + sizes[1]))
 
 
 def _spans(text: str, odds: np.ndarray) -> list[dict]:

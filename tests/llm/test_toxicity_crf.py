@@ -38,7 +38,7 @@ def test_fit_raises_the_likelihood_of_the_tags():
     for t, toxic in zip(texts, y):
         if toxic:
             t[rng.randrange(40)] = "vile" + rng.choice("abcdef")
-    crf = X.fit_texts(texts, y, 0.5)
+    crf = X.fit_texts([" ".join(t) for t in texts], y, 0.5)
     tagger = X.Tagger(crf)
     odds = tagger.tag([" ".join(t) for t in texts])
     for t, o, toxic in zip(texts, odds, y):
