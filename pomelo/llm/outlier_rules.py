@@ -243,3 +243,98 @@ def keep_usual(docs: DataFrame) -> DataFrame:
                          lang.alias("lang"), source.alias("source"), statistics(F.col("text")).alias("s"))
     stats = checkpointed(packed.select("lang", "source", "s"))
     return _judged(packed, estimates(stats)).where("kept").select("row.*")
+
+
+def oracle() -> str:
+    """DuckDB SQL for the rows of ``report``."""
+    xs, ms = [f"x{i}" for i in range(D)], [f"m{i}" for i in range(D)]
+    space = r"[\x20\x09-\x0D]"
+    word = r"[^\x20\x09-\x0D]"
+    cs = [f"c{i}_{j}" for i, j in PAIRS]
+    fs = [f"f{i}_{j}" for i, j in PAIRS]
+
+    def factor(source: str) -> str:
+        sql = source
+        for j in range(D):                              # a column of the Cholesky factor at a time
+            cols = []
+            for i in range(j, D):
+                left = f"c{i}_{j}" + "".join(f" - l{i}_{k} * l{j}_{k}" for k in range(j))
+                cols.append((i, left))
+            sql = f"SELECT *, sqrt(greatest({cols[0][1]}, 1e-12)) AS l{j}_{j} FROM ({sql})"
+            if cols[1:]:
+                sql = "SELECT *, " + ", ".join(f"({left}) / l{j}_{j} AS l{i}_{j}" for i, left in cols[1:]) + f" FROM ({sql})"
+        for gap in range(D):                            # its inverse, a diagonal at a time
+            done = {i: "".join(f" - l{i}_{k} * f{k}_{i - gap}" for k in range(i - gap, i)) for i in range(gap, D)}
+            sql = "SELECT *, " + ", ".join(
+                f"({'1.0' if gap == 0 else '0.0'}{done[i]}) / l{i}_{i} AS f{i}_{i - gap}" for i in range(gap, D)) + f" FROM ({sql})"
+        det = " + ".join(f"ln(l{i}_{i})" for i in range(D))
+        return f"SELECT g, start, {', '.join(ms + fs)}, {det} AS det FROM ({sql})"
+
+    def moments(source: str, scale: float) -> str:
+        cov = ", ".join(f"covar_pop(x{i}, x{j}) * {scale} + {FLOORS[i] ** 2 if i == j else 0.0} AS c{i}_{j}" for i, j in PAIRS)
+        return (f"SELECT g, start, {', '.join(f'avg(x{i}) AS m{i}' for i in range(D))}, {cov} "
+                f"FROM ({source}) GROUP BY g, start")
+
+    distance = " + ".join("pow(" + " + ".join(f"f{i}_{j} * (x{j} - m{j})" for j in range(i + 1)) + ", 2)" for i in range(D))
+
+    def start(name: str, var: Callable[[int], str]) -> str:
+        cov = ", ".join(f"{var(i) if i == j else 0.0} AS c{i}_{j}" for i, j in PAIRS)
+        return f"SELECT g, '{name}' AS start, {', '.join(f'med{i} AS m{i}' for i in range(D))}, {cov} FROM md"
+
+    steps = ""
+    for t in range(STEPS):
+        steps += f""",
+        far{t} AS MATERIALIZED (SELECT r.g, p.start, {', '.join(xs)}, floor(log2(1 + {distance}) * {BUCKETS}) AS bucket
+                  FROM r JOIN p{t} p ON r.g = p.g),
+        e{t} AS MATERIALIZED (SELECT g, start, quantile_disc(bucket, {CORE}) AS at_bucket FROM far{t} GROUP BY g, start),
+        p{t + 1} AS MATERIALIZED ({factor(moments(f'SELECT f.* FROM far{t} f JOIN e{t} e ON f.g = e.g AND f.start = e.start '
+                                                  'WHERE bucket <= at_bucket', CONSISTENCY))})"""
+    first = " UNION ALL BY NAME ".join([
+        start("median", lambda i: f"pow(1.4826 * mad{i}, 2) + {FLOORS[i] ** 2}"),
+        start("unit", lambda i: str(FLOORS[i] ** 2)),
+        moments("SELECT *, 'mean' AS start FROM r", 1.0)])
+    return f"""
+        WITH d AS (
+            SELECT row_number() OVER () AS n, doc_id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                   coalesce(text, '') AS text FROM documents),
+        t AS MATERIALIZED (
+            SELECT n, doc_id, lang, source, text, list_filter(string_split_regex(text, '{space}+'), lambda x: x <> '') AS w,
+                   list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{word}')) AS lines FROM d),
+        win AS (SELECT n, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS s
+                FROM (SELECT n, w, unnest(generate_series(1, len(w) - 2)) AS i FROM t WHERE len(w) > 2)),
+        again AS (SELECT n, i, count(*) OVER (PARTITION BY n, s) AS c FROM win),
+        rep AS (SELECT n, count(DISTINCT p) AS c FROM (SELECT n, unnest([i, i + 1, i + 2]) AS p FROM again WHERE c > 1) GROUP BY n),
+        s0 AS (
+            SELECT t.n, doc_id, lang, source, CAST(len(w) AS BIGINT) AS n_words,
+                   CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+                   CAST(length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+                   CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+                   CAST(coalesce(rep.c, 0) AS BIGINT) AS n_repeat_words
+            FROM t LEFT JOIN rep ON t.n = rep.n),
+        s AS MATERIALIZED (
+            SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+                   ln(greatest(n_words, 1)) AS x0, ln(greatest(word_chars, 1) / greatest(n_words, 1)) AS x1,
+                   sqrt(n_symbols / greatest(word_chars, 1)) AS x2,
+                   sqrt(least(n_dup_lines / greatest(n_words, 1), 1.0)) AS x3,
+                   sqrt(n_repeat_words / greatest(n_words, 1)) AS x4 FROM s0),
+        sz AS (SELECT lang, source, count(*) AS c FROM s WHERE NOT base_failed GROUP BY lang, source),
+        bl AS (SELECT lang, sum(c) AS pool FROM sz WHERE c < {MIN_GROUP} GROUP BY lang),
+        gr AS MATERIALIZED (
+            SELECT sz.lang, source, CASE WHEN c >= {MIN_GROUP} THEN '2|' || sz.lang || '|' || source
+                        WHEN pool >= {MIN_GROUP} THEN '1|' || sz.lang
+                        WHEN (SELECT coalesce(sum(pool), 0) FROM bl WHERE pool < {MIN_GROUP}) >= {MIN_GROUP} THEN 'all' END AS g
+            FROM sz LEFT JOIN bl ON sz.lang = bl.lang),
+        r AS MATERIALIZED (
+            SELECT gr.g, {', '.join(xs)} FROM s JOIN gr ON s.lang = gr.lang AND s.source = gr.source
+            WHERE NOT base_failed AND gr.g IS NOT NULL),
+        m0 AS (SELECT g, {', '.join(f'quantile_disc(floor(x{i} * 256), 0.5) / 256 AS med{i}' for i in range(D))} FROM r GROUP BY g),
+        md AS MATERIALIZED (
+            SELECT r.g, {', '.join(f'any_value(med{i}) AS med{i}' for i in range(D))},
+                   {', '.join(f'quantile_disc(floor(abs(x{i} - med{i}) * 256), 0.5) / 256 AS mad{i}' for i in range(D))}
+            FROM r JOIN m0 ON r.g = m0.g GROUP BY r.g),
+        p0 AS MATERIALIZED ({factor(f"SELECT g, start, {', '.join(ms + cs)} FROM ({first})")}){steps},
+        best AS (SELECT * FROM p{STEPS} QUALIFY row_number() OVER (PARTITION BY g ORDER BY det, start) = 1)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               NOT base_failed AND coalesce({distance} <= {CUTOFF}, true) AS kept
+        FROM s LEFT JOIN gr ON s.lang = gr.lang AND s.source = gr.source LEFT JOIN best ON gr.g = best.g
+    """

@@ -87,6 +87,8 @@ ORACLES: dict[str, str] = {
         SELECT conv_id, n_turns, turns_sha256, CAST(length(loss) AS BIGINT) AS loss_chars,
                sha256(loss) AS loss_sha256, CAST(size AS BIGINT) AS formatted_chars FROM c
     """,
+    "op2_robust_outliers": outlier_rules.oracle(),
+    "op3_secret_automaton": secret_dfa.oracle(),
     "op5_license_digest": license_digest.oracle(),
     "op10_mtree_top_k": """
         WITH v AS (

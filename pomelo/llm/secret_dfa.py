@@ -472,3 +472,28 @@ def without_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFra
     size = {"n_chars": F.when(changed, F.length(new)).otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType)} \
         if "n_chars" in docs.columns else {}
     return out.withColumns({**size, "text": F.when(changed, F.col(new)).otherwise(F.col("text"))}).select(*docs.columns)
+
+
+def oracle(rules: tuple[Rule, ...] = RULES) -> str:
+    """DuckDB SQL for the rows of ``report``: matches and what lies between them give the offsets."""
+    quote = lambda t: "'" + t.replace("'", "''") + "'"
+    hits = " UNION ALL ".join(
+        f"SELECT n, {k} AS k, {quote(r.kind)} AS kind, {r.least} AS least, {r.least_value} AS least_value, "
+        f"regexp_extract_all(text, {quote(r.pattern)}) AS m, string_split_regex(text, {quote(r.pattern)}) AS s FROM d"
+        for k, r in enumerate(rules))
+    value = "regexp_extract(v, '^[^:=]*[:=]\\x20*[\"'']?(.*)$', 1)"
+    spans = "string_agg(kind || ':' || a || ':' || b, ',' ORDER BY a, k)"
+    return f"""
+        WITH d AS (SELECT row_number() OVER () AS n, doc_id, coalesce(text, '') AS text FROM documents),
+        h AS ({hits}),
+        i AS (SELECT *, unnest(generate_series(1, len(m))) AS i FROM h WHERE len(m) > 0),
+        p AS (SELECT n, k, kind, least, least_value, m[i] AS v,
+                     list_sum(list_transform(s[1:i], lambda x: length(x)))
+                     + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS place FROM i),
+        f AS (SELECT n, k, kind, CAST(place AS BIGINT) AS a, CAST(place + length(v) AS BIGINT) AS b FROM p
+              WHERE length(v) >= least AND (least_value = 0 OR length({value}) >= least_value))
+        SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in BASE_KINDS)},
+               sha256(coalesce({spans} FILTER (k < {len(BASE_KINDS)}), '')) AS base_sha256,
+               coalesce({spans}, '') AS spans
+        FROM d LEFT JOIN f USING (n) GROUP BY n, doc_id
+    """
