@@ -28,6 +28,7 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -63,16 +64,22 @@ def byte_symbols() -> dict[str, int]:
     return {chr(b): b for b in own} | {chr(256 + i): b for i, b in enumerate(rest)}
 
 
+def library_encoder(path: str):
+    from tokenizers import Tokenizer
+    encoder = Tokenizer.from_file(path)
+    encoder.no_truncation()
+    encoder.no_padding()
+    return encoder
+
+
 class ByteBpe:
     """Encoder and decoder of one vocabulary, on one worker."""
 
     def __init__(self, vocab: str = VOCAB):
-        import regex
         import tiktoken
-        from tokenizers import Tokenizer
 
-        path = vocab_path(vocab)
-        with open(path, encoding="utf-8") as f:
+        self.path = vocab_path(vocab)
+        with open(self.path, encoding="utf-8") as f:
             spec = json.load(f)
         symbols = byte_symbols()
         ranks = {bytes(symbols[c] for c in s): i for s, i in spec["model"]["vocab"].items()}
@@ -82,10 +89,16 @@ class ByteBpe:
         self.fast = tiktoken.Encoding("bytes", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._piece = self.fast._core_bpe.encode_single_piece
         self.ranks = ranks
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
-        self._split = regex.compile(PATTERN)
+
+    @cached_property
+    def slow(self):
+        """The library's own encoder, loaded when a text needs it."""
+        return library_encoder(self.path)
+
+    @cached_property
+    def _split(self):
+        import regex
+        return regex.compile(PATTERN)
 
     # -- whole texts ------------------------------------------------------
     def encode(self, text: str) -> np.ndarray:

@@ -12,10 +12,11 @@ from __future__ import annotations
 import json
 import re
 import unicodedata
+from functools import cached_property
 
 import numpy as np
 
-from pomelo.llm.bpe_tree import byte_symbols, vocab_path
+from pomelo.llm.bpe_tree import byte_symbols, library_encoder, vocab_path
 
 VOCAB = "word_bpe_49k.json"
 MARK = "\x1e"
@@ -36,10 +37,9 @@ WORDS = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{re.escape(WHITE)}
 class WordBpe:
     def __init__(self, vocab: str = VOCAB):
         import tiktoken
-        from tokenizers import Tokenizer
 
-        path = vocab_path(vocab)
-        with open(path, encoding="utf-8") as f:
+        self.path = vocab_path(vocab)
+        with open(self.path, encoding="utf-8") as f:
             spec = json.load(f)
         symbols, end = byte_symbols(), spec["model"]["end_of_word_suffix"]
         special = [t["content"] for t in spec["added_tokens"]]
@@ -50,9 +50,11 @@ class WordBpe:
                 ranks[bytes(symbols[c] for c in word) + (MARK.encode() if word != s else b"")] = i
         self._special = re.compile("|".join(map(re.escape, special)))
         self.fast = tiktoken.Encoding("words", pat_str=f"[^{MARK}]+{MARK}", mergeable_ranks=ranks, special_tokens={})
-        self.slow = Tokenizer.from_file(path)
-        self.slow.no_truncation()
-        self.slow.no_padding()
+
+    @cached_property
+    def slow(self):
+        """The library's own encoder, loaded when a text needs it."""
+        return library_encoder(self.path)
 
     def encode(self, text: str) -> np.ndarray:
         """Ids as unsigned 32-bit integers."""
