@@ -1,29 +1,24 @@
-"""Order-insensitive comparison of two pandas frames (columns by name)."""
+"""Order-insensitive comparison of rows (columns by name); NULL and NaN differ."""
 
 import math
 
 
 def _norm(v):
-    if v is None:
-        return None
-    if hasattr(v, "item"):
-        v = v.item()
     if isinstance(v, float):
-        if math.isnan(v):
-            return None
-        return round(v, 6) + 0.0
+        return "nan" if math.isnan(v) else round(v, 6) + 0.0
     return v
 
 
-def rows(df):
-    cols = sorted(df.columns)
-    out = [tuple(_norm(x) for x in r) for r in df[cols].itertuples(index=False, name=None)]
-    return cols, sorted(out, key=repr)
+def _sorted(columns, rows):
+    order = sorted(range(len(columns)), key=columns.__getitem__)
+    return [columns[i] for i in order], sorted((tuple(_norm(r[i]) for i in order) for r in rows), key=repr)
 
 
-def assert_same(a, b):
-    ca, ra = rows(a)
-    cb, rb = rows(b)
+def assert_same(df, con, sql):
+    """A Spark DataFrame has the rows of a DuckDB statement."""
+    result = con.execute(sql)
+    ca, ra = _sorted(df.columns, df.collect())
+    cb, rb = _sorted([c[0] for c in result.description], result.fetchall())
     assert ca == cb, f"columns {ca} != {cb}"
     assert len(ra) == len(rb), f"row count {len(ra)} != {len(rb)}"
     bad = [(x, y) for x, y in zip(ra, rb) if x != y][:3]

@@ -22,7 +22,7 @@ LEFT_ONLY = """SELECT entity_id, CASE WHEN label = 1 THEN 'pos' ELSE 'neg' END A
 
 def same(table, sql, *pieces):
     """A written table holds the rows of a statement over the oracle's pieces."""
-    assert_same(table.toPandas(), duck_for(SF_SMALL).execute(statement(sql, *pieces)).df())
+    assert_same(table, duck_for(SF_SMALL), statement(sql, *pieces))
 
 
 def test_daily_run(spark):
