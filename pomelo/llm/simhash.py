@@ -126,17 +126,17 @@ def links(nodes: DataFrame, block: int = BLOCK) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``(id, fp, component_id)`` for every row of ``docs``; fp is the fingerprint as signed long."""
     prints = checkpointed(docs.select(F.col(id_col).alias("id"), fingerprint_of(F.col(text_col)).alias("fp")))
-    return _with_components(prints, block).withColumnRenamed("id", id_col)
-
-
-def _with_components(prints: DataFrame, block: int) -> DataFrame:
-    nodes = prints.groupBy("fp").agg(F.min("id").alias("first"))
-    roots = components(links(nodes.select("fp"), block))
-    member = (nodes.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-              .select("fp", "first", F.coalesce("root", "fp").alias("root")))
+    firsts = prints.groupBy("fp").agg(F.min("id").alias("first"))
+    member = _members(firsts, block)
     least = member.groupBy("root").agg(F.min("first").alias("component_id"))
     named = member.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("id", "fp", "component_id")
+    return prints.join(named, "fp").select(F.col("id").alias(id_col), "fp", "component_id")
+
+
+def _members(nodes: DataFrame, block: int) -> DataFrame:
+    """``nodes (fp, ...)``, one row per fingerprint, with ``root``: the least fingerprint of the component."""
+    roots = components(links(nodes.select("fp"), block)).withColumnRenamed("node", "fp")
+    return nodes.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -154,14 +154,12 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     fp, kept_id, kept_fp = fresh_names(docs, "fp", "kept_id", "kept_fp")
     marked = docs.withColumn(fp, fingerprint_of(F.col(text_col)))
     prints = checkpointed(marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")))
-    found = _with_components(prints, block)
-    # the least pair of id and fingerprint of each component, and how many rows have it
-    pairs = found.groupBy("component_id", "id", "fp").agg(F.count(F.lit(1)).alias("n"))
-    key = F.coalesce(F.col("component_id").cast("string"), F.concat(F.lit("fp"), F.col("fp").cast("string")))
+    # the least id of each fingerprint, and how many rows have it; then the least of each component
+    first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"), F.col("n"))).alias("first")
+    nodes = prints.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n")).groupBy("fp").agg(first)
     best = checkpointed(
-        pairs.groupBy(key.alias("component"))
-        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"), F.col("n"))).alias("best"))
-        .select(F.col("best.id").alias(kept_id), F.col("best.fp").alias(kept_fp), F.col("best.n").alias("n")))
+        _members(nodes, block).groupBy("root").agg(F.min("first").alias("first"))
+        .select(F.col("first.id").alias(kept_id), F.col("first.fp").alias(kept_fp), F.col("first.n").alias("n")))
     same = F.col(id_col).eqNullSafe(F.col(kept_id)) & (F.col(fp) == F.col(kept_fp))
     once, repeated = best.where("n = 1").drop("n"), best.where("n > 1").drop("n")
     single = marked.join(once, same, "left_semi")
