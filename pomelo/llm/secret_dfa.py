@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from pomelo.llm.common import fresh_names
 
 RESET = 0xFF           # stands between texts; no UTF-8 text has it
-CHUNK = 1024
-BLOCK = 4 << 20        # bytes scanned at a time
+CHUNK = 512
+BLOCK = 1 << 20        # bytes scanned at a time
 
 
 @dataclass(frozen=True)
