@@ -13,9 +13,12 @@ all sequences of a batch side by side.  Marginals give the spans (runs at 0.5
 or more) and, as the greatest log odds and the expected number of toxic
 tokens, the document's score through a logistic unit fitted on the documents.
 
-Fitting reads at most ``PER_CLASS`` documents per label and of each at most
-``FIT_WORDS`` words; scoring reads every whole text.  Ids, languages, sources
-and labels never enter a score.
+Fitting reads at most ``PER_CLASS`` documents per label, each as a whole: signs
+are counted, sequences tagged and documents summed up in Spark tasks.  The
+driver gets keys of near-copies, counts of possible signs, the ``FIT_WINDOWS``
+sequences of least hash among all of the sample, and three numbers a document.
+Scoring reads every whole text.  Ids, languages, sources and labels never
+enter a score (the hash of an id only decides what is sampled).
 
 Cases: null and empty texts have no tokens and the lowest score; labels that
 are null or contradict each other are left out; with labels of one kind only,
@@ -25,10 +28,12 @@ spans; equal texts have equal results; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import hashlib
+import heapq
 import re
 import zlib
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,11 +41,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pomelo.llm.common import checkpointed
 from pomelo.llm.sampling import fold, labelled_sample
 
 PER_CLASS = {0: 2000, 1: 1000}    # bound of the fitting sample: clean and toxic documents
-FIT_WORDS = 2000            # bound of a sampled document's words
-FIT_WINDOWS = (4, 2)        # of those, tagged and untagged sequences that the field is fitted on
+FIT_WINDOWS = (4000, 6000)  # bound of the sequences, tagged and untagged, that the field is fitted on
+FIT_TASKS = 32              # the sample's parts
 WINDOW = 64
 HASHED = 1 << 16
 BEGINNINGS = (3, 4, 5, 6)   # letters of a word's beginnings
@@ -97,14 +103,26 @@ def features(words: list[str]) -> np.ndarray:
     return out
 
 
+def copy_keys(words: set[str]) -> list[str]:
+    """What near-copies share: the three least word hashes of two kinds."""
+    return [salt + ",".join(map(str, sorted(zlib.crc32((salt + w).encode()) for w in words)[:3])) for salt in ("a", "b")]
+
+
+def _is_new(keys: list[str], seen: set[str]) -> bool:
+    """No key was met before; ``seen`` takes them up."""
+    new = seen.isdisjoint(keys)
+    seen.update(keys)
+    return new
+
+
 def _distinct(docs: Iterable[set[str]]) -> Iterator[set[str]]:
-    """Documents without near-copies: the three least word hashes of two kinds are each met once."""
-    seen = set()
-    for d in docs:
-        keys = [(salt, *sorted(zlib.crc32((salt + w).encode()) for w in d)[:3]) for salt in ("a", "b")]
-        if not seen.intersection(keys):
-            yield d
-        seen.update(keys)
+    """Documents without near-copies."""
+    seen: set[str] = set()
+    return (d for d in docs if _is_new(copy_keys(d), seen))
+
+
+def _signs_in(words: set[str]) -> set[str]:
+    return {s for w in words if w for s in signs_of(w)}
 
 
 def find_signs(toxic: Iterable[set[str]], clean: Iterable[set[str]]) -> set[str]:
@@ -113,22 +131,27 @@ def find_signs(toxic: Iterable[set[str]], clean: Iterable[set[str]]) -> set[str]
     hits: Counter[str] = Counter()
     for d in _distinct(toxic):
         n += 1
-        hits.update({s for w in d if w for s in signs_of(w)})
+        hits.update(_signs_in(d))
     hits = Counter({s: t for s, t in hits.items() if t > 2})       # fewer are never evidence enough
     misses: Counter[str] = Counter()
     for d in _distinct(clean):
         m += 1
-        misses.update({s for w in d if w for s in signs_of(w) if s in hits})
+        misses.update(s for s in _signs_in(d) if s in hits)
+    return signs_by_count(hits, misses, n, max(m, 1))
 
-    m = max(m, 1)
 
-    def evidence(t: int, c: int) -> float:
-        both = (t + c) / (n + m)
-        part = lambda k, size, p: (k * np.log(k / size / p) if k else 0.0) + (
-            (size - k) * np.log((1 - k / size) / (1 - p)) if k < size and p < 1 else 0.0)
-        return 2 * (part(t, n, both) + part(c, m, both))
+def _evidence(t: int, c: int, n: int, m: int) -> float:
+    """Log-likelihood ratio of ``t`` in ``n`` toxic and ``c`` in ``m`` clean documents against equal rates."""
+    both = (t + c) / (n + m)
+    part = lambda k, size, p: (k * np.log(k / size / p) if k else 0.0) + (
+        (size - k) * np.log((1 - k / size) / (1 - p)) if k < size and p < 1 else 0.0)
+    return 2 * (part(t, n, both) + part(c, m, both))
 
-    fit = {s: t for s, t in hits.items() if misses[s] / m <= MAX_CLEAN * t / n and evidence(t, misses[s]) >= MIN_EVIDENCE}
+
+def signs_by_count(hits: dict[str, int], misses: dict[str, int], n: int, m: int) -> set[str]:
+    """Signs by the number of toxic (``hits`` of ``n``) and clean documents (``misses`` of ``m``) with them."""
+    fit = {s: t for s, t in hits.items()
+           if misses[s] / m <= MAX_CLEAN * t / n and _evidence(t, misses[s], n, m) >= MIN_EVIDENCE}
     longer: dict[str, int] = {}        # the greatest reach of what extends a beginning
     for s, t in fit.items():
         word = s.rstrip("*")
@@ -273,57 +296,147 @@ def fit_unit(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1e
     return b
 
 
-def fit_texts(texts: list[str], y: np.ndarray, prior: float) -> Crf:
-    """Field and document unit from labelled documents."""
-    if len(set(y.tolist())) < 2:
-        return Crf(prior)
-    sets = lambda kind: ({normal(w) for w in t.split()} for t, k in zip(texts, y) if k == kind)
-    signs = find_signs(sets(1), sets(0))
-    if not signs:
-        return Crf(prior)
+def windows_of(name: str, text: str, toxic: bool, signed: Callable[[str], bool]) -> Iterator[tuple]:
+    """(untagged, hash, name, place, words, tags) of every sequence of a text."""
+    words = text.split()
+    for i in range(0, len(words), WINDOW):
+        part = words[i:i + WINDOW]
+        marks = [toxic and signed(w) for w in part]
+        key = int.from_bytes(hashlib.blake2b(f"{name}:{i}".encode(), digest_size=7).digest())
+        yield not any(marks), key, name, i, " ".join(part), marks
+
+
+def _least(windows: Iterable[tuple]) -> list[tuple]:
+    """Of tagged and untagged sequences, the ``FIT_WINDOWS`` of least hash each."""
+    kept: tuple[list, list] = ([], [])          # heaps, the greatest hash on top
+    for w in windows:
+        heap, most = kept[w[0]], FIT_WINDOWS[w[0]]
+        item = (-w[1], w)
+        if len(heap) < most:
+            heapq.heappush(heap, item)
+        elif heap and item > heap[0]:
+            heapq.heapreplace(heap, item)
+    return sorted(w for heap in kept for _, w in heap)
+
+
+def _signed(signs: set[str]) -> Callable[[str], bool]:
     known: dict[str, bool] = {}
 
     def signed(word: str) -> bool:
         if word not in known:
+            if len(known) > CACHED_WORDS:
+                known.clear()
             known[word] = not signs.isdisjoint(signs_of(normal(word)))
         return known[word]
 
-    rows, tags, sizes = [], [], []
-    for words, toxic in zip(map(str.split, texts), y):
-        windows = [words[i:i + WINDOW] for i in range(0, len(words), WINDOW)]
-        marks = [[float(toxic and signed(w)) for w in win] for win in windows]
-        some = [i for i, m in enumerate(marks) if any(m)]
-        plain = [i for i, m in enumerate(marks) if not any(m)]
-        for i in some[:FIT_WINDOWS[0]] + plain[::max(1, len(plain) // FIT_WINDOWS[1])][:FIT_WINDOWS[1]]:
-            rows.append(windows[i])
-            tags.append(marks[i])
-            sizes.append(len(marks[i]))
-    seqs = np.zeros((len(rows), WINDOW, N_FEATURES), np.int32)
-    tag = np.zeros((len(rows), WINDOW))
-    mask = np.arange(WINDOW) < np.array(sizes)[:, None]
-    for i, (r, m) in enumerate(zip(rows, tags)):
-        seqs[i, :len(r)], tag[i, :len(m)] = features(r), m
+    return signed
+
+
+def fit_windows(windows: list[tuple], prior: float) -> Crf:
+    """The field, without its document unit, from (..., words, tags) of sequences."""
+    seqs = np.zeros((len(windows), WINDOW, N_FEATURES), np.int32)
+    tag = np.zeros((len(windows), WINDOW))
+    mask = np.arange(WINDOW) < np.array([len(w[-1]) for w in windows])[:, None]
+    for i, (*_, words, marks) in enumerate(windows):
+        seqs[i, :len(marks)], tag[i, :len(marks)] = features(words.split()), marks
     crf = fit_crf(seqs, mask, tag)
     crf.prior = prior
-    tagger = Tagger(crf)
-    summaries = np.array([_summary(o) for at in range(0, len(texts), 100)
-                          for o in tagger.tag(texts[at:at + 100])])
-    weight = np.where(y == 1, prior / (y == 1).sum(), (1 - prior) / (y == 0).sum()) * len(y)
+    return crf
+
+
+def _summaries(texts: list[str], tagger: Tagger) -> list[np.ndarray]:
+    return [_summary(o) for at in range(0, len(texts), 20) for o in tagger.tag(texts[at:at + 20])]
+
+
+def _with_unit(crf: Crf, summaries: np.ndarray, y: np.ndarray) -> Crf:
+    weight = np.where(y == 1, crf.prior / (y == 1).sum(), (1 - crf.prior) / (y == 0).sum()) * len(y)
     crf.unit = fit_unit(summaries, y, weight)
     return crf
 
 
+def fit_texts(texts: list[str], y: np.ndarray, prior: float) -> Crf:
+    """Field and document unit from labelled documents in memory; ``fit`` does the same in Spark tasks."""
+    if len(set(y.tolist())) < 2:
+        return Crf(prior)
+    sets = lambda kind: ({normal(w) for w in t.split()} for t, k in zip(texts, y) if k == kind)
+    signs = find_signs(sets(1), sets(0))
+    if not signs:
+        return Crf(prior)
+    signed = _signed(signs)
+    crf = fit_windows(_least(w for i, (t, k) in enumerate(zip(texts, y)) for w in windows_of(str(i), t, k == 1, signed)), prior)
+    return _with_unit(crf, np.array(_summaries(texts, Tagger(crf))), y)
+
+
+def _of_words(of: Callable[[set[str]], Iterable[str]]) -> Column:
+    """``of`` the normal words of each text, as an array."""
+    @F.arrow_udf("array<string>")
+    def run(texts: pa.Array) -> pa.Array:
+        return pa.array([list(of({normal(w) for w in t.split()})) for t in texts.to_pylist()], pa.list_(pa.string()))
+
+    return run("text")
+
+
+def _mined(sample: DataFrame) -> set[str]:
+    """``find_signs`` of ``sample (doc_id, y, text)``; the driver gets keys and counts."""
+    seen: dict[int, set[str]] = {0: set(), 1: set()}
+    kept, copies = Counter(), []
+    for r in sorted(sample.select("doc_id", "y", _of_words(copy_keys).alias("keys")).collect()):
+        if _is_new(r["keys"], seen[r.y]):
+            kept[r.y] += 1
+        else:
+            copies.append(r.doc_id)
+    n, m = kept[1], max(kept[0], 1)
+    # a sign has this many toxic documents at least: with clean ones there is less evidence
+    enough = next((t for t in range(3, n + 1) if _evidence(t, 0, n, m) >= MIN_EVIDENCE), n + 1)
+    counts = (sample.where(~F.col("doc_id").isin(copies)).select("y", F.explode(_of_words(_signs_in)).alias("sign"))
+              .groupBy("sign").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
+              .where((F.col("t") >= enough) & (F.col("c") * n <= 1.001 * MAX_CLEAN * m * F.col("t"))).collect())
+    return signs_by_count({r.sign: r.t for r in counts}, {r.sign: r.c for r in counts}, n, m)
+
+
+def _chosen(sample: DataFrame, signs: set[str]) -> list[tuple]:
+    """``_least`` of the sequences of all of ``sample``."""
+    names = ["plain", "key", "name", "place", "words", "marks"]
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        signed = _signed(signs)
+        rows = _least(w for b in batches for name, y, text in zip(*(c.to_pylist() for c in b.columns))
+                      for w in windows_of(name, text, y == 1, signed))
+        kinds = [pa.bool_(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.list_(pa.bool_())]
+        for at in range(0, len(rows), 1000):
+            columns = zip(*rows[at:at + 1000])
+            yield pa.RecordBatch.from_arrays([pa.array(list(c), k) for c, k in zip(columns, kinds)], names=names)
+
+    some = checkpointed(sample.select("doc_id", "y", "text").mapInArrow(
+        choose, "plain boolean, key long, name string, place long, words string, marks array<boolean>"))
+    # cut to the bound in a task, so that no more reaches the driver
+    least = [some.where(F.col("plain") == bool(k)).orderBy("key", "name", "place").limit(FIT_WINDOWS[k]) for k in (0, 1)]
+    return sorted(map(tuple, checkpointed(least[0].unionByName(least[1])).collect()))
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         label: str = "toxic", per_class: dict[int, int] = PER_CLASS) -> Crf:
-    """The field, fitted on labelled rows outside the held-out fold (a bounded sample of them)."""
+    """The field, fitted on labelled rows outside the held-out fold (a bounded sample of them, whole texts)."""
     sample, sizes = labelled_sample(docs, labels, label, fold(id_col, FOLDS) != HELD_OUT, per_class, id_col, text_col)
     if len(sizes) < 2:
         return Crf(float(next(iter(sizes), 0.5)))
-    words = F.slice(F.split(F.btrim("text"), r"\s+"), 1, FIT_WORDS)
-    rows = sorted(sample.select("doc_id", "y", F.array_join(words, " ").alias("text")).collect())
-    if not rows:
+    sample = checkpointed(sample.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("y").cast("int").alias("y"), "text")
+                          .repartition(FIT_TASKS, "doc_id"))
+    found = {r.y for r in sample.select("y").distinct().collect()}
+    if not found:
         return Crf(0.5)
-    return fit_texts([r.text for r in rows], np.array([int(r.y) for r in rows]), sizes[1] / (sizes[0] + sizes[1]))
+    prior = sizes[1] / (sizes[0] + sizes[1])
+    signs = _mined(sample) if len(found) == 2 else set()
+    if not signs:
+        return Crf(prior)
+    crf = fit_windows(_chosen(sample, signs), prior)
+
+    @F.arrow_udf("array<double>")
+    def summary(texts: pa.Array) -> pa.Array:
+        return pa.array([x.tolist() for x in _summaries(texts.to_pylist(), Tagger(crf))], pa.list_(pa.float64()))
+
+    rows = sorted(sample.select("doc_id", "y", summary("text").alias("x")).collect())
+    return _with_unit(crf, np.array([r.x for r in rows]), np.array([r.y for r in rows]))
 
 
 def _spans(text: str, odds: np.ndarray) -> list[dict]:

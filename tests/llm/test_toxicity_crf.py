@@ -98,6 +98,37 @@ def test_odd_rows(spark):
     assert texts[6][last.start:last.end] == "idiotx"
 
 
+def test_fitting_reads_whole_texts(spark):
+    prepare(spark)
+    rng = random.Random(9)
+    plain = [f"{k}word" for k in range(50_000)]
+    texts = [rng.choices(plain, k=2600) for _ in range(160)]
+    for t in texts[1::2]:
+        t[2500:2500] = ["idiotx", "and", "idiotx"]
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(160)], "doc_id long, toxic int")
+    for r in X.report(docs, labels).collect():
+        words = [" ".join(texts[r.doc_id])[a.start:a.end] for a in r.spans]
+        assert r.predicted == r.doc_id % 2 and (words != []) == bool(r.predicted) and all("idiotx" in w for w in words)
+
+
+def test_fitting_in_tasks_equals_fitting_in_memory(spark, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(X, "FIT_WINDOWS", (40, 50))
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices([f"word{k}" for k in range(300)], k=200) + ["vilest"] * (i % 2) * 3) for i in range(150)]
+    names = sorted(str(i) for i in range(150) if zlib.crc32(str(i).encode()) % X.FOLDS != X.HELD_OUT)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    crf = X.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, toxic int"))
+    y = np.array([int(i) % 2 for i in names])
+    signed = X._signed(X.find_signs(*[[set(texts[int(i)].split()) for i in names if int(i) % 2 == k] for k in (1, 0)]))
+    windows = [w for i in names for w in X.windows_of(i, texts[int(i)], int(i) % 2 == 1, signed)]
+    few = [w for k in (0, 1) for w in sorted(w for w in windows if w[0] == k)[:X.FIT_WINDOWS[k]]]
+    want = X.fit_windows(few, y.mean())
+    assert np.allclose(crf.emission, want.emission) and np.allclose(crf.step, want.step)
+    assert np.allclose(crf.unit, X._with_unit(want, np.array(X._summaries([texts[int(i)] for i in names], X.Tagger(want))), y).unit)
+
+
 @pytest.mark.parametrize("rows, want", [([], 0.5), ([(1, 1)], 1.0), ([(1, 0)], 0.0)])
 def test_labels_of_one_kind_or_none(spark, rows, want):
     prepare(spark)
