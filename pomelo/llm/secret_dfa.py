@@ -56,7 +56,9 @@ RULES = (
     Rule("github", r"gh[pousr]_[A-Za-z0-9]+", least=40),
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=20),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
-    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP )?PRIVATE KEY( BLOCK)?-----"),
+    # from the BEGIN line over all that has no run of five hyphens to the END line; without one, the BEGIN line
+    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----"
+                        r"((-{0,4}[^-])*-{5,}END (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----)?"),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
