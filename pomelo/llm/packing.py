@@ -6,11 +6,14 @@ shorter one.  Each piece is then placed among the open bins where the sum
 over gaps of squared counts of open bins per gap becomes smallest; a new bin
 is opened only when no open bin has room.  Pieces are placed longest first.
 
-Scale: pieces are numbered through (per-partition counts give the offsets,
-one number per partition on the driver) and dealt into shards of a fixed
-number of pieces.  A shard is packed in one task of bounded memory and loses
-at most its last bins, under a thousandth of all; no key decides where a
-piece goes, so repeated rows cannot fill one task.
+Scale: pieces are sorted by length, numbered through (per-partition counts
+give the offsets, one number per partition on the driver) and dealt round
+robin into shards of ``SHARD_TOKENS`` tokens, so each shard has the lengths of
+all documents, wherever they lie.  A shard is packed in one task of bounded
+memory; no key decides where a piece goes, so repeated rows cannot fill one
+task.  The emptiest bins of all shards are unpacked and their pieces packed
+again in the same way, in ever fewer shards down to one; where that needs no
+fewer bins, the places from before stay.
 
 Cases: a null text counts as empty (its one piece is the separator); equal
 rows are packed each on its own; null ids stay null; an empty table gives an
@@ -33,7 +36,8 @@ from pomelo.llm.common import checkpointed
 
 CAPACITY = 2048
 SEPARATOR = 0
-SHARD_PIECES = 4096
+SHARD_TOKENS = 1024 * CAPACITY
+AGAIN = 16                  # bins of a shard whose pieces are packed again, the emptiest
 
 
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY,
@@ -97,33 +101,57 @@ def place(lengths: np.ndarray, capacity: int = CAPACITY) -> tuple[np.ndarray, np
     return bins, offsets
 
 
-def pack(parts: DataFrame, capacity: int = CAPACITY, shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    """``parts`` (any rows with a ``length`` of 1 to ``capacity``) with ``sequence_id`` and ``offset``."""
-    spark = parts.sparkSession
-    parts = checkpointed(parts)
-    numbered = parts.select(F.struct(*[F.col(f"`{c}`") for c in parts.columns]).alias("part"),
-                            F.monotonically_increasing_id().alias("at"))
-    partition = F.shiftright("at", 33)
+def _numbered(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` (checkpointed) numbered through in their order."""
+    numbered = rows.withColumn(name, F.monotonically_increasing_id())
+    partition = F.shiftright(name, 33)
     counts = numbered.groupBy(partition.alias("p")).count().collect()   # one number per partition
     offsets, total = [], 0
     for r in sorted(counts, key=lambda r: r["p"]):
         offsets.append((r["p"], total))
         total += r["count"]
-    table = spark.createDataFrame(offsets, "p long, before long")       # as many rows as partitions
-    dealt = (numbered.join(F.broadcast(table), partition == F.col("p"))
-             .select("part", (F.col("before") + F.col("at").bitwiseAND((1 << 33) - 1)).alias("at"))
-             .select("part", "at", F.floor(F.col("at") / shard_pieces).alias("shard"),
-                     F.col("part.length").alias("length")))
+    table = rows.sparkSession.createDataFrame(offsets, "p long, before long")       # as many rows as partitions
+    return (numbered.join(F.broadcast(table), partition == F.col("p"))
+            .select(*rows.columns, (F.col("before") + F.col(name).bitwiseAND((1 << 33) - 1)).alias(name)))
+
+
+def _placed(lengths: DataFrame, capacity: int, shard_tokens: int, first: int = 0) -> DataFrame:
+    """``(at, length)`` with ``sequence_id`` (from ``first``) and ``offset``."""
+    total = lengths.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("tokens")).first()
+    shard_tokens = max(shard_tokens, 4 * capacity)
+    shards = max(1, -(-total.tokens // shard_tokens))
+    most = -(-total.n // shards)                # pieces of a shard, so its bins too
+    few = min(AGAIN, shard_tokens // capacity // 4)
 
     def pack_shard(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("at")
-        bins, at = place(pdf["length"].to_numpy(), capacity)
-        return pd.DataFrame({"at": pdf["at"].to_numpy(), "sequence_id": pdf["shard"].to_numpy() * shard_pieces + bins,
-                             "offset": at})
-
-    placed = (dealt.select("at", "shard", "length").groupBy("shard")
-              .applyInPandas(pack_shard, "at long, sequence_id long, offset long"))
-    return (dealt.join(placed, "at")
+        pdf = pdf.sort_values("place")
+        size = pdf["length"].to_numpy()
+        bins, offset = place(size, capacity)
+        filled = np.bincount(bins, size)
+        last = np.zeros(len(filled), bool)
+        last[np.argsort(filled, kind="stable")[:few]] = True
+        return pd.DataFrame({"at": pdf["at"].to_numpy(), "length": size,
+                             "sequence_id": first + pdf["shard"].to_numpy() * most + bins, "offset": offset, "again": last[bins]})
+
+    dealt = _numbered(checkpointed(lengths.orderBy(F.desc("length"), "at")), "place")
+    placed = checkpointed(dealt.withColumn("shard", F.col("place") % shards).groupBy("shard").applyInPandas(
+        pack_shard, "at long, length long, sequence_id long, offset long, again boolean"))
+    again, placed = placed.where("again").drop("again"), placed.where(~F.col("again") | F.lit(shards == 1)).drop("again")
+    if shards == 1:
+        return placed
+    better = _placed(again.select("at", "length"), capacity, shard_tokens, first + shards * most)
+    bins = [df.select("sequence_id").distinct().count() for df in (better, again)]
+    return placed.unionByName(better if bins[0] < bins[1] else again)
+
+
+def pack(parts: DataFrame, capacity: int = CAPACITY, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
+    """``parts`` (any rows with a ``length`` of 1 to ``capacity``) with ``sequence_id`` and ``offset``."""
+    parts = checkpointed(parts)
+    numbered = parts.select(F.struct(*[F.col(f"`{c}`") for c in parts.columns]).alias("part"),
+                            F.monotonically_increasing_id().alias("at"))
+    lengths = numbered.select("at", F.col("part.length").cast("long").alias("length"))
+    placed = _placed(lengths, capacity, shard_tokens).select("at", "sequence_id", "offset")
+    return (numbered.join(placed, "at")
             .select(*[F.col(f"part.`{c}`") for c in parts.columns], "sequence_id", "offset"))
 
 

@@ -105,6 +105,43 @@ def test_odd_rows_many_partitions_and_clashing_columns(spark):
     assert ids == [*lib_ids("again"), 0]
 
 
+def bins_of(rows, capacity):
+    """Number of sequences; none has gaps or too much."""
+    fill = defaultdict(list)
+    for r in rows:
+        fill[r.sequence_id].append((r.offset, r.length))
+    for parts in fill.values():
+        ends = np.cumsum([n for _, n in sorted(parts)])
+        assert [o for o, _ in sorted(parts)] == [0, *ends[:-1]] and ends[-1] <= capacity
+    return len(fill)
+
+
+def test_pieces_stored_by_length_share_sequences(spark):
+    prepare(spark)
+    df = spark.range(12_000, numPartitions=5).selectExpr("id", "if(id < 6000, 1100L, 900L) AS length")
+    rows = K.pack(df).collect()
+    assert sorted(r.id for r in rows) == list(range(12_000))
+    assert bins_of(rows, 2048) == 6000
+
+
+def test_short_pieces_lose_no_sequence_per_shard(spark):
+    prepare(spark)
+    df = spark.range(60_000, numPartitions=3).selectExpr("id", "15 + id % 11 AS length")
+    whole = K.place(15 + np.arange(60_000) % 11, 2048)[0].max() + 1
+    assert bins_of(K.pack(df).collect(), 2048) <= whole
+    assert bins_of(K.pack(df, 2048, 64 * 2048).collect(), 2048) <= whole + 1       # ten shards
+
+
+def test_shards_are_packed_again_until_one_is_left(spark):
+    prepare(spark)
+    rng = np.random.default_rng(8)
+    size = rng.integers(1, 101, 3000)
+    df = spark.createDataFrame([(i, int(n)) for i, n in enumerate(size)], "id long, length long")
+    rows = K.pack(df, 100, 1000).collect()          # 150 shards of ten sequences
+    assert sorted((r.id, r.length) for r in rows) == list(enumerate(size.tolist()))
+    assert bins_of(rows, 100) <= best_fit_decreasing(size.tolist(), 100) * 1.05
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert K.packed(df).count() == 0
