@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, chat_template, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
+from pomelo.llm import bpe_tree, chat_template, fim, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
 from pomelo.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op12_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_template": op1_chat_template,
     "op2_robust_outliers": op2_robust_outliers,
@@ -65,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_mtree_top_k": op10_mtree_top_k,
+    "op12_fim_rotation": op12_fim_rotation,
 }
 
 _ESCAPED = ("replace(replace(replace(replace({0}, '\\', '\\\\'), '<turn>', '\\<turn>'), "
@@ -90,6 +95,7 @@ ORACLES: dict[str, str] = {
     "op2_robust_outliers": outlier_rules.oracle(),
     "op3_secret_automaton": secret_dfa.oracle(),
     "op5_license_digest": license_digest.oracle(),
+    "op12_fim_rotation": fim.oracle(),
     "op10_mtree_top_k": """
         WITH v AS (
             SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v
