@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, chat_template, fim, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf
+from pomelo.llm import bpe_tree, chat_template, fim, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf, warc
 from pomelo.llm.common import table
 
 
@@ -58,6 +58,10 @@ def op12_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.report(table(spark, sf_dir, "documents"))
 
 
+def op13_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.report(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_template": op1_chat_template,
     "op2_robust_outliers": op2_robust_outliers,
@@ -70,6 +74,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_mtree_top_k": op10_mtree_top_k,
     "op12_fim_rotation": op12_fim_rotation,
+    "op13_warc_salvage": op13_warc_salvage,
 }
 
 _ESCAPED = ("replace(replace(replace(replace({0}, '\\', '\\\\'), '<turn>', '\\<turn>'), "
@@ -96,6 +101,7 @@ ORACLES: dict[str, str] = {
     "op3_secret_automaton": secret_dfa.oracle(),
     "op5_license_digest": license_digest.oracle(),
     "op12_fim_rotation": fim.oracle(),
+    "op13_warc_salvage": warc.oracle(),
     "op10_mtree_top_k": """
         WITH v AS (
             SELECT vec_id, min(list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT))) AS v

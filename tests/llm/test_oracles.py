@@ -11,7 +11,7 @@ SF = "/root/testdata/sf0.01"
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings", "conversations"):
+    for t in ("documents", "embeddings", "conversations", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(ORACLES[name])
     columns = [c[0] for c in want.description]
