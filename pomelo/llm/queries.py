@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pomelo.llm import bpe_tree, chat_template, fim, license_digest, mtree, outlier_rules, packing, quality_mil, secret_dfa, simhash, toxicity_crf, warc
+from pomelo.llm import bpe_tree, chat_template, fim, license_digest, mtree, outlier_rules, packing, prefix_trie, quality_mil, secret_dfa, simhash, toxicity_crf, warc
 from pomelo.llm.common import table
 
 
@@ -54,6 +54,10 @@ def op10_mtree_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mtree.top_k(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
 def op12_fim_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.report(table(spark, sf_dir, "documents"))
 
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sum_of_squares_packing": op8_sum_of_squares_packing,
     "op9_simhash_multi_index": op9_simhash_multi_index,
     "op10_mtree_top_k": op10_mtree_top_k,
+    "op11_prefix_trie": op11_prefix_trie,
     "op12_fim_rotation": op12_fim_rotation,
     "op13_warc_salvage": op13_warc_salvage,
 }
@@ -100,6 +105,7 @@ ORACLES: dict[str, str] = {
     "op2_robust_outliers": outlier_rules.oracle(),
     "op3_secret_automaton": secret_dfa.oracle(),
     "op5_license_digest": license_digest.oracle(),
+    "op11_prefix_trie": prefix_trie.oracle(),
     "op12_fim_rotation": fim.oracle(),
     "op13_warc_salvage": warc.oracle(),
     "op10_mtree_top_k": """
