@@ -52,10 +52,21 @@ def second_piece(parts: Column) -> Column:
     return java_trim(F.element_at(parts, 2))
 
 
+def _strict(c: Column, kind: str) -> Column:
+    got = c.try_cast(kind)
+    wrong = F.raise_error(F.concat(F.lit(f"not a {kind}: '"), c, F.lit("'")))
+    return F.when(c.isNotNull() & got.isNull(), wrong.cast(kind)).otherwise(got)
+
+
 def strict_double(c: Column, strict: bool = True) -> Column:
-    """P10 ``toDouble``: malformed text fails the job under ANSI; ``strict=False``
-    gives NULL instead."""
-    return c.cast("double") if strict else c.try_cast("double")
+    """P10 ``toDouble``: malformed text fails the job, whatever the session's
+    ANSI setting; ``strict=False`` gives NULL instead."""
+    return _strict(c, "double") if strict else c.try_cast("double")
+
+
+def strict_int(c: Column) -> Column:
+    """P10 ``toInt``: malformed text fails the job, whatever the session's ANSI setting."""
+    return _strict(c, "int")
 
 
 def strip_prefix_guarded(c: Column | str, n: int = 2) -> Column:

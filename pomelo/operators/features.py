@@ -15,7 +15,8 @@ Plan shape (the behaviour table is the only large input):
 
 from __future__ import annotations
 
-from pyspark.ml.linalg import Vectors, VectorUDT
+import pyarrow as pa
+from pyspark.ml.linalg import VectorUDT
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -114,14 +115,21 @@ def assemble_vectors(df: DataFrame, k: int, feature_col: str = "feature",
                      output_col: str = "features") -> DataFrame:
     """M1: the sparse vector of dimension K of a feature string, values and all.
 
-    Tokens are parsed and sorted in the JVM; an Arrow-batched function only
-    wraps indices and values as a vector.  An index outside [0, K), or one
-    that occurs twice, fails the job."""
-    @F.udf(VectorUDT(), useArrow=True)
-    def sparse(index, value):
-        if len(index) and not 0 <= index[0] <= index[-1] < k:
-            raise ValueError(f"column index outside [0, {k})")
-        return Vectors.sparse(k, index, value)
-
-    pairs = index_values(feature_col)
-    return df.withColumn(output_col, sparse(F.transform(pairs, lambda p: p["i"]), F.transform(pairs, lambda p: p["v"])))
+    Tokens are parsed, sorted and checked in the JVM, where they become the
+    struct that a vector column is stored as.  The JVM has no cast from that
+    struct to the vector type, so the column passes through one Arrow function
+    that hands its arrays back as they are: no row becomes a Python object.
+    An index outside [0, K), or one that occurs twice, fails the job."""
+    @F.arrow_udf(VectorUDT())
+    def as_vector(parts: pa.Array) -> pa.Array:
+        return parts
+
+    # parsed in a projection of its own: the vector refers to the pairs several times
+    parsed = df.withColumn("_pairs", index_values(feature_col))
+    index, value = F.col("_pairs.i"), F.col("_pairs.v")
+    wrong = (F.element_at(index, 1) < 0) | (F.element_at(index, -1) >= k) | (F.size(F.array_distinct(index)) < F.size(index))
+    checked = F.when((F.size(index) > 0) & wrong, F.raise_error(F.concat(
+        F.lit(f"column index outside [0, {k}) or repeated: "), F.array_join(index, " "))).cast("array<int>")).otherwise(index)
+    # type 0 is the sparse form
+    return parsed.withColumn(output_col, as_vector(F.when(F.col(feature_col).isNotNull(), F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(k).alias("size"), checked.alias("indices"), value.alias("values"))))).drop("_pairs")

@@ -3,7 +3,7 @@
 The override merge (J8 + J7 + U3 in the reference: left outer, anti, union)
 is one full outer join: the trusted value wins where present.  Trusted rows
 with a NULL class are dropped on read and the trusted source is reduced to
-one row per entity first (trap #19, deviation: no failure).
+one row per entity first (trap #19, deviation: no failure), by label.
 """
 
 from __future__ import annotations
@@ -23,15 +23,21 @@ def known_plus_predicted(train: DataFrame, scored: DataFrame, classes: P.ClassNa
     return known.unionByName(pred)
 
 
-def trusted_one_per_key(trusted: DataFrame, key: str = "entity_id",
+def trusted_one_per_key(trusted: DataFrame, classes: P.ClassNames, key: str = "entity_id",
                         value: str = "class_name") -> DataFrame:
-    """A9 on the trusted source after dropping NULL values."""
-    return trusted.where(F.col(value).isNotNull()).groupBy(key).agg(F.min(value).alias(value))
+    """A9 on the trusted source: (key, class_name), NULL dropped, of contradicting rows the negative class.
 
+    The least 0/1 label is taken, not the least text: a number combines in a
+    hash aggregate, a text would sort the whole source by key first.  A text
+    that names neither class is no label and dropped like NULL."""
+    named = trusted.where(F.col(value).isin(classes.positive, classes.negative))
+    least = named.groupBy(key).agg(F.min(R.class_to_label(value, classes.positive)).alias("label"))
+    return least.select(key, R.label_to_class("label", classes).alias(value))
 
-def override_merge(pred: DataFrame, trusted: DataFrame, key: str = "entity_id") -> DataFrame:
+
+def override_merge(pred: DataFrame, trusted: DataFrame, classes: P.ClassNames, key: str = "entity_id") -> DataFrame:
     """J8 + J10 + U3: (entity_id, class_name), trusted class wins."""
-    t = trusted_one_per_key(trusted, key).select(key, F.col("class_name").alias("t"))
+    t = trusted_one_per_key(trusted, classes, key).select(key, F.col("class_name").alias("t"))
     p = pred.select(key, F.col("class_name").alias("p"))
     return p.join(t, key, "full_outer").select(key, F.coalesce("t", "p").alias("class_name"))
 

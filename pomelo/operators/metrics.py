@@ -51,9 +51,10 @@ def group_count(df: DataFrame, col: str, name: str = "n") -> DataFrame:
 def distribution(df: DataFrame, col: str) -> DataFrame:
     """A5: per-value count and its share of the total.
 
-    The total is a window over the *aggregated* rows (one per value)."""
+    The total is a scalar subquery over the aggregated rows, so however many
+    values the column has, they stay where they were counted."""
     g = group_count(df, col)
-    return g.withColumn("share", F.round(ratio(F.col("n"), F.sum("n").over(Window.partitionBy())), 6))
+    return g.withColumn("share", F.round(ratio(F.col("n"), g.agg(F.sum("n")).scalar()), 6))
 
 
 def accuracy_avg(df: DataFrame, a: str, b: str) -> Column:

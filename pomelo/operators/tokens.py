@@ -46,7 +46,7 @@ def parse_feature_long(df: DataFrame, strict: bool = True, extra: tuple[str, ...
     """G3 in long form: (entity_id, "i:v ...") -> (entity_id, extra..., column_index, value)."""
     p = F.col("parts")
     return explode_pairs(df, extra=extra).select(
-        "entity_id", *extra, T.first_piece(p).cast("int").alias("column_index"),
+        "entity_id", *extra, T.strict_int(T.first_piece(p)).alias("column_index"),
         T.strict_double(T.second_piece(p), strict).alias("value"))
 
 
@@ -54,7 +54,7 @@ def index_values(feature: str = "feature"):
     """G3 as an array of (i, v) of the well-formed tokens, by index (strict casts)."""
     toks = F.filter(T.split_tokens(feature), lambda t: T.is_pair(T.pair_parts(t)))
     return F.array_sort(F.transform(toks, lambda t: F.struct(
-        T.first_piece(T.pair_parts(t)).cast("int").alias("i"),
+        T.strict_int(T.first_piece(T.pair_parts(t))).alias("i"),
         T.strict_double(T.second_piece(T.pair_parts(t))).alias("v"))))
 
 

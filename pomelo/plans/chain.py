@@ -117,7 +117,8 @@ class Chain:
 
     @cached_property
     def two_branch(self) -> DataFrame:
-        return LB.two_branch_labels(self.inp.users, self.inp.device_user, self.p.agreement_date)
+        """The twin of the known labels, by a device table of its own."""
+        return LB.two_branch_labels(self.inp.users, self.inp.device_user_twin, self.p.agreement_date)
 
     @cached_property
     def decoded(self) -> DataFrame:
@@ -140,9 +141,13 @@ class Chain:
         training job reads the written known-label table instead."""
         return self.labels_raw
 
+    @cached_property
+    def tag_counts(self) -> DataFrame:
+        return ST.tag_counts(self.set_labels, self.features)
+
     @cached_property
     def tagged(self) -> DataFrame:
-        return self._m(ST.tagged_sets(self.set_labels, self.features))
+        return self._m(ST.tagged_sets(self.tag_counts, self.features))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -219,7 +224,7 @@ class Chain:
     def truth_part(self) -> DataFrame:
         """Trusted entities absent from the known labels, one class each.  The
         jobs read the table that the agreement job has written instead."""
-        return (MG.trusted_one_per_key(self.truth_latest)
+        return (MG.trusted_one_per_key(self.truth_latest, self.p.classes)
                 .join(self.known_labels.select("entity_id"), "entity_id", "left_anti"))
 
     def accuracy_against(self, truth: DataFrame, pred: DataFrame) -> DataFrame:
@@ -237,7 +242,7 @@ class Chain:
 
     @cached_property
     def merged(self) -> DataFrame:
-        return self._m(MG.override_merge(self.known_plus_predicted, self.truth_latest))
+        return self._m(MG.override_merge(self.known_plus_predicted, self.truth_latest, self.p.classes))
 
     def class_counts(self, df: DataFrame) -> DataFrame:
         c = self.p.classes

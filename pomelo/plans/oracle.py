@@ -73,12 +73,12 @@ piece("labels_raw", f"""
 piece("known_labels", "SELECT entity_id, MIN(label) AS label FROM labels_raw GROUP BY entity_id", "labels_raw")
 piece("two_branch", f"""
     SELECT d.entity_id, 1 AS label
-    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 2 AND stat_date = '{AD}') u JOIN device_user d ON u.user_id = d.user_id
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 2 AND stat_date = '{AD}') u JOIN device_user_twin d ON u.user_id = d.user_id
     WHERE d.stat_date = '{AD}'
     UNION ALL
     SELECT d.entity_id, 0 AS label
-    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 1 AND stat_date = '{AD}') u JOIN device_user d ON u.user_id = d.user_id
-    WHERE d.stat_date = '{AD}'""", "users", "device_user")
+    FROM (SELECT DISTINCT user_id FROM users WHERE label_code = 1 AND stat_date = '{AD}') u JOIN device_user_twin d ON u.user_id = d.user_id
+    WHERE d.stat_date = '{AD}'""", "users", "device_user_twin")
 piece("branch_labels", "SELECT entity_id, MIN(label) AS label FROM two_branch GROUP BY entity_id", "two_branch")
 piece("decoded_age", f"""
     SELECT user_id, second_code,
@@ -121,6 +121,25 @@ piece("split", f"""
            CASE WHEN CAST(('0x' || substr(md5(entity_id || '#{SEED}'), 1, 8)) AS BIGINT) / 4294967296.0 < {QP.train_fraction}
                 THEN 'train' ELSE 'valid' END AS split
     FROM train""", "train")
+piece("train_terms", """
+    SELECT label, CAST(trim(p[1]) AS INTEGER) AS column_index, CAST(trim(p[2]) AS DOUBLE) AS value
+    FROM (SELECT label, string_split(rtrim(trim(tok), ':'), ':') AS p
+          FROM (SELECT label, unnest(string_split(trim(feature), ' ')) AS tok FROM split WHERE split = 'train') a) b
+    WHERE len(p) = 2""", "split")
+
+
+def fit_rows(first_loss: str) -> str:
+    """Rows of an optimal fit; ``first_loss`` in terms of ``p``, the share of label 1."""
+    return f"""
+            SELECT 'column' AS part, CAST(column_index AS VARCHAR) AS key, COUNT(*) AS n, SUM(label * value) AS value
+            FROM train_terms GROUP BY column_index
+            UNION ALL SELECT 'score', entity_id, n_active, 1.0 FROM predict
+            UNION ALL SELECT 'loss', 'first', 0, ROUND({first_loss}, 6)
+            FROM (SELECT AVG(label) AS p FROM split WHERE split = 'train') s
+            UNION ALL SELECT 'loss', 'last', 0, 0.0
+            UNION ALL SELECT 'loss', 'rises', 0, 0.0"""
+
+
 piece("weights", """
     SELECT column_index, CAST((column_index * 37) % 101 - 50 AS DOUBLE) / 100.0 AS weight
     FROM item_index WHERE (column_index * 37) % 101 <> 50""", "item_index")
@@ -318,13 +337,11 @@ def oracle_statements() -> dict[str, str]:
             "SELECT entity_id, class_name AS class_trusted FROM truth_latest", "truth_latest"),
         "latest_partition_catalog": statement(
             "SELECT entity_id, class_name AS class_trusted FROM truth_latest", "truth_latest"),
-        "lr_fit_predict": statement("""
-            SELECT entity_id, true AS score_is_sigmoid_of_margin, true AS prediction_is_above_threshold
-            FROM predict""", "predict"),
-        "lr_fit_intercept": statement("""
-            SELECT 'score' AS part, entity_id, true AS score_is_sigmoid_or_history,
-                   true AS prediction_above_or_never_rises FROM predict
-            UNION ALL SELECT 'loss', '', true, true""", "predict"),
+        "lr_fit_predict": statement(fit_rows("ln(2)"), "predict", "train_terms"),
+        "lr_fit_intercept": statement(
+            fit_rows("-(p * ln(p) + (1 - p) * ln(1 - p))") + """
+            UNION ALL SELECT 'column', '-1', COUNT(*), SUM(label) FROM split WHERE split = 'train'""",
+            "predict", "train_terms", "split"),
         "three_way_label_pred": statement(f"""
             SELECT x.user_id, d.entity_id, x.class_name AS class_trusted, p.class_name AS class_pred
             FROM decoded x JOIN device_user d ON x.user_id = d.user_id

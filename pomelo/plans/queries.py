@@ -122,7 +122,8 @@ def q_predict_set(spark, sf_dir):
 
 
 def q_set_cardinality_report(spark, sf_dir):
-    return ST.cardinality_report(_chain(spark, sf_dir).tagged)
+    c = _chain(spark, sf_dir)
+    return ST.cardinality_report(c.tag_counts, c.tagged)
 
 
 def q_hash_split(spark, sf_dir):
@@ -214,40 +215,63 @@ def q_validation_run(spark, sf_dir):
     return _rounded(row.select(F.lit(c.p.snapshot_new).alias("date"), "*"), "accuracy_full", "accuracy_part")
 
 
-def _fit_checks(c: Chain, model) -> DataFrame:
-    """Per entity of the predict set: scored by ``transform`` as by the
-    exported weights, and class 1 exactly above the threshold."""
+# A fit counts as optimal where no column's mean gradient exceeds this.
+OPTIMAL = 1e-5
+
+
+def _fit_rows(c: Chain, model, train: DataFrame) -> DataFrame:
+    """A fitted model as (part, key, n, value) rows.
+
+    ``column``: of every column of the training rows, what the scores add up
+    to.  Where the fit is optimal (``OPTIMAL``) that is what the labels add up
+    to, and then the labels' sum is given, so the value is known without the
+    weights; a fit that stopped too early gives other numbers.
+    ``score``: of every entity to be scored, its number of items, and 1 where
+    ``transform`` gives what the exported weights give (1e-9) and class 1 is
+    exactly above the threshold.
+    ``loss``: the first loss (of the model without items: log 2, or the
+    labels' entropy with an intercept), by how much the last differs from the
+    loss of the exported weights over the table, and how often it rises."""
+    columns = MD.optimality(model, train, c.p.top_k).select(
+        F.lit("column").alias("part"), F.col("column_index").cast("string").alias("key"), F.col("n_rows").alias("n"),
+        F.when(F.abs("gradient") < OPTIMAL, F.col("label_sum")).otherwise(F.col("score_sum")).alias("value"))
     a = MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
-    w = MD.weight_table(c.spark, model)
-    b = (MD.score_with_weights(c.predict, w, c.p.threshold, float(model.intercept))
-         .select("entity_id", F.col("score").alias("long_score")))
-    return a.join(b, "entity_id", "full_outer").select(
-        "entity_id", (F.abs(F.col("score") - F.col("long_score")) < 1e-9).alias("score_is_sigmoid_of_margin"),
-        ((F.col("prediction") == 1) == (F.col("score") > c.p.threshold)).alias("prediction_is_above_threshold"))
+    b = (MD.score_with_weights(c.predict, MD.weight_table(c.spark, model), c.p.threshold, float(model.intercept),
+                               keep=("n_active",))
+         .select("entity_id", "n_active", F.col("score").alias("long_score")))
+    same = ((F.abs(F.col("score") - F.col("long_score")) < 1e-9)
+            & ((F.col("prediction") == 1) == (F.col("score") > c.p.threshold)))
+    scores = a.join(b, "entity_id", "full_outer").select(
+        F.lit("score").alias("part"), F.col("entity_id").alias("key"), F.col("n_active").cast("bigint").alias("n"),
+        F.when(same, 1.0).otherwise(0.0).alias("value"))
+    history = MD.loss_history(c.spark, model)                        # at most maxIter rows
+    before = F.lag("loss").over(Window.orderBy("iteration"))
+    rises = F.coalesce((F.col("loss") > F.col("before") + 1e-9).cast("int"), F.lit(0))
+    steps = history.select("iteration", "loss", before.alias("before")).agg(
+        F.min_by("loss", "iteration").alias("first"), F.max_by("loss", "iteration").alias("last"), F.sum(rises).alias("rises"))
+    off = F.abs(F.col("last") - MD.table_loss(model, train, c.p.top_k).scalar())
+    losses = steps.select(F.inline(F.array(*[
+        F.struct(F.lit("loss").alias("part"), F.lit(key).alias("key"), F.lit(0).cast("bigint").alias("n"),
+                 F.round(value.cast("double"), 6).alias("value"))
+        for key, value in (("first", F.col("first")), ("last", off), ("rises", F.col("rises")))])))
+    return columns.unionByName(scores).unionByName(losses)
+
+
+def _fit_query(spark: SparkSession, sf_dir: str, estimator) -> DataFrame:
+    c = _mchain(spark, sf_dir)
+    train = c._m(c.split.where(F.col("split") == "train"))           # every iteration reads it
+    return _fit_rows(c, MD.fit(train, c.p.top_k, estimator), train)
 
 
 def q_lr_fit_predict(spark, sf_dir):
-    """M1 + M4 + M8: fit on the train part of the split, score the predict set."""
-    c = _mchain(spark, sf_dir)
-    model = MD.fit(c.split.where(F.col("split") == "train"), c.p.top_k, MD.lbfgs_estimator())
-    return _fit_checks(c, model)
+    """M1 + M4 + M8 + M12: the RDD-API fit on the train part of the split, its
+    certificate, the predict set scored."""
+    return _fit_query(spark, sf_dir, MD.lbfgs_estimator())
 
 
 def q_lr_fit_intercept(spark, sf_dir):
-    """M5 + M12: the ML-API fit (intercept, 1000 iterations): the same checks, and
-    for the loss history that it never rises."""
-    c = _mchain(spark, sf_dir)
-    model = MD.fit(c.split.where(F.col("split") == "train"), c.p.top_k, MD.ml_estimator())
-    before = F.lag("loss").over(Window.orderBy("iteration"))        # at most maxIter rows
-    loss = MD.loss_history(spark, model).select("loss", before.alias("before"))
-    row = loss.agg((F.count(F.lit(1)) > 1).alias("has_history"),
-                   F.coalesce(F.max((F.col("loss") > F.col("before") + 1e-9).cast("int")), F.lit(0)).alias("rises"))
-    return (_fit_checks(c, model).withColumn("part", F.lit("score"))
-            .unionByName(row.select(F.lit("loss").alias("part"), F.lit("").alias("entity_id"),
-                                    F.col("has_history").alias("score_is_sigmoid_of_margin"),
-                                    (F.col("rises") == 0).alias("prediction_is_above_threshold")))
-            .withColumnsRenamed({"score_is_sigmoid_of_margin": "score_is_sigmoid_or_history",
-                                 "prediction_is_above_threshold": "prediction_above_or_never_rises"}))
+    """M1 + M5 + M8 + M12: the ML-API fit (intercept, 1000 iterations), the same rows and the intercept's."""
+    return _fit_query(spark, sf_dir, MD.ml_estimator())
 
 
 QUERIES: dict[str, Query] = {

@@ -116,6 +116,14 @@ def device_user(spark: SparkSession, sf_dir: str) -> DataFrame:
         _by_parity("o_orderkey", DEVICE_DATES).alias("stat_date"))
 
 
+def device_user_twin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """entity_id, user_id, stat_date: the device table of the known-label twin; some devices have another user than in ``device_user``."""
+    key = F.col("o_orderkey")
+    return read_table(spark, sf_dir, "orders").select(
+        entity_of("o_orderkey").alias("entity_id"), (F.col("o_custkey") + (key % 13 == 0).cast("int")).alias("user_id"),
+        _by_parity("o_orderkey", DEVICE_DATES).alias("stat_date"))
+
+
 def coded_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """user_id, first_code (encoded id, 12/14 chars or malformed), second_code.
 
@@ -172,6 +180,7 @@ class Inputs:
     coded_ids: DataFrame
     truth_full: DataFrame
     predictions: DataFrame
+    device_user_twin: DataFrame
     truth_table: str | None = None    # catalog name of a partitioned ``truth_full``
 
 
@@ -199,6 +208,7 @@ def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
         coded_ids=coded_ids(spark, sf_dir),
         truth_full=truth_full(spark, sf_dir),
         predictions=predictions(spark, sf_dir),
+        device_user_twin=device_user_twin(spark, sf_dir),
     )
 
 
@@ -244,6 +254,10 @@ FIXTURE_SQL: dict[str, str] = {
         SELECT {_ent('o_orderkey')} AS entity_id, o_custkey AS user_id,
                CASE WHEN o_orderkey % 2 = 0 THEN '{DEVICE_DATES[0]}' ELSE '{DEVICE_DATES[1]}' END AS stat_date
         FROM orders""",
+    "device_user_twin": f"""
+        SELECT {_ent('o_orderkey')} AS entity_id, o_custkey + CASE WHEN o_orderkey % 13 = 0 THEN 1 ELSE 0 END AS user_id,
+               CASE WHEN o_orderkey % 2 = 0 THEN '{DEVICE_DATES[0]}' ELSE '{DEVICE_DATES[1]}' END AS stat_date
+        FROM orders""",
     "coded_ids": f"""
         SELECT c_custkey AS user_id,
                CASE WHEN {_B} % 4 = 2 THEN {_HEAD} || CAST(30 + {_B} % 60 AS VARCHAR) || {_TAIL}

@@ -93,34 +93,35 @@ def test_feature_indices_sorted_numerically(spark):
 def _tagged(spark, labels, feats):
     lab = spark.createDataFrame(labels, "entity_id string, label int")
     fe = spark.createDataFrame(feats, "entity_id string, feature string")
-    return ST.tagged_sets(lab, fe)
+    counts = ST.tag_counts(lab, fe)
+    return counts, ST.tagged_sets(counts, fe)
 
 
 def test_duplicate_labels_neither_train_nor_predict(spark):
-    t = _tagged(spark, [("e", 1), ("e", 0)], [("e", "0:1")])
+    counts, t = _tagged(spark, [("e", 1), ("e", 0)], [("e", "0:1")])
     assert ST.train_rows(t).count() == 0 and ST.predict_rows(t).count() == 0
-    assert ST.cardinality_report(t).collect()[0].n_multi_label == 1
+    assert ST.cardinality_report(counts, t).collect()[0].n_multi_label == 1
 
 
 def test_label_without_features_neither(spark):
-    t = _tagged(spark, [("e", 1)], [("f", "0:1")])
+    counts, t = _tagged(spark, [("e", 1)], [("f", "0:1")])
     assert [r.entity_id for r in ST.train_rows(t).collect()] == []
     assert [r.entity_id for r in ST.predict_rows(t).collect()] == ["f"]
-    assert ST.cardinality_report(t).collect()[0].n_label_no_feature == 1
+    assert ST.cardinality_report(counts, t).collect()[0].n_label_no_feature == 1
 
 
 def test_empty_feature_string_dropped(spark):
-    t = _tagged(spark, [("e", 1)], [("e", "junk")])
+    counts, t = _tagged(spark, [("e", 1)], [("e", "junk")])
     assert ST.train_rows(t).count() == 0
-    assert ST.cardinality_report(t).collect()[0].n_empty_feature == 1
+    assert ST.cardinality_report(counts, t).collect()[0].n_empty_feature == 1
 
 
 def test_trusted_null_keeps_prediction_and_trusted_only_added(spark):
     pred = spark.createDataFrame([("a", "pos"), ("b", "neg")], "entity_id string, class_name string")
-    trusted = spark.createDataFrame([("a", None), ("b", "pos"), ("c", "neg")],
+    trusted = spark.createDataFrame([("a", None), ("b", "pos"), ("c", "neg"), ("b", "neither"), ("a", "neither"), ("d", "neg"), ("d", "pos")],
                                     "entity_id string, class_name string")
-    got = {r.entity_id: r.class_name for r in MG.override_merge(pred, trusted).collect()}
-    assert got == {"a": "pos", "b": "pos", "c": "neg"}
+    got = {r.entity_id: r.class_name for r in MG.override_merge(pred, trusted, P.ClassNames()).collect()}
+    assert got == {"a": "pos", "b": "pos", "c": "neg", "d": "neg"}
 
 
 def test_score_equal_to_threshold_is_class_0(spark):

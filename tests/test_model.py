@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.errors import SparkRuntimeException
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
@@ -39,6 +40,36 @@ def test_loss_history_decreases(spark):
     assert len(hist) >= 2 and hist[-1] <= hist[0]
 
 
+@pytest.mark.parametrize("intercept", [False, True])
+def test_certificate_tells_a_fit_from_a_stopped_one(spark, intercept):
+    from pomelo.plans.queries import OPTIMAL, _fit_rows
+    c = Chain.from_testdata(spark, SF_SMALL, materialize=True)
+    train = c.split.where(F.col("split") == "train").checkpoint()
+    make = MD.ml_estimator if intercept else MD.lbfgs_estimator
+    whole, stopped = MD.fit(train, c.p.top_k, make()), MD.fit(train, c.p.top_k, make(max_iter=1))
+    rows = [(r.label, dict((int(i), float(v)) for i, v in (t.split(":") for t in r.feature.split()))) for r in train.collect()]
+    for model, optimal in ((whole, True), (stopped, False)):
+        got = {r.column_index: r for r in MD.optimality(model, train, c.p.top_k).collect()}
+        coef = model.coefficients.toArray()
+        want = {}
+        for y, x in rows:
+            p = 1 / (1 + np.exp(-(model.intercept + sum(coef[i] * v for i, v in x.items()))))
+            for i, v in {**x, **({MD.INTERCEPT: 1.0} if intercept else {})}.items():
+                n, a, b = want.get(i, (0, 0.0, 0.0))
+                want[i] = n + 1, a + y * v, b + p * v
+        assert set(got) == set(want)
+        for i, (n, a, b) in want.items():
+            assert got[i].n_rows == n and abs(got[i].label_sum - a) < 1e-9 and abs(got[i].score_sum - b) < 1e-6
+            assert abs(got[i].gradient - (b - a) / len(rows)) < 1e-8
+        assert (max(abs(r.gradient) for r in got.values()) < OPTIMAL) == optimal
+        values = {(r.part, r.key): r.value for r in _fit_rows(c, model, train).collect()}
+        assert all(values["column", str(i)] == a for i, (_, a, _) in want.items()) == optimal
+        assert values["loss", "last"] == 0.0 and values["loss", "rises"] == 0.0
+        share = sum(y for y, _ in rows) / len(rows)
+        first = -(share * np.log(share) + (1 - share) * np.log(1 - share)) if intercept else np.log(2)
+        assert abs(values["loss", "first"] - first) < 1e-6
+
+
 def test_closed_form_auc_matches_mllib(spark):
     from pyspark.mllib.evaluation import BinaryClassificationMetrics
     rng = np.random.default_rng(7)
@@ -91,14 +122,13 @@ def test_threshold_on_training_scores_is_exact(spark):
 
 
 def test_vectors_carry_values_and_reject_foreign_indices(spark):
-    from pyspark.errors import PythonException
     from pomelo.operators.features import assemble_vectors
     df = spark.createDataFrame([("a", "2:0.5 0:3 1:x:"), ("b", ""), ("c", None)], "entity_id string, feature string")
-    got = {r.entity_id: r.features for r in assemble_vectors(df.where("entity_id <> 'c'").withColumn(
+    got = {r.entity_id: r.features for r in assemble_vectors(df.withColumn(
         "feature", F.regexp_replace("feature", " 1:x:", "")), 4).collect()}
-    assert got["a"].toArray().tolist() == [3.0, 0.0, 0.5, 0.0] and got["b"].numNonzeros() == 0
+    assert got["a"].toArray().tolist() == [3.0, 0.0, 0.5, 0.0] and got["b"].numNonzeros() == 0 and got["c"] is None
     for bad in ("4:1", "-1:1", "1:1 1:2"):
-        with pytest.raises(PythonException):
+        with pytest.raises(SparkRuntimeException, match="outside"):
             assemble_vectors(spark.createDataFrame([(bad,)], "feature string"), 4).collect()
 
 

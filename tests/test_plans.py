@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+import re
 
 import pytest
 
@@ -11,8 +12,10 @@ from pomelo.plans.chain import Chain
 from pomelo.plans.queries import QUERIES
 from pomelo.sources.tables import day_partition
 
-# the vectors of a fit are wrapped by an Arrow-batched function (M1)
+# the vectors of a fit pass through a function on whole Arrow arrays (M1), whose plan node ends in this number;
+# functions called row by row have others
 FITS = {"lr_fit_predict", "lr_fit_intercept"}
+ON_ARRAYS = 250
 
 
 def plan_text(df) -> str:
@@ -40,6 +43,46 @@ def test_no_cross_join_nested_loop_or_python(spark, name, monkeypatch):
         assert "BroadcastNestedLoopJoin" not in text
         for node in ("BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas", *(["ArrowEvalPython"] * (name not in FITS))):
             assert node not in text
+        kinds = re.findall(r"^\(\d+\) ArrowEvalPython.*?, (\d+)\n\n", text, re.M | re.S)
+        assert set(kinds) <= {str(ON_ARRAYS)} and len(kinds) == len(re.findall(r"^\(\d+\) ArrowEvalPython", text, re.M))
+
+
+@pytest.mark.parametrize("name", ["train_set", "predict_set", "set_cardinality_report"])
+def test_sets_neither_sort_nor_aggregate_the_feature_strings(spark, name):
+    """Hash aggregates over numbers, and a hash join that the feature rows stream past."""
+    text = plan_text(QUERIES[name](spark, SF_SMALL))
+    assert "SortAggregate" not in text and "SortMergeJoin" not in text and "ShuffledHashJoin" in text
+    assert not [x for x in re.findall(r"^\(\d+\) Sort(?: \[.*\])?$[\s\S]*?^Input[^\n]*", text, re.M) if "feature" in x]
+
+
+def test_sets_over_a_bucketed_feature_table_do_not_shuffle_it(spark):
+    from pomelo.operators import sets as ST
+    from pomelo.session import scratch_path
+    from pomelo.sinks import tables as SK
+    name = "bucketed_features"
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    SK.create_partitioned_table(spark, name, "entity_id STRING, feature STRING", scratch_path(spark, name), bucket_by="entity_id", buckets=8)
+    c = Chain.from_testdata(spark, SF_SMALL)
+    SK.overwrite_partition(spark, c.features, name, "D", bucket_by="entity_id", buckets=8)
+    written = spark.table(name).where("stat_date = 'D'").select("entity_id", "feature")
+    counts = ST.tag_counts(c.set_labels, written)
+    train = ST.train_rows(ST.tagged_sets(counts, written))
+    assert sorted(map(tuple, train.collect())) == sorted(map(tuple, c.train.collect()))
+    text = plan_text(train)
+    assert not [x for x in re.findall(r"^\(\d+\) Exchange$[\s\S]*?^Arguments", text, re.M) if "feature" in x]
+
+
+def test_override_merge_aggregates_by_hash(spark):
+    from pomelo import params as P
+    from pomelo.operators import merge as MG
+    rows = spark.range(10).selectExpr("cast(id as string) as entity_id", "if(id % 2 = 0, 'pos', 'neg') as class_name")
+    text = plan_text(MG.override_merge(rows, rows, P.ClassNames()))
+    assert "SortAggregate" not in text and "HashAggregate" in text
+
+
+def test_distribution_has_no_window_over_all_values(spark):
+    text = plan_text(QUERIES["bucket_distribution"](spark, SF_SMALL))
+    assert "Window" not in text and "Subquery" in text
 
 
 def test_hot_user_join_is_split(spark, tmp_path):
