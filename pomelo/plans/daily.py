@@ -4,15 +4,20 @@
         --inputs '{"item_dim": "db.items", "behavior": "db.behaviour", ...}' \\
         --jobs feature,label,decode,agreement,train,validation
 
-``--inputs`` maps the seven input names of ``sources.fixtures.Inputs`` to
-catalog tables (with the columns listed in FIXTURES.md); ``--sf-dir``
-derives them from the synthetic test tables instead.  Dates go through the
+``--inputs`` maps the input names of ``sources.fixtures.Inputs`` to catalog
+tables (with the columns listed in FIXTURES.md); ``device_user_twin``, the
+device table of the known-label twin, is ``device_user`` unless given. 
+``--sf-dir`` derives them from the synthetic test tables instead.  Dates go through the
 lenient normalisation (D1).  The agreement day, the reference year and the
 new snapshot follow the run date unless given; job ``drift`` (not run by
 default) needs ``--snapshot-old`` and ``--drift-items``.
 
+Jobs ``train`` and ``validation`` read what the other jobs have written for
+the run date and fail where that is missing; ``--derive-missing`` lets them
+derive it from the raw inputs instead, and the job log says so.
+
 Checkpoints go to ``spark.checkpoint.dir``, or to a folder under
-``--out-root`` where that is unset.
+``--out-root`` where that is unset; they are removed when the run ends.
 """
 
 from __future__ import annotations
@@ -26,6 +31,7 @@ from pyspark.sql import SparkSession
 from pomelo import params as P
 from pomelo.functions.dates import normalise_run_date_py
 from pomelo.plans import jobs as J
+from pomelo.session import delete_folder
 from pomelo.sources import fixtures as FX
 
 JOBS = {
@@ -40,6 +46,8 @@ JOBS = {
 
 def inputs_from_catalog(spark: SparkSession, names: dict[str, str]) -> FX.Inputs:
     fields = [f.name for f in dataclasses.fields(FX.Inputs) if f.name != "truth_table"]
+    if "device_user" in names:
+        names = {"device_user_twin": names["device_user"], **names}
     missing = [f for f in fields if f not in names]
     if missing:
         raise ValueError(f"--inputs lacks {missing}")
@@ -65,10 +73,23 @@ def main(argv: list[str] | None = None) -> None:
                     help="buckets of the feature table: its bytes / 256 MB")
     ap.add_argument("--variant", choices=("rdd", "ml"), default="rdd",
                     help="rdd: no intercept, threshold from the validation split; ml: intercept, from the training scores")
+    ap.add_argument("--derive-missing", action="store_true",
+                    help="derive inputs of train and validation that the other jobs have not written")
     ap.add_argument("--jobs", default=",".join(JOBS))
     a = ap.parse_args(argv)
 
+    own_session = SparkSession.getActiveSession() is None
     spark = SparkSession.builder.appName("pomelo-daily").getOrCreate()
+    try:
+        _run(spark, a)
+    finally:
+        if own_session:                              # of a session that others use, nothing is taken away
+            if folder := spark.sparkContext.getCheckpointDir():
+                delete_folder(spark, folder)
+            spark.stop()
+
+
+def _run(spark: SparkSession, a: argparse.Namespace) -> None:
     date = normalise_run_date_py(a.date)
     if not (spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)):
         spark.sparkContext.setCheckpointDir(f"{a.out_root.rstrip('/')}/checkpoints")
@@ -91,7 +112,8 @@ def main(argv: list[str] | None = None) -> None:
                 raise SystemExit("drift needs --snapshot-old and --drift-items")
             out = J.drift(spark, chain, tables, a.drift_items.split(","))
         else:
-            out = JOBS[name.strip()](spark, chain, tables)
+            more = {"derive_missing": a.derive_missing} if name.strip() in ("train", "validation") else {}
+            out = JOBS[name.strip()](spark, chain, tables, **more)
         if out is not None:
             out.show(truncate=False)
 

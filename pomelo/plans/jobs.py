@@ -12,13 +12,18 @@ job                    reads -> writes
                        filled with the two branches (K5), agreed rows it lacks
                        are appended (K6), left-only rows replace the partial
                        truth table (K5)
-``train_publish``      labels + features -> model, threshold, predictions,
-                       evaluation, override merge, run record -> K9
-``validation``         latest predictions vs truth -> accuracy row (K6)
+``train_publish``      the written labels, features and partial truth -> model,
+                       threshold, predictions, evaluation, override merge, run
+                       record -> K9, staged and switched together
+``validation``         latest predictions vs truth and the written partial truth
+                       -> accuracy row of the run date (K6)
 ``drift``              two snapshots x the behaviour of their days x a list of
                        items -> share row
 =====================  =========================================================
 
+Every job notes in the job log what it wrote (``plans.provenance``); a job
+whose inputs another job writes fails where that has not run for the run date.
+
 Lineage: the train/validation rows are written with ``checkpoint()`` into the
 shared checkpoint folder before the iterative fit, so a lost executor during
 L-BFGS recomputes from that copy, not from the raw tables.
@@ -39,7 +44,9 @@ from pomelo.operators import features as FE
 from pomelo.operators import merge as MG
 from pomelo.operators import metrics as MT
 from pomelo.operators import model as MD
+from pomelo.plans import provenance as PV
 from pomelo.plans.chain import Chain
+from pomelo.sinks import publish as PB
 from pomelo.sinks import tables as SK
 from pomelo.sources import fixtures as FX
 from pomelo.sources import tables as TB
@@ -60,6 +67,11 @@ class TableNames:
     latest: str = "pomelo_predictions_latest"
     metrics: str = "pomelo_run_metrics"
     accuracy: str = "pomelo_accuracy"
+    log: str = "pomelo_job_log"
+
+    @property
+    def published(self) -> PB.Published:
+        return PB.Published(self.root, self.predictions, self.latest, self.metrics)
 
     def loc(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/{name}"
@@ -119,6 +131,13 @@ def feature_build(spark: SparkSession, chain: Chain, t: TableNames) -> None:
     SK.overwrite_partition(spark, FE.dimension_rows(chain.item_index), t.items, date)
     SK.overwrite_partition(spark, chain.features, t.features, date,
                            bucket_by="entity_id", buckets=chain.p.feature_buckets)
+    for table in (t.items, t.features):
+        _note(spark, t, date, "feature", table, spark.table(table).where(F.col("stat_date") == date))
+
+
+def _note(spark: SparkSession, t: TableNames, date: str, job: str, table: str, rows: DataFrame,
+          derived: tuple[str, ...] = ()) -> None:
+    PV.note(spark, t.log, t.loc(t.log), date, job, table, rows, derived)
 
 
 def written_features(spark: SparkSession, chain: Chain, t: TableNames) -> dict[str, DataFrame]:
@@ -137,6 +156,7 @@ def label_build(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
     """Job 3.4: known labels, overwritten; returns the class balance row."""
     SK.create_table(spark, t.known_labels, "entity_id STRING, label INT", t.loc(t.known_labels))
     SK.overwrite_table(spark, chain.known_labels, t.known_labels)
+    _note(spark, t, normalise_run_date_py(chain.p.run_date), "label", t.known_labels, spark.table(t.known_labels))
     return MT.class_balance(spark.table(t.known_labels))
 
 
@@ -145,6 +165,7 @@ def decode_build(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
     SK.create_table(spark, t.decoded, "user_id BIGINT, age_range STRING, class_name STRING",
                     t.loc(t.decoded))
     SK.overwrite_table(spark, chain.decoded.select("user_id", "age_range", "class_name"), t.decoded)
+    _note(spark, t, normalise_run_date_py(chain.p.run_date), "decode", t.decoded, spark.table(t.decoded))
     return MT.distribution(spark.table(t.decoded), "age_range")
 
 
@@ -162,50 +183,58 @@ def agreement(spark: SparkSession, chain: Chain, t: TableNames) -> DataFrame:
     held = spark.table(t.known_labels_twin)
     SK.append(spark, MG.agreed_rows(left, right).join(held, ["entity_id", "label"], "left_anti"), t.known_labels_twin)
     SK.overwrite_table(spark, MG.left_only_rows(left, right, chain.p.classes), t.truth_part)
+    for table in (t.known_labels_twin, t.truth_part):
+        _note(spark, t, normalise_run_date_py(chain.p.run_date), "agreement", table, spark.table(table))
     return report
 
 
-def written_truth_part(spark: SparkSession, t: TableNames) -> dict[str, DataFrame]:
-    """The partial truth that the agreement job wrote, if it has run."""
-    return {"truth_part": spark.table(t.truth_part)} if spark.catalog.tableExists(t.truth_part) else {}
-
-
-def train_publish(spark: SparkSession, chain: FittedChain, t: TableNames) -> DataFrame:
+def train_publish(spark: SparkSession, chain: FittedChain, t: TableNames, derive_missing: bool = False) -> DataFrame:
     """Job 3.2: fit/score/evaluate/merge and the three sinks; returns the record.
 
-    Reads the feature and item tables of the run day, the known labels and
-    the partial truth where the other jobs have written them."""
+    Reads the feature and item tables, the known labels and the partial truth
+    that the other jobs have written for the run date, and fails where one is
+    missing.  With ``derive_missing`` the missing ones are derived from the
+    raw inputs: label rows before de-duplication, and as partial truth the
+    trusted entities without a known label."""
     date = normalise_run_date_py(chain.p.run_date)
-    given = {}
-    if spark.catalog.tableExists(t.features) and spark.catalog.tableExists(t.items):
-        given |= written_features(spark, chain, t)
-    if spark.catalog.tableExists(t.known_labels):
-        given["set_labels"] = spark.table(t.known_labels)
-    chain = chain.with_given(**given, **written_truth_part(spark, t))
-    SK.create_partitioned_table(spark, t.predictions, "entity_id STRING, class_name STRING",
-                                t.loc(t.predictions))
-    SK.create_table(spark, t.latest, "entity_id STRING, class_name STRING", t.loc(t.latest))
+    given, derived = {}, []
+
+    def take(job: str, tables: tuple[str, ...], steps) -> None:
+        if all([PV.require(spark, t.log, date, job, x, derive_missing) for x in tables]):
+            given.update(steps())
+        else:
+            derived.extend(tables)
+
+    take("feature", (t.features, t.items), lambda: written_features(spark, chain, t))
+    take("label", (t.known_labels,), lambda: {"set_labels": spark.table(t.known_labels)})
+    take("agreement", (t.truth_part,), lambda: {"truth_part": spark.table(t.truth_part)})
+    chain = chain.with_given(**given)
     record = chain.run_record
-    SK.create_partitioned_table(spark, t.metrics, ", ".join(f"{c} DOUBLE" for c in record.columns),
-                                t.loc(t.metrics))
-    SK.publish(spark, chain.merged, record, date, t.predictions, t.latest, t.metrics)
+    PB.create(spark, t.published, "entity_id STRING, class_name STRING", ", ".join(f"{c} DOUBLE" for c in record.columns))
+    PB.publish(spark, chain.merged, record, date, t.published)
+    _note(spark, t, date, "train", t.latest, spark.table(t.latest), tuple(derived))
     return spark.table(t.metrics).where(F.col("stat_date") == date)
 
 
-def validation(spark: SparkSession, chain: FittedChain, t: TableNames) -> DataFrame:
-    """Job 3.3: latest predictions vs full and partial truth, appended."""
+def validation(spark: SparkSession, chain: FittedChain, t: TableNames, derive_missing: bool = False) -> DataFrame:
+    """Job 3.3: latest predictions vs full and partial truth, one row per run date."""
     date = normalise_run_date_py(chain.p.run_date)
-    chain = chain.with_given(**written_truth_part(spark, t))
+    PV.require(spark, t.log, date, "train", t.latest, False)
+    derived = ()
+    if PV.require(spark, t.log, date, "agreement", t.truth_part, derive_missing):
+        chain = chain.with_given(truth_part=spark.table(t.truth_part))
+    else:
+        derived = (t.truth_part,)
     latest = spark.table(t.latest)
     full = chain.accuracy_against(chain.truth_latest, latest)
     part = chain.accuracy_against(chain.truth_part, latest)
     row = MT.side_by_side([(full, {"accuracy": "accuracy_full"}),
                            (part, {"accuracy": "accuracy_part"})])
-    row = row.select(F.lit(date).alias("date"), "accuracy_full", "accuracy_part")
-    SK.create_table(spark, t.accuracy, "date STRING, accuracy_full DOUBLE, accuracy_part DOUBLE",
-                    t.loc(t.accuracy))
-    SK.append(spark, row, t.accuracy)
-    return spark.table(t.accuracy)
+    SK.create_table(spark, t.accuracy, "accuracy_full DOUBLE, accuracy_part DOUBLE, date STRING",
+                    t.loc(t.accuracy), partitioned_by=("date",))
+    SK.append_day(spark, row, t.accuracy, date, "date")
+    _note(spark, t, date, "validation", t.accuracy, spark.table(t.accuracy).where(F.col("date") == date), derived)
+    return spark.table(t.accuracy).select("date", "accuracy_full", "accuracy_part")
 
 
 def drift(spark: SparkSession, chain: Chain, t: TableNames, items: list[str]) -> DataFrame:

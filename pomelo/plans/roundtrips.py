@@ -17,6 +17,7 @@ from pomelo.operators import features as FE
 from pomelo.operators import merge as MG
 from pomelo.plans.chain import Chain
 from pomelo.session import scratch_path
+from pomelo.sinks import publish as PB
 from pomelo.sinks import tables as SK
 
 OLD_DAY = "20171027"
@@ -67,25 +68,25 @@ def null_format_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def publish_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K9: run the three sinks of a run; every row that each holds, as
-    (sink, key, class_name, value)."""
+    """K9: publish an earlier day, the day, and the day again; every row that
+    the three sinks then show of it, as (sink, key, class_name, value)."""
     c = Chain.from_testdata(spark, sf_dir, materialize=True)
-    pred, latest, metrics = _name("pred"), _name("latest"), _name("metrics")
-    SK.create_partitioned_table(spark, pred, "entity_id STRING, class_name STRING",
-                                scratch_path(spark, pred), fmt="parquet")
-    SK.create_table(spark, latest, "entity_id STRING, class_name STRING", scratch_path(spark, latest))
+    p = PB.Published(scratch_path(spark, "publish"), _name("pred"), _name("latest"), _name("metrics"))
     record = c.run_record
-    cols = ", ".join(f"{x} DOUBLE" for x in record.columns)
-    SK.create_partitioned_table(spark, metrics, cols, scratch_path(spark, metrics))
-    SK.publish(spark, c.merged, record, c.p.run_date, pred, latest, metrics)
+    PB.create(spark, p, "entity_id STRING, class_name STRING", ", ".join(f"{x} DOUBLE" for x in record.columns))
+    # an earlier day, an earlier run of the day, and one that never gets to the switch must not show
+    PB.publish(spark, c.known_plus_predicted, record, OLD_DAY, p)
+    PB.publish(spark, c.known_plus_predicted, record, c.p.run_date, p)
+    PB.stage(spark, c.known_plus_predicted, p, p.latest, c.p.run_date, "abandoned")
+    PB.publish(spark, c.merged, record, c.p.run_date, p)
     none = F.lit(None)
-    day = spark.table(pred).where(F.col("stat_date") == c.p.run_date)
-    written = spark.table(metrics).where(F.col("stat_date") == c.p.run_date)
+    day = spark.table(p.predictions).where(F.col("stat_date") == c.p.run_date)
+    written = spark.table(p.metrics).where(F.col("stat_date") == c.p.run_date)
     names = record.columns
     values = written.select(F.explode(F.array(*[F.struct(F.lit(n).alias("key"), F.col(n).alias("value"))
                                                 for n in names])).alias("m"))
     rows = [df.select(F.lit(tag).alias("sink"), F.col("entity_id").alias("key"), "class_name",
-                      none.cast("double").alias("value")) for tag, df in (("prediction_day", day), ("latest", spark.table(latest)))]
+                      none.cast("double").alias("value")) for tag, df in (("prediction_day", day), ("latest", spark.table(p.latest)))]
     return rows[0].unionByName(rows[1]).unionByName(values.select(
         F.lit("metrics").alias("sink"), "m.key", none.cast("string").alias("class_name"),
         F.round("m.value", 6).alias("value")))

@@ -26,6 +26,7 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")   # files go when nothing refers to them
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", os.environ.get("POMELO_DRIVER_MEMORY", "16g"))
@@ -61,6 +62,13 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{root}/pomelo-tables/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Remove a folder of the run's own, on whatever file system it is; whether it was there."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    return folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def row_width(schema: StructType) -> int:
     """Bytes of a row, estimated: strings and arrays at 64."""
     return 16 + sum(64 if isinstance(f.dataType, (StringType, ArrayType, StructType)) else 8 for f in schema.fields)

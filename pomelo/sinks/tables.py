@@ -1,4 +1,4 @@
-"""Catalog table writers (K1-K6, K9) and the delimited text format.
+"""Catalog table writers (K1-K6; K9 is in ``publish``) and the delimited text format.
 
 Writes go through ``INSERT OVERWRITE ... PARTITION (stat_date = 'D')`` /
 ``INSERT OVERWRITE`` / ``INSERT INTO`` on datasource tables, so
@@ -66,10 +66,11 @@ def create_partitioned_table(spark: SparkSession, name: str, columns_ddl: str, l
 
 
 def create_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
-                 fmt: str = "parquet") -> None:
-    """K2: unpartitioned ``CREATE TABLE IF NOT EXISTS``."""
+                 fmt: str = "parquet", partitioned_by: tuple[str, ...] = ()) -> None:
+    """K2: ``CREATE TABLE IF NOT EXISTS``, unpartitioned unless columns of it are named."""
     _ensure_location(spark, location)
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING {fmt} LOCATION '{_q(location)}'")
+    by = f" PARTITIONED BY ({', '.join(partitioned_by)})" if partitioned_by else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns_ddl}) USING {fmt}{by} LOCATION '{_q(location)}'")
 
 
 def create_text_table(spark: SparkSession, name: str, columns_ddl: str, location: str,
@@ -88,15 +89,17 @@ def create_text_table(spark: SparkSession, name: str, columns_ddl: str, location
 
 
 def overwrite_partition(spark: SparkSession, df: DataFrame, name: str, date: str,
-                        partition_col: str = PARTITION_COL, bucket_by: str | None = None, buckets: int = 0) -> None:
+                        partition_col: str = PARTITION_COL, bucket_by: str | None = None, buckets: int = 0,
+                        run: dict[str, str] | None = None) -> None:
     """K4: replace one day partition with ``df``, columns matched by name.
 
-    For a bucketed table the rows are dealt out by bucket first, so that each
+    ``run`` names further partition columns and their values.  For a bucketed table the rows are dealt out by bucket first, so that each
     bucket is one file whatever the number of tasks before."""
     if bucket_by and buckets:
         df = df.repartition(buckets, bucket_by)
-    with _view(df.drop(partition_col)) as view:
-        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({partition_col} = '{_q(date)}') BY NAME "
+    parts = {partition_col: date, **(run or {})}
+    with _view(df.drop(*parts)) as view:
+        spark.sql(f"INSERT OVERWRITE TABLE {name} PARTITION ({', '.join(f"{c} = '{_q(v)}'" for c, v in parts.items())}) BY NAME "
                   f"SELECT * FROM {view}")
 
 
@@ -106,6 +109,15 @@ def overwrite_table(spark: SparkSession, df: DataFrame, name: str) -> None:
         spark.sql(f"INSERT OVERWRITE TABLE {name} BY NAME SELECT * FROM {view}")
 
 
+def append_day(spark: SparkSession, df: DataFrame, name: str, date: str, partition_col: str = PARTITION_COL) -> None:
+    """K6, keyed by run date: add a run's rows to a table partitioned by run date.
+
+    A new day is added and the other days stay, as with ``append``; a rerun
+    of a day puts its rows in place of the earlier run's instead of beside
+    them, in one commit."""
+    overwrite_partition(spark, df, name, date, partition_col)
+
+
 def append(spark: SparkSession, df: DataFrame, name: str) -> None:
     """K6: ``INSERT INTO``, columns matched by name."""
     with _view(df) as view:
@@ -118,20 +130,3 @@ def read_delimited(spark: SparkSession, path: str, schema: str, sep: str = HIVE_
     separator U+0001 and null marker ``\\N``)."""
     return (spark.read.schema(schema).option("sep", sep).option("nullValue", null_format)
             .option("quote", "").option("escape", "").csv(path))
-
-
-def publish(spark: SparkSession, merged: DataFrame, record: DataFrame, date: str,
-            prediction_table: str, latest_table: str, metrics_table: str) -> None:
-    """K9: the three result sinks of a run.
-
-    1. the day partition of the prediction history (K4),
-    2. the whole "latest" prediction table (K5),
-    3. the run record as the day partition of the metrics table (K4).
-
-    ``merged`` is materialised once into the day partition, and the latest
-    table is filled from that partition, so both hold the same rows even if
-    upstream would be recomputed."""
-    overwrite_partition(spark, merged, prediction_table, date)
-    day = spark.table(prediction_table).where(f"{PARTITION_COL} = '{_q(date)}'").drop(PARTITION_COL)
-    overwrite_table(spark, day, latest_table)
-    overwrite_partition(spark, record, metrics_table, date)

@@ -184,21 +184,21 @@ class Inputs:
     truth_table: str | None = None    # catalog name of a partitioned ``truth_full``
 
 
-_WRITTEN: dict[str, str] = {}  # test table folder -> folder of inputs written before
+WRITTEN = "inputs:"    # what a folder given in place of test tables begins with, if it holds written inputs
 
 
-def write_inputs(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Derive the inputs once and keep them as files; ``load_inputs`` reads those from then on."""
+def write_inputs(spark: SparkSession, sf_dir: str, folder: str) -> str:
+    """Derive the inputs once and keep them as files; what to give for ``sf_dir`` to read those."""
     inputs = load_inputs(spark, sf_dir)
     for f in fields(Inputs):
         if f.name != "truth_table":
             getattr(inputs, f.name).write.mode("overwrite").parquet(f"{folder}/{f.name}")
-    _WRITTEN[sf_dir] = folder
+    return WRITTEN + folder
 
 
 def load_inputs(spark: SparkSession, sf_dir: str) -> Inputs:
-    if sf_dir in _WRITTEN:
-        return Inputs(**{f.name: spark.read.parquet(f"{_WRITTEN[sf_dir]}/{f.name}")
+    if sf_dir.startswith(WRITTEN):
+        return Inputs(**{f.name: spark.read.parquet(f"{sf_dir.removeprefix(WRITTEN)}/{f.name}")
                          for f in fields(Inputs) if f.name != "truth_table"})
     return Inputs(
         item_dim=item_dim(spark, sf_dir),

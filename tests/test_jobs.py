@@ -30,7 +30,7 @@ def test_daily_run(spark):
     t = J.TableNames(root=scratch_path(spark, "run"), **{
         f: f"{getattr(J.TableNames, f)}_{tag}" for f in
         ("items", "features", "known_labels", "known_labels_twin", "decoded", "truth_part",
-         "predictions", "latest", "metrics", "accuracy")})
+         "predictions", "latest", "metrics", "accuracy", "log")})
     params = P.RunParams(top_k=1000, feature_buckets=8)
     chain = J.FittedChain(spark, FX.load_inputs(spark, SF_SMALL), params)
 
@@ -66,7 +66,8 @@ def test_daily_run(spark):
     assert spark.table(t.predictions).count() == r.merged_pos + r.merged_neg
     assert r.merged_pos + r.merged_neg >= r.pred_pos + r.pred_neg > 0
     assert spark.table(t.latest).count() == r.merged_pos + r.merged_neg
-    acc = J.validation(spark, chain, t).collect()
+    J.validation(spark, chain, t)
+    acc = J.validation(spark, chain, t).collect()       # a rerun of the day gives one row
     assert len(acc) == 1 and acc[0].date == "20171028"
     # both truth accuracies against the written latest table and the written partial truth
     latest = dict(map(tuple, spark.table(t.latest).select("entity_id", "class_name").collect()))
@@ -77,6 +78,45 @@ def test_daily_run(spark):
     J.train_publish(spark, chain, t)
     assert spark.table(t.latest).count() == r.merged_pos + r.merged_neg
     assert spark.table(t.metrics).count() == 1
+    log = {(x.job, x.table_name): (x.n_rows, x.derived) for x in spark.table(t.log).where(F.col("run_date") == D).collect()}
+    assert log["label", t.known_labels] == (spark.table(t.known_labels).count(), "")
+    assert log["train", t.latest] == (spark.table(t.latest).count(), "") and log["validation", t.accuracy] == (1, "")
+    assert len(log) == 8
+
+
+def test_a_job_without_its_inputs_fails_or_says_what_it_derived(spark):
+    import pytest
+    from pomelo.plans import daily
+    from pomelo.plans.provenance import MissingInput
+    tag = uuid.uuid4().hex[:6]
+    t = J.TableNames(root=scratch_path(spark, "alone"), **{
+        f: f"{getattr(J.TableNames, f)}_{tag}" for f in
+        ("items", "features", "known_labels", "known_labels_twin", "decoded", "truth_part",
+         "predictions", "latest", "metrics", "accuracy", "log")})
+    params = P.RunParams(top_k=1000, feature_buckets=4)
+    inputs = FX.load_inputs(spark, SF_SMALL)
+    chain = J.FittedChain(spark, inputs, params, J.MD.lbfgs_estimator(max_iter=5))
+    with pytest.raises(MissingInput, match="'feature'"):
+        J.train_publish(spark, chain, t)
+    J.feature_build(spark, chain, t)
+    with pytest.raises(MissingInput, match="'label'"):
+        J.train_publish(spark, chain, t)
+    J.label_build(spark, chain, t)
+    with pytest.raises(MissingInput, match="'agreement'"):
+        J.train_publish(spark, chain, t)
+    with pytest.raises(MissingInput, match="'train'"):
+        J.validation(spark, chain, t, derive_missing=True)      # predictions cannot be derived
+    # tables of another run date do not count
+    other = J.FittedChain(spark, inputs, P.RunParams(run_date="20171029", top_k=1000), J.MD.lbfgs_estimator(max_iter=5))
+    with pytest.raises(MissingInput, match="'feature'"):
+        J.train_publish(spark, other, t)
+    J.train_publish(spark, chain, t, derive_missing=True)
+    J.validation(spark, chain, t, derive_missing=True)
+    log = {x.table_name: x.derived for x in spark.table(t.log).collect()}
+    assert log[t.latest] == t.truth_part and log[t.accuracy] == t.truth_part and log[t.features] == ""
+    root = scratch_path(spark, "cli")
+    with pytest.raises(MissingInput):
+        daily.main(["--date", "20180101", "--out-root", root, "--sf-dir", SF_SMALL, "--jobs", "train"])
 
 
 def test_latest_partition_from_catalog(spark):
@@ -116,6 +156,8 @@ def test_daily_command_line_reads_catalog_tables(spark):
         SK.overwrite_partition(spark, inputs.truth_full.where(F.col("stat_date") == day), truth, day)
     names["truth_full"] = truth
     got = daily.inputs_from_catalog(spark, names)
+    twin = daily.inputs_from_catalog(spark, {k: v for k, v in names.items() if k != "device_user_twin"}).device_user_twin
+    assert sorted(map(tuple, twin.collect())) == sorted(map(tuple, inputs.device_user.collect()))
     assert got.truth_table == truth and daily.inputs_from_catalog(spark, {**names, "truth_full": names["users"]}).truth_table is None
     root = scratch_path(spark, "daily")
     daily.main(["--date", "20171028", "--agreement-date", "20170711", "--out-root", root, "--top-k", "1000",

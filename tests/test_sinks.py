@@ -1,10 +1,13 @@
 """Sink semantics: day overwrite leaves other days, reruns are idempotent."""
 
+import os
 import uuid
 
-from pyspark.sql import functions as F
+import pytest
+
 
 from pomelo.session import scratch_path
+from pomelo.sinks import publish as PB
 from pomelo.sinks import tables as SK
 
 
@@ -48,22 +51,83 @@ def test_text_table_empty_string_and_null_read_back_as_null(spark):
     assert sorted((r.k, r.v) for r in raw.collect()) == got
 
 
-def test_publish_writes_three_sinks(spark):
-    pred, latest, metrics = _name(), _name(), _name()
-    SK.create_partitioned_table(spark, pred, "entity_id STRING, class_name STRING", scratch_path(spark, pred))
-    SK.create_table(spark, latest, "entity_id STRING, class_name STRING", scratch_path(spark, latest))
-    SK.create_partitioned_table(spark, metrics, "m DOUBLE", scratch_path(spark, metrics))
-    merged = spark.createDataFrame([("a", "pos"), ("b", "neg")], "entity_id string, class_name string")
+def _published(spark):
+    p = PB.Published(scratch_path(spark, "publish"), _name(), _name(), _name())
+    PB.create(spark, p, "entity_id STRING, class_name STRING", "m DOUBLE")
+    return p
+
+
+def _rows(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "entity_id string, class_name string")
+
+
+def _shown(spark, p):
+    return [sorted(map(tuple, spark.table(v).collect())) for v in (p.predictions, p.latest, p.metrics)]
+
+
+def test_publish_shows_three_sinks(spark):
+    p = _published(spark)
+    assert _shown(spark, p) == [[], [], []]
+    old, new = _rows(spark, ("a", "pos")), _rows(spark, ("a", "pos"), ("b", "neg"))
+    record = spark.createDataFrame([(0.5,)], "m double")
+    PB.publish(spark, old, record, "20171027", p)
+    for _ in range(2):                       # a rerun replaces
+        PB.publish(spark, new, record, "20171028", p)
+        assert _shown(spark, p) == [[("a", "pos", "20171027"), ("a", "pos", "20171028"), ("b", "neg", "20171028")],
+                                    [("a", "pos"), ("b", "neg")], [(0.5, "20171027"), (0.5, "20171028")]]
+    PB.create(spark, p, "entity_id STRING, class_name STRING", "m DOUBLE")      # create-if-absent leaves everything
+    assert spark.table(p.latest).count() == 2
+
+
+@pytest.mark.parametrize("after", [1, 2, 3])
+def test_a_publish_that_dies_between_the_sinks_shows_nothing(spark, monkeypatch, after):
+    p = _published(spark)
+    record = spark.createDataFrame([(0.5,)], "m double")
+    PB.publish(spark, _rows(spark, ("a", "pos")), record, "20171028", p)
+    before, calls = _shown(spark, p), []
+    staged = PB.stage
+
+    def dying(*args):
+        calls.append(args)
+        out = staged(*args)
+        if len(calls) == after:
+            raise RuntimeError("lost")
+        return out
+
+    monkeypatch.setattr(PB, "stage", dying)
+    new = _rows(spark, ("a", "neg"), ("b", "neg"))
+    with pytest.raises(RuntimeError, match="lost"):
+        PB.publish(spark, new, spark.createDataFrame([(0.9,)], "m double"), "20171028", p)
+    assert _shown(spark, p) == before
+    monkeypatch.setattr(PB, "stage", staged)
+    run = PB.publish(spark, new, spark.createDataFrame([(0.9,)], "m double"), "20171028", p)
+    assert _shown(spark, p) == [[("a", "neg", "20171028"), ("b", "neg", "20171028")], [("a", "neg"), ("b", "neg")], [(0.9, "20171028")]]
+    assert PB.current_run(spark, p, "20171028") == run
+    # the dead run's files are gone; the replaced run stays until the next publish
+    assert len(spark.sql(f"SHOW PARTITIONS {p.runs(p.predictions)}").collect()) == 2
+    assert len(PB.sweep(spark, p, "20171028")) == 1 and _shown(spark, p)[1] == [("a", "neg"), ("b", "neg")]
+    loc = p.loc(p.runs(p.predictions)).removeprefix("file:")
+    assert [x for x in os.listdir(loc + "/stat_date=20171028") if not x.startswith(".")] == [f"run_id={run}"]
+
+
+def test_views_read_only_the_shown_runs(spark):
+    p = _published(spark)
     record = spark.createDataFrame([(0.5,)], "m double")
-    for _ in range(2):
-        SK.publish(spark, merged, record, "20171028", pred, latest, metrics)
-    assert spark.table(pred).where(F.col("stat_date") == "20171028").count() == 2
-    assert spark.table(latest).count() == 2
-    assert spark.table(metrics).count() == 1
+    for day in ("20171027", "20171028", "20171028"):
+        PB.publish(spark, _rows(spark, ("a", "pos")), record, day, p)
+    plan = spark.table(p.latest)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(run_id" in plan and "Subquery" in plan
+
+
+def test_append_keyed_by_day(spark):
+    name = _name()
+    SK.create_table(spark, name, "v INT, day STRING", scratch_path(spark, name), partitioned_by=("day",))
+    for day, v in (("1", 10), ("2", 20), ("2", 21)):
+        SK.append_day(spark, spark.createDataFrame([(v,)], "v int"), name, day, "day")
+    assert sorted(map(tuple, spark.table(name).collect())) == [(10, "1"), (21, "2")]
 
 
 def test_read_hive_default_text_files(spark):
-    import os
     loc = scratch_path(spark, "hive_text")
     path = loc[len("file:"):] if loc.startswith("file:") else loc
     os.makedirs(path, exist_ok=True)
@@ -92,7 +156,6 @@ def test_a_bucket_is_one_file(spark):
 
 
 def test_a_cluster_without_a_shared_folder_is_an_error():
-    import pytest
     from types import SimpleNamespace
     from pomelo.session import ensure_checkpoint_dir
     for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
