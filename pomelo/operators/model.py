@@ -96,33 +96,37 @@ def best_threshold_on_training(model: LogisticRegressionModel, train: DataFrame,
 INTERCEPT = -1
 
 
-def optimality(model: LogisticRegressionModel, train: DataFrame, k: int) -> DataFrame:
+def training_scores(model: LogisticRegressionModel, train: DataFrame, k: int) -> DataFrame:
+    """(label, feature, margin, score) of the training rows."""
+    return model.transform(assemble_vectors(train.select("label", "feature"), k)).select(
+        "label", "feature", vector_to_array("rawPrediction").getItem(1).alias("margin"),
+        vector_to_array("probability").getItem(1).alias("score"))
+
+
+def optimality(scored: DataFrame, intercept: bool) -> DataFrame:
     """M4 / M5: the certificate that a fit is one, computed over the table.
 
     The mean log loss is convex, so a model without penalty is optimal exactly
     where its gradient vanishes: for every column the scores add up to what
-    the labels add up to.  Per column of the training rows (``INTERCEPT`` for
+    the labels add up to.  Per column of the scored training rows (``INTERCEPT`` for
     the intercept, if the model has one): (column_index, n_rows, label_sum =
     sum(label * x), score_sum = sum(score * x), gradient = (score_sum -
     label_sum) / rows).  One pass, one shuffle of at most K sums per task."""
     terms = index_values("feature")
-    if model.getFitIntercept():
+    if intercept:
         terms = F.concat(F.array(F.struct(F.lit(INTERCEPT).alias("i"), F.lit(1.0).alias("v"))), terms)
-    scored = model.transform(assemble_vectors(train.select("label", "feature"), k)).select(
-        "label", vector_to_array("probability").getItem(1).alias("score"), F.explode(terms).alias("p"))
-    sums = scored.groupBy(F.col("p.i").alias("column_index")).agg(
+    sums = scored.select("label", "score", F.explode(terms).alias("p")).groupBy(F.col("p.i").alias("column_index")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("label") * F.col("p.v")).alias("label_sum"),
         F.sum(F.col("score") * F.col("p.v")).alias("score_sum"))
-    n = train.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
+    n = scored.agg(F.count(F.lit(1)).cast("double").alias("n")).scalar()
     return sums.withColumn("gradient", (F.col("score_sum") - F.col("label_sum")) / n)
 
 
-def table_loss(model: LogisticRegressionModel, train: DataFrame, k: int) -> DataFrame:
-    """(loss): the mean log loss of the exported weights over the rows."""
-    margin = vector_to_array("rawPrediction").getItem(1)
-    rows = model.transform(assemble_vectors(train.select("label", "feature"), k)).select("label", margin.alias("m"))
-    # log(1 + exp(m)) - label * m without overflow
-    return rows.agg(F.avg(F.greatest("m", F.lit(0.0)) + F.log1p(F.exp(-F.abs("m"))) - F.col("label") * F.col("m")).alias("loss"))
+def table_loss(scored: DataFrame) -> DataFrame:
+    """(loss): the mean log loss over the scored training rows."""
+    # log(1 + exp(margin)) - label * margin without overflow
+    return scored.agg(F.avg(F.greatest("margin", F.lit(0.0)) + F.log1p(F.exp(-F.abs("margin")))
+                            - F.col("label") * F.col("margin")).alias("loss"))
 
 
 def weight_table(spark: SparkSession, model: LogisticRegressionModel) -> DataFrame:

@@ -25,11 +25,16 @@ from pomelo.operators.metrics import count_if
 from pomelo.operators.tokens import active_index_count
 
 
+def label_counts(labels: DataFrame) -> DataFrame:
+    """(entity_id, n_label, label): how many label rows an entity has, and their sum."""
+    return (labels.where(F.col("entity_id").isNotNull() & F.col("label").isNotNull())
+            .groupBy("entity_id")
+            .agg(F.count(F.lit(1)).alias("n_label"), F.sum(F.col("label").cast("double")).alias("label")))
+
+
 def tag_counts(labels: DataFrame, features: DataFrame) -> DataFrame:
     """J9 + A10 + U1: (entity_id, n_label, label, n_feature) of every entity of either side."""
-    lab = (labels.where(F.col("entity_id").isNotNull() & F.col("label").isNotNull())
-           .groupBy("entity_id")
-           .agg(F.count(F.lit(1)).alias("n_label"), F.sum(F.col("label").cast("double")).alias("label")))
+    lab = label_counts(labels)
     feat = (features.where(F.col("entity_id").isNotNull())
             .groupBy("entity_id")
             .agg(F.count(F.lit(1)).alias("n_feature")))
@@ -49,6 +54,17 @@ def tagged_sets(counts: DataFrame, features: DataFrame) -> DataFrame:
             .join(one, "entity_id").select("entity_id", "n_label", "label", "feature", "n_active"))
 
 
+def tagged_sets_of_unique(labels: DataFrame, features: DataFrame) -> DataFrame:
+    """``tagged_sets`` where each entity is known to have one feature row: no counting, one join."""
+    lab = label_counts(labels).hint("shuffle_hash")
+    text = F.coalesce("feature", F.lit(""))
+    return (features.where(F.col("entity_id").isNotNull())
+            .select("entity_id", text.alias("feature"), active_index_count("feature").alias("n_active"))
+            .join(lab, "entity_id", "left")
+            .select("entity_id", F.coalesce("n_label", F.lit(0)).alias("n_label"), F.coalesce("label", F.lit(0.0)).alias("label"),
+                    "feature", "n_active"))
+
+
 def train_rows(tagged: DataFrame) -> DataFrame:
     """M2 + F6 + F7 + F8: (entity_id, label, feature, n_active) for training."""
     return (tagged.where((F.col("n_label") == 1) & (F.col("n_active") > 0))

@@ -51,6 +51,8 @@ class Chain:
         self.inp = inputs
         self.p = params
         self.materialize = materialize
+        # features built here are grouped by entity; a table that was read has to be counted
+        self.one_row_an_entity = "features" not in (given or {})
         self.__dict__.update(given or {})
 
     @classmethod
@@ -147,6 +149,8 @@ class Chain:
 
     @cached_property
     def tagged(self) -> DataFrame:
+        if self.one_row_an_entity:
+            return self._m(ST.tagged_sets_of_unique(self.set_labels, self.features))
         return self._m(ST.tagged_sets(self.tag_counts, self.features))
 
     @cached_property

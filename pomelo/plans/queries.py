@@ -232,7 +232,8 @@ def _fit_rows(c: Chain, model, train: DataFrame) -> DataFrame:
     ``loss``: the first loss (of the model without items: log 2, or the
     labels' entropy with an intercept), by how much the last differs from the
     loss of the exported weights over the table, and how often it rises."""
-    columns = MD.optimality(model, train, c.p.top_k).select(
+    scored = c._m(MD.training_scores(model, train, c.p.top_k))
+    columns = MD.optimality(scored, model.getFitIntercept()).select(
         F.lit("column").alias("part"), F.col("column_index").cast("string").alias("key"), F.col("n_rows").alias("n"),
         F.when(F.abs("gradient") < OPTIMAL, F.col("label_sum")).otherwise(F.col("score_sum")).alias("value"))
     a = MD.score_with_model(model, c.predict, c.p.top_k, c.p.threshold)
@@ -249,7 +250,7 @@ def _fit_rows(c: Chain, model, train: DataFrame) -> DataFrame:
     rises = F.coalesce((F.col("loss") > F.col("before") + 1e-9).cast("int"), F.lit(0))
     steps = history.select("iteration", "loss", before.alias("before")).agg(
         F.min_by("loss", "iteration").alias("first"), F.max_by("loss", "iteration").alias("last"), F.sum(rises).alias("rises"))
-    off = F.abs(F.col("last") - MD.table_loss(model, train, c.p.top_k).scalar())
+    off = F.abs(F.col("last") - MD.table_loss(scored).scalar())
     losses = steps.select(F.inline(F.array(*[
         F.struct(F.lit("loss").alias("part"), F.lit(key).alias("key"), F.lit(0).cast("bigint").alias("n"),
                  F.round(value.cast("double"), 6).alias("value"))

@@ -49,7 +49,7 @@ def test_certificate_tells_a_fit_from_a_stopped_one(spark, intercept):
     whole, stopped = MD.fit(train, c.p.top_k, make()), MD.fit(train, c.p.top_k, make(max_iter=1))
     rows = [(r.label, dict((int(i), float(v)) for i, v in (t.split(":") for t in r.feature.split()))) for r in train.collect()]
     for model, optimal in ((whole, True), (stopped, False)):
-        got = {r.column_index: r for r in MD.optimality(model, train, c.p.top_k).collect()}
+        got = {r.column_index: r for r in MD.optimality(MD.training_scores(model, train, c.p.top_k), intercept).collect()}
         coef = model.coefficients.toArray()
         want = {}
         for y, x in rows:

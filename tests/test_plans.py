@@ -66,6 +66,7 @@ def test_sets_over_a_bucketed_feature_table_do_not_shuffle_it(spark):
     SK.overwrite_partition(spark, c.features, name, "D", bucket_by="entity_id", buckets=8)
     written = spark.table(name).where("stat_date = 'D'").select("entity_id", "feature")
     counts = ST.tag_counts(c.set_labels, written)
+    assert sorted(map(tuple, ST.tagged_sets(counts, written).collect())) == sorted(map(tuple, c.tagged.collect()))
     train = ST.train_rows(ST.tagged_sets(counts, written))
     assert sorted(map(tuple, train.collect())) == sorted(map(tuple, c.train.collect()))
     text = plan_text(train)
