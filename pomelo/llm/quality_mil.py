@@ -4,9 +4,11 @@ A document is a bag of passages of ``PASSAGE_WORDS`` words.  Every passage of
 the whole text is encoded; gated attention gives each passage a weight, the
 weighted sum represents the document, and a logistic unit scores it.  All
 weights are learned from document labels alone, by gradient descent on a
-bounded sample (``PER_CLASS`` documents per label, of each at most
-``FIT_PASSAGES`` evenly spaced passages; scoring has no such bound).  A long
-text is read in blocks with a running softmax, so memory stays bounded.
+bounded sample of labelled rows, each with all passages of its whole text: at
+most ``PER_CLASS`` documents per label, taken in the order of their hash, and
+of these no more than ``FIT_PASSAGES`` passages per label in all (a document
+that no longer fits is left out, the next ones are tried).  Scoring has no
+bound: a long text is read in blocks with a running softmax.
 
 A passage's features: frequencies of pairs of neighbouring character classes
 (bytes in 16 classes), the share of different words, the share of words equal
@@ -30,12 +32,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from pomelo.llm.common import fresh_names
+from pomelo.llm.common import checkpointed, fresh_names
 from pomelo.llm.sampling import fold, labelled_sample
 
 PASSAGE_WORDS = 64
 PER_CLASS = 3000          # bound of the fitting sample
-FIT_PASSAGES = 24         # bound of a sampled document's passages
+FIT_PASSAGES = 30_000     # bound of a label's sampled passages (rows of 1 KB on the driver)
 BLOCK_PASSAGES = 512      # passages of one text encoded at a time
 HIDDEN, GATE = 16, 8
 THRESHOLD = 0.7
@@ -146,9 +148,27 @@ def fit_arrays(x: np.ndarray, sizes: np.ndarray, y: np.ndarray, prior: float,
     return Model(prior, {k: np.asarray(v, np.float32) for k, v in p.items()})
 
 
+def _fitting(rows: list[tuple], most: int) -> list:
+    """Ids of ``(label, hash, id, passages)``, in the order of the hash, while their passages fit in ``most`` a label."""
+    left: dict[int, int] = {}
+    out = []
+    for y, _, name, n in sorted(rows, key=lambda r: (r[0], r[1], str(r[2]))):
+        if n <= left.setdefault(y, most):
+            left[y] -= n
+            out.append(name)
+    return out
+
+
+def _passage_count(text: Column) -> Column:
+    @F.arrow_udf("long")
+    def count(texts: pa.Array) -> pa.Array:
+        return pa.array([max(1, -(-len(t.encode().split()) // PASSAGE_WORDS)) for t in texts.to_pylist()], pa.int64())
+    return count(text)
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-        label: str = "quality", per_class: int = PER_CLASS) -> Model:
-    """Model from the labelled rows outside the held-out fold (a bounded sample of them)."""
+        label: str = "quality", per_class: int = PER_CLASS, passages_per_class: int = FIT_PASSAGES) -> Model:
+    """Model from the labelled rows outside the held-out fold (a bounded sample of them, whole texts)."""
     sample, sizes = labelled_sample(docs, labels, label, fold(id_col, FOLDS) != HELD_OUT, per_class, id_col, text_col)
     if len(sizes) < 2:
         return Model(float(next(iter(sizes), 0.5)))
@@ -157,13 +177,15 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         for batch in batches:
             rows = []
             for text in batch.column("text").to_pylist():
-                x = np.concatenate(list(passages(text)))
-                x = x[np.unique(np.linspace(0, len(x) - 1, min(len(x), FIT_PASSAGES)).astype(int))]
-                rows.append(x.astype(np.float16).tobytes())
+                rows.append(b"".join(x.astype(np.float16).tobytes() for x in passages(text)))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id").cast(pa.string()), batch.column("y").cast(pa.int32()),
                                               pa.array(rows, pa.binary())], names=["id", "y", "x"])
 
-    rows = sorted(sample.select("doc_id", "y", "text").mapInArrow(features, "id string, y int, x binary").collect())
+    sample = checkpointed(sample.select("doc_id", "y", "text"))
+    # two numbers for each of at most 2 * per_class documents
+    sized = sample.select("y", F.xxhash64("doc_id"), "doc_id", _passage_count(F.col("text"))).collect()
+    taken = _fitting([tuple(r) for r in sized], passages_per_class)
+    rows = sorted(sample.where(F.col("doc_id").isin(taken)).mapInArrow(features, "id string, y int, x binary").collect())
     bags = [np.frombuffer(r.x, np.float16).reshape(-1, N_FEATURES) for r in rows]
     if not bags:
         return Model(0.5)

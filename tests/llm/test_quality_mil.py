@@ -68,6 +68,42 @@ def test_attention_finds_the_one_bad_passage():
     assert np.mean([(score(b) >= 0.5) == g for b, g in zip(bags, y)]) > 0.95
 
 
+def test_fitting_reads_every_passage_of_its_documents(spark, monkeypatch):
+    """A bad section anywhere in a long text is seen; the bound leaves out whole documents, not parts of them."""
+    prepare(spark)
+    plain = " ".join(f"word{i}" for i in range(Q.PASSAGE_WORDS))
+    long = " ".join([plain] * 40 + [" ".join(["#|%"] * Q.PASSAGE_WORDS)] + [plain] * 59)
+    ids = [i for i in range(60) if zlib.crc32(str(i).encode()) % 4 != 2]
+    docs = spark.createDataFrame([(i, long if k % 2 else plain) for k, i in enumerate(ids)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, 1 - k % 2) for k, i in enumerate(ids)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(Q, "fit_arrays", lambda x, sizes, y, prior: seen.append((x, sizes, y)) or Q.Model(prior))
+    Q.fit(docs, labels)
+    x, sizes, y = seen.pop()
+    assert sorted(sizes.tolist()) == [1] * (y == 1).sum() + [100] * (y == 0).sum() and len(sizes) == len(ids)
+    want = np.concatenate(list(Q.passages(long))).astype(np.float16)
+    at = np.cumsum(sizes) - sizes
+    for k in np.flatnonzero(y == 0):
+        assert (x[at[k]:at[k] + 100].astype(np.float16) == want).all()
+    Q.fit(docs, labels, passages_per_class=250)
+    _, sizes, y = seen.pop()
+    assert sizes[y == 0].tolist() == [100, 100] and sizes[y == 1].tolist() == [1] * int((y == 1).sum()) and (y == 1).sum() > 2
+
+
+def test_query_scores_are_the_softmax_over_all_passages(spark):
+    from pomelo.llm.queries import QUERIES
+    docs = table(spark, SF, "documents")
+    w = Q.fit(docs, table(spark, SF, "labels")).weights
+    got = {r.doc_id: r.score for r in QUERIES["op4_attention_mil"](spark, SF).collect()}
+    for r in docs.collect():
+        x = np.concatenate(list(Q.passages(r.text or ""))).astype(np.float64)
+        assert len(x) == max(1, -(-len((r.text or "").split()) // Q.PASSAGE_WORDS))
+        h = np.tanh(x @ w["W"] + w["b"])
+        e = (np.tanh(h @ w["V"]) * Q._sigmoid(h @ w["U"])) @ w["w"]
+        a = np.exp(e - e.max())
+        assert got[r.doc_id] == pytest.approx(float(Q._sigmoid(a @ h / a.sum() @ w["c"] + w["c0"][0])), abs=1e-5)
+
+
 def test_odd_rows(spark):
     prepare(spark)
     texts = ["", None, "good plain words here " * 30, "bad### bad%%% " * 40, "x", "long " * 50000]
