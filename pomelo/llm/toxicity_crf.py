@@ -1,15 +1,18 @@
 """Toxic spans by a linear-chain conditional random field (operator 7).
 
 Labels mark whole documents, so tokens get theirs first: among labelled
-documents (near-copies counted once), words and word beginnings that occur in
+documents (near-copies, by five-word shingles of similarity 0.8, counted once), words and word beginnings that occur in
 toxic documents far more often than chance allows, and hardly in others, are
 signs; words with a sign in toxic documents are the tagged tokens, all other
 tokens are not.  A two-state field with hashed features of a token (the word,
 its beginnings and end, its form) is fitted to these by its likelihood.
 
-A text is tagged in sequences of ``WINDOW`` consecutive words.  With two
-states, the forward and backward passes are recursions of odds, which run for
-all sequences of a batch side by side.  Marginals give the spans (runs at 0.5
+A text is one chain, whatever its length.  With two states, the forward and
+backward passes are recursions of odds.  They run for windows of ``WINDOW``
+words of all texts of a batch side by side: a window's product of step
+matrices says what it makes of the odds that enter it, so the odds at all
+borders of a text follow window by window, and then every window is passed
+from its true odds on both sides.  Marginals give the spans (runs at 0.5
 or more) and, as the greatest log odds and the expected number of toxic
 tokens, the document's score through a logistic unit fitted on the documents.
 
@@ -38,6 +41,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +57,8 @@ BEGINNINGS = (3, 4, 5, 6)   # letters of a word's beginnings
 MIN_EVIDENCE = 24.0         # a sign's log-likelihood ratio against equal rates (chance below 1e-6)
 MAX_CLEAN = 0.02            # its rate in clean documents over that in toxic ones, at most
 THRESHOLD = 0.5
+SHINGLE_WORDS, SIMILAR = 5, 0.8    # near-copies in the fitting sample
+_ORDERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 FOLDS, HELD_OUT = 5, 0
 CACHED_WORDS = 300_000      # per worker; beyond it the cache begins anew
 
@@ -103,40 +109,64 @@ def features(words: list[str]) -> np.ndarray:
     return out
 
 
-def copy_keys(words: set[str]) -> list[str]:
-    """What near-copies share: the three least word hashes of two kinds."""
-    return [salt + ",".join(map(str, sorted(zlib.crc32((salt + w).encode()) for w in words)[:3])) for salt in ("a", "b")]
+def shingles(text: str) -> np.ndarray:
+    """Hashes of a text's different runs of ``SHINGLE_WORDS`` normal words (fewer: of all of them)."""
+    words = [normal(w) for w in text.split()]
+    runs = {" ".join(words[i:i + SHINGLE_WORDS]) for i in range(max(1, len(words) - SHINGLE_WORDS + 1))}
+    return np.array(sorted(xxhash.xxh64_intdigest(r) for r in runs), np.uint64)
 
 
-def _is_new(keys: list[str], seen: set[str]) -> bool:
-    """No key was met before; ``seen`` takes them up."""
-    new = seen.isdisjoint(keys)
-    seen.update(keys)
-    return new
+def copy_keys(text: str) -> list[str]:
+    """What near-copies mostly share: the least shingle hash of each of several orders."""
+    h = shingles(text)
+    return [f"{k}:{int((h * m).min()):x}" for k, m in enumerate(_ORDERS)]
 
 
-def _distinct(docs: Iterable[set[str]]) -> Iterator[set[str]]:
-    """Documents without near-copies."""
-    seen: set[str] = set()
-    return (d for d in docs if _is_new(copy_keys(d), seen))
+def similar(a: str, b: str) -> bool:
+    """Whether two texts share ``SIMILAR`` of their shingles."""
+    x, y = shingles(a), shingles(b)
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both >= SIMILAR * (len(x) + len(y) - both)
+
+
+def _pairs(keys: Iterable[tuple[object, list[str]]]) -> list[tuple]:
+    """``(earlier, later)`` of rows that share a key: each with the first and with the last one before it."""
+    met: dict[str, tuple] = {}
+    out: dict[tuple, None] = {}
+    for name, ks in keys:
+        for k in ks:
+            if k in met:
+                out.update(dict.fromkeys((other, name) for other in met[k]))
+            met[k] = (met[k][0] if k in met else name, name)
+    return list(out)
+
+
+def _distinct(texts: list[str]) -> list[str]:
+    """Texts without those that are near-copies of an earlier one."""
+    copies = {b for a, b in _pairs(enumerate(map(copy_keys, texts))) if similar(texts[a], texts[b])}
+    return [t for i, t in enumerate(texts) if i not in copies]
+
+
+def _words_of(text: str) -> set[str]:
+    return {normal(w) for w in text.split()}
 
 
 def _signs_in(words: set[str]) -> set[str]:
     return {s for w in words if w for s in signs_of(w)}
 
 
-def find_signs(toxic: Iterable[set[str]], clean: Iterable[set[str]]) -> set[str]:
+def find_signs(toxic: list[str], clean: list[str]) -> set[str]:
     """Words and beginnings that mark toxic documents; of nested ones with the same reach, the longest."""
     n = m = 0
     hits: Counter[str] = Counter()
     for d in _distinct(toxic):
         n += 1
-        hits.update(_signs_in(d))
+        hits.update(_signs_in(_words_of(d)))
     hits = Counter({s: t for s, t in hits.items() if t > 2})       # fewer are never evidence enough
     misses: Counter[str] = Counter()
     for d in _distinct(clean):
         m += 1
-        misses.update(s for s in _signs_in(d) if s in hits)
+        misses.update(s for s in _signs_in(_words_of(d)) if s in hits)
     return signs_by_count(hits, misses, n, max(m, 1))
 
 
@@ -173,19 +203,60 @@ class Crf:
 
     def marginals(self, e: np.ndarray, mask: np.ndarray) -> np.ndarray:
         """Log odds of state 1; ``e`` (tokens, sequences) holds emission log odds, ``mask`` the real tokens."""
+        return self.passed(np.exp(np.clip(e, -30, 30)), mask, np.full(e.shape[1], np.nan), np.ones(e.shape[1]))
+
+    def passed(self, w: np.ndarray, mask: np.ndarray, enter: np.ndarray, leave: np.ndarray) -> np.ndarray:
+        """Log odds of state 1 of sequences between the forward odds that ``enter`` (NaN: a text begins)
+        and the backward odds that ``leave`` has after them; ``w`` are emission odds."""
         (t00, t01), (t10, t11) = np.exp(self.step)
-        w = np.exp(np.clip(e, -30, 30))
         out = np.empty_like(w)
-        r = out[0] = np.exp(self.start) * w[0]
+        r = out[0] = w[0] * np.where(np.isnan(enter), np.exp(self.start), (t01 + enter * t11) / (t00 + enter * t10))
         for j in range(1, len(w)):
             r = out[j] = w[j] * (t01 + r * t11) / (t00 + r * t10)
-        b = np.ones(w.shape[1])
+        b = leave
+        out[-1] *= b
         for j in range(len(w) - 2, -1, -1):
             x = w[j + 1] * b
-            b = np.where(mask[j + 1], (t10 + x * t11) / (t00 + x * t01), 1.0)
+            b = np.where(mask[j + 1], (t10 + x * t11) / (t00 + x * t01), leave)
             out[j] *= b
         return np.log(out)
 
+    def borders(self, w: np.ndarray, mask: np.ndarray, rank: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """``enter`` and ``leave`` of windows that follow each other in texts; ``rank``: a window's place in its text."""
+        p = np.exp(self.step)
+        n = w.shape[1]
+        enter, leave = np.full(n, np.nan), np.ones(n)
+        more = np.flatnonzero((rank > 0) | np.append(rank[1:] > 0, False))        # windows of texts that have several
+        if not len(more):
+            return enter, leave
+        # products of the step matrices, rows from, columns to; the first word of a text has no step
+        m = np.zeros((2, 2, len(more)))
+        m[0, 0] = m[1, 1] = 1.0
+        first = rank[more] == 0
+        for j in range(len(w)):
+            emit = w[j, more]
+            x = np.stack([m[:, 0] * p[0, 0] + m[:, 1] * p[1, 0], (m[:, 0] * p[0, 1] + m[:, 1] * p[1, 1]) * emit], 1)
+            x /= x.sum((0, 1))
+            still = ~mask[j, more] | (first if j == 0 else False)
+            m = np.where(still, m, x)
+        # from window to window: in every step one window of each text
+        of_rank = np.argsort(rank[more], kind="stable")
+        cuts = np.searchsorted(rank[more][of_rank], np.arange(rank.max() + 2))
+        steps = [of_rank[a:b] for a, b in zip(cuts, cuts[1:])]
+        odds = np.exp(self.start) * w[0, more]                                    # after the first word
+        for here in steps:
+            k = more[here]
+            into = np.where(first[here], odds[here], enter[k])
+            after = (m[0, 1, here] + into * m[1, 1, here]) / (m[0, 0, here] + into * m[1, 0, here])
+            has_next = np.append(rank[1:] > 0, False)[k]
+            enter[k[has_next] + 1] = after[has_next]
+        for here in reversed(steps):
+            back = here[rank[more[here]] > 0]
+            k = more[back]
+            x = leave[k]
+            leave[k - 1] = (m[1, 0, back] + x * m[1, 1, back]) / (m[0, 0, back] + x * m[0, 1, back])
+        return enter, leave
+
 
 def fit_crf(seqs: np.ndarray, mask: np.ndarray, y: np.ndarray, rounds: int = 60, rate: float = 0.3,
             decay: float = 1e-6) -> Crf:
@@ -264,11 +335,14 @@ class Tagger:
         for w, at in zip(words, rows * WINDOW):
             e[at:at + len(w)] = np.fromiter(map(self.known.__getitem__, w), np.float64, len(w))
             mask[at:at + len(w)] = True
-        e, mask = e.reshape(-1, WINDOW).T, mask.reshape(-1, WINDOW).T
+        w, mask = np.exp(np.clip(e, -30, 30)).reshape(-1, WINDOW).T, mask.reshape(-1, WINDOW).T
+        rank = np.arange(rows[-1]) - np.repeat(rows[:-1], np.diff(rows))
+        enter, leave = self.crf.borders(w, mask, rank)
         out = np.empty((rows[-1], WINDOW))
         for lo in range(0, len(out), 4096):
             part = slice(lo, lo + 4096)
-            out[part] = self.crf.marginals(np.ascontiguousarray(e[:, part]), np.ascontiguousarray(mask[:, part])).T
+            out[part] = self.crf.passed(np.ascontiguousarray(w[:, part]), np.ascontiguousarray(mask[:, part]),
+                                        enter[part], leave[part]).T
         flat = out.reshape(-1)
         return [flat[at:at + n] for at, n in zip(rows * WINDOW, sizes)]
 
@@ -358,8 +432,7 @@ def fit_texts(texts: list[str], y: np.ndarray, prior: float) -> Crf:
     """Field and document unit from labelled documents in memory; ``fit`` does the same in Spark tasks."""
     if len(set(y.tolist())) < 2:
         return Crf(prior)
-    sets = lambda kind: ({normal(w) for w in t.split()} for t, k in zip(texts, y) if k == kind)
-    signs = find_signs(sets(1), sets(0))
+    signs = find_signs(*([t for t, k in zip(texts, y) if k == kind] for kind in (1, 0)))
     if not signs:
         return Crf(prior)
     signed = _signed(signs)
@@ -367,28 +440,41 @@ def fit_texts(texts: list[str], y: np.ndarray, prior: float) -> Crf:
     return _with_unit(crf, np.array(_summaries(texts, Tagger(crf))), y)
 
 
-def _of_words(of: Callable[[set[str]], Iterable[str]]) -> Column:
-    """``of`` the normal words of each text, as an array."""
+def _strings(of: Callable[[str], Iterable[str]]) -> Column:
+    """``of`` each text, as an array."""
     @F.arrow_udf("array<string>")
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array([list(of({normal(w) for w in t.split()})) for t in texts.to_pylist()], pa.list_(pa.string()))
+        return pa.array([list(of(t)) for t in texts.to_pylist()], pa.list_(pa.string()))
 
     return run("text")
 
 
+def _near_copies(sample: DataFrame, pairs: list[tuple[str, str]]) -> set[str]:
+    """The later ones of the pairs whose texts are similar; at most a few pairs for each sampled document."""
+    if not pairs:
+        return set()
+
+    @F.arrow_udf("boolean")
+    def alike(a: pa.Array, b: pa.Array) -> pa.Array:
+        return pa.array([similar(x, y) for x, y in zip(a.to_pylist(), b.to_pylist())], pa.bool_())
+
+    texts = sample.select("doc_id", "text")
+    both = (sample.sparkSession.createDataFrame(pairs, "a string, b string").repartition(FIT_TASKS)
+            .join(texts.toDF("a", "x"), "a").join(texts.toDF("b", "y"), "b"))
+    return {r.b for r in both.where(alike("x", "y")).select("b").distinct().collect()}
+
+
 def _mined(sample: DataFrame) -> set[str]:
-    """``find_signs`` of ``sample (doc_id, y, text)``; the driver gets keys and counts."""
-    seen: dict[int, set[str]] = {0: set(), 1: set()}
-    kept, copies = Counter(), []
-    for r in sorted(sample.select("doc_id", "y", _of_words(copy_keys).alias("keys")).collect()):
-        if _is_new(r["keys"], seen[r.y]):
-            kept[r.y] += 1
-        else:
-            copies.append(r.doc_id)
+    """``find_signs`` of ``sample (doc_id, y, text)``; the driver gets keys, near-copies and counts."""
+    rows = sorted(sample.select("doc_id", "y", _strings(copy_keys).alias("keys")).collect())
+    pairs = _pairs((r.doc_id, [f"{r.y}:{k}" for k in r["keys"]]) for r in rows)
+    copies = _near_copies(sample, pairs)
+    kept = Counter(r.y for r in rows if r.doc_id not in copies)
     n, m = kept[1], max(kept[0], 1)
     # a sign has this many toxic documents at least: with clean ones there is less evidence
     enough = next((t for t in range(3, n + 1) if _evidence(t, 0, n, m) >= MIN_EVIDENCE), n + 1)
-    counts = (sample.where(~F.col("doc_id").isin(copies)).select("y", F.explode(_of_words(_signs_in)).alias("sign"))
+    signs = _strings(lambda t: _signs_in(_words_of(t)))
+    counts = (sample.where(~F.col("doc_id").isin(sorted(copies))).select("y", F.explode(signs).alias("sign"))
               .groupBy("sign").agg(F.sum("y").alias("t"), F.sum(1 - F.col("y")).alias("c"))
               .where((F.col("t") >= enough) & (F.col("c") * n <= 1.001 * MAX_CLEAN * m * F.col("t"))).collect())
     return signs_by_count({r.sign: r.t for r in counts}, {r.sign: r.c for r in counts}, n, m)

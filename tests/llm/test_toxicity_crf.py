@@ -51,13 +51,72 @@ def test_fit_raises_the_likelihood_of_the_tags():
 def test_near_copies_make_no_signs():
     rng = random.Random(3)
     words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(5000)]
-    clean = [set(rng.choices(words, k=80)) for _ in range(300)]
+    clean = [" ".join(rng.choices(words, k=80)) for _ in range(300)]
     one = rng.choices(words, k=80)
-    copies = [set(one[:-1] + [rng.choice(words)]) for _ in range(200)]
-    toxic = [set(rng.choices(words, k=80)) | {"nasty"} for _ in range(60)] + copies
+    copies = [" ".join(one[:-1] + [rng.choice(words)]) for _ in range(200)]
+    toxic = [" ".join(rng.choices(words, k=80) + ["nasty"]) for _ in range(60)] + copies
     assert X.find_signs(toxic, clean) == {"nasty"}
 
 
+def test_different_texts_with_equal_keys_are_both_kept(spark, monkeypatch):
+    """Keys only propose near-copies; similarity decides."""
+    prepare(spark)
+    monkeypatch.setattr(X, "copy_keys", lambda text: ["the same"])
+    rng = random.Random(7)
+    words = ["".join(rng.choices("abcdefghij", k=6)) for _ in range(3000)]
+    texts = [" ".join(rng.choices(words, k=60)) for _ in range(40)]
+    near = texts[11].split()
+    near[30] = "other"
+    assert X.similar(texts[11], " ".join(near)) and not X.similar(texts[0], texts[1])
+    assert X._distinct(texts) == texts and X._distinct([*texts, texts[-1]]) == texts
+    assert X.similar("a b", "a b") and not X.similar("a b", "a c") and X.similar("", " ")
+    df = spark.createDataFrame([(str(i).zfill(3), 0, t) for i, t in enumerate([*texts, texts[-1], " ".join(near)])], "doc_id string, y int, text string")
+    rows = [(r.doc_id, ["k"]) for r in df.orderBy("doc_id").collect()]
+    pairs = X._pairs(rows) + [("011", "041")]
+    assert X._near_copies(df, pairs) == {"040", "041"}
+
+
+def plain_chain(crf, e):
+    """Log odds by forward and backward messages over one whole sequence."""
+    p = np.exp(crf.step)
+    a, b = np.zeros((len(e), 2)), np.ones((len(e), 2))
+    for i, x in enumerate(np.exp(e)):
+        a[i] = (np.array([1, np.exp(crf.start)]) if i == 0 else a[i - 1] @ p) * [1, x]
+        a[i] /= a[i].sum()
+    for i in range(len(e) - 2, -1, -1):
+        b[i] = p @ (b[i + 1] * [1, np.exp(e[i + 1])])
+        b[i] /= b[i].sum()
+    return np.log(a[:, 1] * b[:, 1]) - np.log(a[:, 0] * b[:, 0])
+
+
+def test_a_text_is_one_chain(spark):
+    """Windows change nothing, spans over their borders included; so for the query's scores."""
+    rng = np.random.default_rng(5)
+    crf = X.Crf(0.5, np.zeros(X.HASHED), -1.0, np.array([[1.5, -1.5], [-2.0, 2.5]]), np.array([0.1, 0.5, 0.3]))
+    tagger = X.Tagger(crf)
+    vocabulary = [f"w{k}" for k in range(50)]
+    tagger.known = dict(zip(vocabulary, rng.normal(-0.5, 2, 50).tolist()))
+    sizes = [0, 1, 63, 64, 65, 128, 129, 1000, 5, 64 * 7]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in sizes]
+    for text, got in zip(texts, tagger.tag(texts)):
+        want = plain_chain(crf, np.array([tagger.known[w] for w in text.split()])) if text else np.zeros(0)
+        assert np.allclose(got, want, atol=1e-8)
+    # strong words up to the border carry over it
+    tagger.known = {"calm": -0.2, "vile": 6.0}
+    odds = tagger.tag([" ".join(["calm"] * 60 + ["vile"] * 4 + ["calm"] * 60)])[0]
+    assert odds[64] > -1 and odds[64] > odds[66] > odds[70]
+
+    prepare(spark)
+    from pomelo.llm.queries import QUERIES
+    docs = table(spark, "/root/testdata/sf0.01", "documents")
+    crf = X.fit(docs, table(spark, "/root/testdata/sf0.01", "labels"))
+    got = {r.doc_id: r.score for r in QUERIES["op7_crf_toxicity"](spark, "/root/testdata/sf0.01").collect()}
+    for r in docs.collect():
+        words = (r.text or "").split()
+        odds = plain_chain(crf, crf.emission[X.features(words)].sum(1).clip(-30, 30)) if words else np.zeros(0)
+        assert got[r.doc_id] == pytest.approx(1 / (1 + np.exp(-X._summary(odds) @ crf.unit)), abs=1e-6)
+
+
 def test_held_out_toxicity_and_spans(spark):
     from pomelo.llm.queries import QUERIES
     rows = QUERIES["op7_crf_toxicity"](spark, SF).collect()
@@ -121,7 +180,7 @@ def test_fitting_in_tasks_equals_fitting_in_memory(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     crf = X.fit(docs, spark.createDataFrame([(i, i % 2) for i in range(150)], "doc_id long, toxic int"))
     y = np.array([int(i) % 2 for i in names])
-    signed = X._signed(X.find_signs(*[[set(texts[int(i)].split()) for i in names if int(i) % 2 == k] for k in (1, 0)]))
+    signed = X._signed(X.find_signs(*[[texts[int(i)] for i in names if int(i) % 2 == k] for k in (1, 0)]))
     windows = [w for i in names for w in X.windows_of(i, texts[int(i)], int(i) % 2 == 1, signed)]
     few = [w for k in (0, 1) for w in sorted(w for w in windows if w[0] == k)[:X.FIT_WINDOWS[k]]]
     want = X.fit_windows(few, y.mean())
