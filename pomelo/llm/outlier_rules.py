@@ -10,9 +10,10 @@ share of rows of least distance and estimate again from those; of the starts,
 the least determinant wins.  A group's row order by distance is a histogram of
 fine distance buckets (a bucket is kept whole), so no group is sorted or
 gathered: every step is a grouped sum that combines before the shuffle, and a
-group with a third of all rows costs no task more than another.  ``FLOORS``
-are added to the variances, so a statistic that is constant in a group does
-not reject small departures.
+group with a third of all rows costs no task more than another.  A variance
+below its floor (``FLOORS``) is raised to it, so a statistic that is constant
+in a group does not reject small departures; larger ones stay as estimated.
+The limit of the distance is a quantile of its chi-square distribution.
 
 Groups of fewer than ``MIN_GROUP`` usable rows are pooled by language, and
 what is still too small in one pool; a pool that stays too small rejects
@@ -45,9 +46,11 @@ BUCKETS = 16                # distance buckets to a factor of two
 # covariance of the nearest 75 % consistent (0.75 over the chi-square(7) share below the 0.75 quantile)
 CUTOFF = 35.89
 CONSISTENCY = 1.412
-# transformed statistics and the standard deviation that each has at least
+# transformed statistics and the standard deviation that each has at least (only a group that is degenerate in a
+# statistic has less): alone, a length 20 times the usual one rejects, or a share of duplicate lines or of repeated
+# words of 0.23 where there are none
 VECTOR = ("log_words", "log_word_length", "symbol_share", "dup_line_share", "repeat_share")
-FLOORS = (1.0, 0.15, 0.05, 0.15, 0.12)
+FLOORS = (0.5, 0.1, 0.05, 0.08, 0.08)
 D = len(VECTOR)
 PAIRS = [(i, j) for i in range(D) for j in range(i + 1)]
 STARTS = ("median", "mean", "unit")
@@ -175,11 +178,12 @@ def _medians(rows: DataFrame) -> DataFrame:
 
 
 def _moments(rows: DataFrame, factor: float) -> DataFrame:
-    """Means and covariances of ``rows (g, start, x*)``, the latter times ``factor`` plus the floors."""
+    """Means and covariances of ``rows (g, start, x*)``, the latter times ``factor`` and on the diagonal at least the floors."""
     agg = rows.groupBy("g", "start").agg(
         *[F.avg(f"x{i}").alias(f"m{i}") for i in range(D)],
         *[F.covar_pop(f"x{i}", f"x{j}").alias(f"v{i}_{j}") for i, j in PAIRS])
-    cov = [(F.col(f"v{i}_{j}") * factor + (FLOORS[i] ** 2 if i == j else 0.0)).alias(f"c{i}_{j}") for i, j in PAIRS]
+    at_least = lambda c, i, j: F.greatest(c, F.lit(FLOORS[i] ** 2)) if i == j else c
+    cov = [at_least(F.col(f"v{i}_{j}") * factor, i, j).alias(f"c{i}_{j}") for i, j in PAIRS]
     return agg.select("g", "start", *[f"m{i}" for i in range(D)], *cov)
 
 
@@ -189,7 +193,7 @@ def _estimates(rows: DataFrame) -> DataFrame:
     diag = lambda start, var: med.select(
         "g", F.lit(start).alias("start"), *[F.col(f"med{i}").alias(f"m{i}") for i in range(D)],
         *[(var(i) if i == j else F.lit(0.0)).alias(f"c{i}_{j}") for i, j in PAIRS])
-    first = (diag("median", lambda i: F.pow(1.4826 * F.col(f"mad{i}"), F.lit(2)) + FLOORS[i] ** 2)
+    first = (diag("median", lambda i: F.greatest(F.pow(1.4826 * F.col(f"mad{i}"), F.lit(2)), F.lit(FLOORS[i] ** 2)))
              .unionByName(diag("unit", lambda i: F.lit(FLOORS[i] ** 2)))
              .unionByName(_moments(rows.withColumn("start", F.lit("mean")), 1.0)))
     params = checkpointed(_factor(first))
@@ -239,10 +243,10 @@ def report(docs: DataFrame) -> DataFrame:
 def keep_usual(docs: DataFrame) -> DataFrame:
     """``docs`` without the rows that the rules reject, all columns as they were."""
     lang, source = _keys(docs)
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                         lang.alias("lang"), source.alias("source"), statistics(F.col("text")).alias("s"))
-    stats = checkpointed(packed.select("lang", "source", "s"))
-    return _judged(packed, estimates(stats)).where("kept").select("row.*")
+    # written with the rows: the statistics of a text are computed once
+    packed = checkpointed(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                                      lang.alias("lang"), source.alias("source"), statistics(F.col("text")).alias("s")))
+    return _judged(packed, estimates(packed.select("lang", "source", "s"))).where("kept").select("row.*")
 
 
 def oracle() -> str:
@@ -271,7 +275,8 @@ def oracle() -> str:
         return f"SELECT g, start, {', '.join(ms + fs)}, {det} AS det FROM ({sql})"
 
     def moments(source: str, scale: float) -> str:
-        cov = ", ".join(f"covar_pop(x{i}, x{j}) * {scale} + {FLOORS[i] ** 2 if i == j else 0.0} AS c{i}_{j}" for i, j in PAIRS)
+        cov = ", ".join((f"greatest(covar_pop(x{i}, x{j}) * {scale}, {FLOORS[i] ** 2})" if i == j
+                         else f"covar_pop(x{i}, x{j}) * {scale}") + f" AS c{i}_{j}" for i, j in PAIRS)
         return (f"SELECT g, start, {', '.join(f'avg(x{i}) AS m{i}' for i in range(D))}, {cov} "
                 f"FROM ({source}) GROUP BY g, start")
 
@@ -290,7 +295,7 @@ def oracle() -> str:
         p{t + 1} AS MATERIALIZED ({factor(moments(f'SELECT f.* FROM far{t} f JOIN e{t} e ON f.g = e.g AND f.start = e.start '
                                                   'WHERE bucket <= at_bucket', CONSISTENCY))})"""
     first = " UNION ALL BY NAME ".join([
-        start("median", lambda i: f"pow(1.4826 * mad{i}, 2) + {FLOORS[i] ** 2}"),
+        start("median", lambda i: f"greatest(pow(1.4826 * mad{i}, 2), {FLOORS[i] ** 2})"),
         start("unit", lambda i: str(FLOORS[i] ** 2)),
         moments("SELECT *, 'mean' AS start FROM r", 1.0)])
     return f"""

@@ -48,17 +48,18 @@ def plain_verdicts(rows):
             langs.setdefault(lang, []).extend(g)
     rest = [v for g in langs.values() if len(g) < R.MIN_GROUP for v in g]
     floor = np.diag(np.square(R.FLOORS))
+    raised = lambda c: c - np.diag(np.diag(c)) + np.maximum(np.diag(np.diag(c)), floor)
 
     def estimate(g):
         x = np.array(g)
         med = np.median(x, axis=0)
         mad = 1.4826 * np.median(np.abs(x - med), axis=0)
         found = []
-        for m, c in ((med, np.diag(mad ** 2) + floor), (med, floor), (x.mean(0), np.cov(x.T, bias=True) + floor)):
+        for m, c in ((med, raised(np.diag(mad ** 2))), (med, floor), (x.mean(0), raised(np.cov(x.T, bias=True)))):
             for _ in range(R.STEPS):
                 d = np.einsum("ij,jk,ik->i", x - m, np.linalg.inv(c), x - m)
                 core = x[np.argsort(d)[:int(np.ceil(R.CORE * len(x)))]]
-                m, c = core.mean(0), np.cov(core.T, bias=True) * R.CONSISTENCY + floor
+                m, c = core.mean(0), raised(np.cov(core.T, bias=True) * R.CONSISTENCY)
             found.append((np.linalg.slogdet(c)[1], m, c))
         return min(found, key=lambda f: f[0])[1:]
 
@@ -100,6 +101,32 @@ def test_query_on_the_test_table(spark):
     assert np.mean([r.kept for r in passed if labels[r.doc_id] == 0]) < 0.2
 
 
+def test_each_statistic_alone_rejects(spark):
+    """Ordinary texts of about 200 words without a repeat, and one departure at a time."""
+    prepare(spark)
+    rng = random.Random(21)
+    words = ["".join(rng.choices("abcdefghijklmnop", k=rng.randint(5, 9))) for _ in range(60_000)]
+    fresh = iter(rng.sample(sorted(set(words)), 55_000))
+    some = lambda n: [next(fresh) for _ in range(n)]
+    lines = lambda ws, k=10: "\n".join(" ".join(ws[i:i + k]) for i in range(0, len(ws), k))
+    usual = [lines(some(rng.randint(150, 250))) for _ in range(200)]
+    block = some(48)
+    odd = {"length": lines([f"{a}{i}" for i, a in enumerate(rng.choices(words, k=60_000))]),
+           "word length": lines([w * 6 for w in some(200)]),
+           "symbols": lines([w + "##" for w in some(200)]),
+           "duplicate lines": "\n".join(x for w in some(100) for x in (w, w)),
+           "repeats": lines(block + some(106) + block)}
+    ordinary = {"long": lines(some(600)), "short": lines(some(60)), "one repeat": lines((a := some(200)) + a[:6]),
+                "a symbol": lines(some(200)) + " #1", "one line twice": "\n".join([lines(a := some(200)), lines(a[:10])])}
+    rows = [(str(i), t) for i, t in enumerate(usual)] + list(odd.items()) + list(ordinary.items())
+    df = spark.createDataFrame([(n, t, "en", "web") for n, t in rows], "doc_id string, text string, lang string, source string")
+    got = {r.doc_id: r for r in R.report(df).collect()}
+    assert not any(got[n].base_failed for n, _ in rows)
+    assert [n for n in odd if got[n].kept] == [] and [n for n in ordinary if not got[n].kept] == []
+    assert sum(got[str(i)].kept for i in range(len(usual))) == len(usual)
+    assert got["repeats"].n_repeat_words == 96 and got["repeats"].n_words == 202
+
+
 ODD = ["", None, " \n\t\x0b\x0c\r ", "a", "a b", "a b c", "a b c a b c", "a a a a", "a a a b a a a",
        "x\ny\nx\n \n \nx ", "\n\n", "#*$ %&| <> ok", "É漢😀 a b \x1c c", "a\n\na\n\n", " lead", "trail ",
        "w1 w2 w3 " * 400, "one two three four " * 30000]
