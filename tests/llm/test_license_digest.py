@@ -41,6 +41,46 @@ def test_whole_texts_and_lines(spark):
     assert got == sorted(want, key=repr)
 
 
+def wrapped(text):
+    return re.sub(r"(.{60}\S*) ", r"\1\n", text.replace("\n", "\n\n"))
+
+
+def test_stock_license_files_as_they_are(spark):
+    """Title line, notice and wrapped text; nothing is taken off first."""
+    prepare(spark)
+    titles = {"MIT": ["MIT License", "The MIT License (MIT)", "The MIT License"], "ISC": ["ISC License", "The ISC License"],
+              "BSD-2-Clause": ["BSD 2-Clause License"], "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License"],
+              "Zlib": ["zlib License", "The zlib/libpng License"], "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD"], "Unlicense": ["The Unlicense"]}
+    notices = ["Copyright (c) 2024 Jane Doe", "Copyright (c) 2017, Some Body\nAll rights reserved.",
+               "Copyright 2011-2024 The First Authors,\nThe Second Authors and\ntheir contributors", "© 2020 X"]
+    rows = []
+    for license_id, names in titles.items():
+        text = L.KNOWN[license_id][1 if license_id == "Unlicense" else 0]
+        for name in names:
+            for notice in notices:
+                rows.append((license_id, f"{name}\n\n{notice}\n\n{wrapped(text)}\n"))
+        rows.append((license_id, "  " + notices[0] + "\n\n" + wrapped(text).upper()))
+    rows.append(("BSD-3-Clause", notices[1] + "\n\n" + wrapped(L.KNOWN["BSD-3-Clause"][0]).replace("1. ", "  * ").replace("2. ", "  * ").replace("3. ", "  * ")))
+    rows += [(None, "MIT License\n\nwith other words"), ("MIT", "The MIT License"), (None, "mit license of mine\n" + wrapped(L.KNOWN["MIT"][0]))]
+    df = spark.createDataFrame([(i, t) for i, (_, t) in enumerate(rows)], "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in L.report(df).collect()}
+    assert [(i, got[i]) for i in got if got[i] != rows[i][0]] == []
+
+
+def test_digests_of_longer_licenses(spark):
+    """Of the system's own copies of the texts, where it has them."""
+    import os
+    folder = "/usr/share/common-licenses"
+    files = {i: f"{folder}/{i.removesuffix('.0') if i[:3] in ('GPL', 'LGP') and i != 'LGPL-2.1' else i}" for i in L.KNOWN_DIGESTS}
+    files = {i: f for i, f in files.items() if os.path.exists(f)}
+    if not files:
+        pytest.skip("no license texts on this system")
+    prepare(spark)
+    rows = [(i, open(f, encoding="utf-8", errors="replace").read()) for i, f in files.items()]
+    df = spark.createDataFrame([*rows, ("none", rows[0][1] + " more")], "doc_id string, text string")
+    assert {r.doc_id: r.license_id for r in L.report(df).collect()} == {**{i: i for i in files}, "none": None}
+
+
 @pytest.mark.parametrize("limit", [0, 100_000])
 def test_own_licenses_joined_either_way(spark, monkeypatch, limit):
     prepare(spark)
