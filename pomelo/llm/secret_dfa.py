@@ -12,7 +12,13 @@ An accepting state names the rules that have a match ending there.  For each
 rule, the match is the leftmost one from the end of the one before: a
 reversed automaton reads back from the first end to the start, a forward one
 reads on to the last end.  This needs rules whose first end belongs to their
-leftmost match, which the tests hold against ``re``.
+leftmost match, which the tests hold against ``re``.  A rule may name what its
+match runs on to (a key block's END line): only its head is in the automaton,
+and from a head found the next run of hyphens is looked up and tested, so an
+open head costs nothing while scanning.
+
+The automata are compiled once, by the driver, and shared with the workers as
+arrays.
 
 Cases: null and empty texts have no spans; offsets count code points, end
 exclusive; equal rows are scanned each on their own; an empty table gives an
@@ -21,30 +27,43 @@ empty result.  A text of any length is scanned in blocks of bounded memory.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pomelo.llm.common import fresh_names
 
 RESET = 0xFF           # stands between texts; no UTF-8 text has it
 CHUNK = 512
+LONG_RUNS = 8          # states, per block, for which a match longer than a chunk is stepped over arrays
+_HYPHENS = re.compile(rb"-*")
 BLOCK = 1 << 20        # bytes scanned at a time
 
 
 @dataclass(frozen=True)
 class Rule:
-    """A kind of secret: its regex, and the least length of the match and of its value."""
+    """A kind of secret: its regex, and the least length of the match and of its value.
+
+    With ``until``, a match of ``head`` extends over all that has no run of five
+    hyphens to the next such run, if ``until`` follows that."""
 
     kind: str
-    pattern: str
+    head: str
     least: int = 1
     least_value: int = 0
+    until: str = ""
+
+    @property
+    def pattern(self) -> str:
+        """The whole match as one regex."""
+        return self.head + (rf"((-{{0,4}}[^-])*-{{5,}}{self.until})?" if self.until else "")
 
 
 # The first three are the base rules; their kinds are listed in this order.
@@ -57,8 +76,8 @@ RULES = (
     Rule("slack", r"xox[abprs]-[A-Za-z0-9-]+", least=20),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", least=40),
     # from the BEGIN line over all that has no run of five hyphens to the END line; without one, the BEGIN line
-    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----"
-                        r"((-{0,4}[^-])*-{5,}END (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----)?"),
+    Rule("private_key", r"-----BEGIN (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----",
+         until=r"END (RSA |EC |DSA |OPENSSH |PGP |ENCRYPTED )?PRIVATE KEY( BLOCK)?-----"),
 )
 BASE_KINDS = ("assign", "access", "hex")
 
@@ -198,6 +217,12 @@ class Dfa:
     next: np.ndarray
     accepts: np.ndarray
 
+    @cached_property
+    def lists(self) -> tuple[list[list[int]], list[int], bytes, int]:
+        """The same for steps of one byte: rows, accepts, classes of bytes, and the state that nothing leaves (or -1)."""
+        stuck = np.flatnonzero((self.accepts == 0) & (self.next == np.arange(len(self.next))[:, None]).all(1))
+        return self.next.tolist(), self.accepts.tolist(), bytes(self.class_of.tolist()), int(stuck[0]) if len(stuck) else -1
+
 
 def compile_rules(patterns: list[str], search: bool, backward: bool = False) -> Dfa:
     """The minimal automaton of all patterns.
@@ -214,14 +239,15 @@ def compile_rules(patterns: list[str], search: bool, backward: bool = False) ->
         starts.append(nfa.state())
         ends[nfa.build(tree, starts[-1], backward)] = r
 
-    def closure(states: set[int]) -> frozenset[int]:
-        todo, seen = list(states), set(states)
+    def closure(state: int) -> int:
+        """What ``state`` reaches by empty edges, as bits."""
+        todo, seen = [state], {state}
         while todo:
             for n in nfa.empty[todo.pop()]:
                 if n not in seen:
                     seen.add(n)
                     todo.append(n)
-        return frozenset(s for s in seen if nfa.edges[s] or s in ends)
+        return sum(1 << s for s in seen if nfa.edges[s] or s in ends)
 
     # bytes that all edges treat alike form one class
     sets = sorted({e[0] for es in nfa.edges for e in es}, key=sorted)
@@ -229,35 +255,48 @@ def compile_rules(patterns: list[str], search: bool, backward: bool = False) ->
     order = {m: i for i, m in enumerate(dict.fromkeys(marks))}
     class_of = np.array([order[m] for m in marks], np.int64)
     of_class = {c: b for b, c in enumerate(class_of.tolist())}
-    first = closure(set(starts))
+    reach = [closure(s) for s in range(len(nfa.edges))]
+    first = 0
+    for s in starts:
+        first |= reach[s]
+    # per state and class, the states after it; a set of states is a number's bits
+    after = [[0] * len(order) for _ in nfa.edges]
+    for s, edges in enumerate(nfa.edges):
+        for on, t in edges:
+            for c, b in of_class.items():
+                if b in on and not (search and b == RESET):
+                    after[s][c] |= reach[t]
     known, todo, table = {first: 0}, [first], []
-    while todo:
-        here = todo.pop(0)
-        row = []
-        for c in range(len(order)):
-            b = of_class[c]
-            to = set(first) if search else set()
-            if not (search and b == RESET):
-                to |= {t for s in here for on, t in nfa.edges[s] if b in on}
-            nxt = closure(to)
+    for here in todo:                                    # grows while it is read
+        row = [first if search else 0] * len(order)
+        while here:
+            low = here & -here
+            row = [a | b for a, b in zip(row, after[low.bit_length() - 1])]
+            here ^= low
+        for nxt in row:
             if nxt not in known:
                 known[nxt] = len(known)
                 todo.append(nxt)
-            row.append(known[nxt])
-        table.append(row)
+        table.append([known[nxt] for nxt in row])
     moves = np.array(table, np.int64)
-    accepts = np.array([sum(1 << ends[s] for s in states if s in ends) for states in known], np.int64)
+    accepts = np.array([sum(1 << r for s, r in ends.items() if states >> s & 1) for states in known], np.int64)
     return Dfa(class_of, *_minimal(moves, accepts))
 
 
 def _minimal(moves: np.ndarray, accepts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """States that no input tells apart become one; the start state stays 0."""
     label = np.unique(accepts, return_inverse=True)[1]
+    # rows are told apart by a 64-bit sum; that no two were taken for one is tested at the end
+    odd = np.random.default_rng(1).integers(0, 1 << 63, moves.shape[1] + 1, np.uint64) * np.uint64(2) + np.uint64(1)
     while True:
-        seen, new = np.unique(np.column_stack([label, label[moves]]), axis=0, return_inverse=True)
+        rows = label.astype(np.uint64) * odd[-1] + (label[moves].astype(np.uint64) * odd[:-1]).sum(1, dtype=np.uint64)
+        seen, new = np.unique(rows, return_inverse=True)
         if len(seen) == label.max() + 1:
             break
         label = new
+    one = np.unique(label, return_index=True)[1]
+    if (label[moves] != label[moves[one[label]]]).any() or (accepts != accepts[one[label]]).any():
+        raise AssertionError("states merged that differ")
     first = np.full(label.max() + 1, len(label))
     np.minimum.at(first, label, np.arange(len(label)))
     rank = np.empty_like(first)
@@ -271,15 +310,16 @@ class Scanner:
 
     def __init__(self, rules: tuple[Rule, ...]):
         self.rules = rules
-        dfa = compile_rules([r.pattern for r in rules], search=True)
+        dfa = compile_rules([r.head for r in rules], search=True)
         self.width = dfa.next.shape[1]
         self.class_of = dfa.class_of.astype(np.int32)
         # states premultiplied by the width, so that state + class is an index
         self.flat = (dfa.next * self.width).astype(np.int32).ravel()
         self.accepts = dfa.accepts
         self.accepting = np.flatnonzero(dfa.accepts)
-        self.forward = [compile_rules([r.pattern], search=False) for r in rules]
-        self.back = [compile_rules([r.pattern], search=False, backward=True) for r in rules]
+        self.forward = [compile_rules([r.head], search=False) for r in rules]
+        self.back = [compile_rules([r.head], search=False, backward=True) for r in rules]
+        self.until = [compile_rules([r.until], search=False) if r.until else None for r in rules]
 
     def states(self, raw: np.ndarray, before: int) -> np.ndarray:
         """State after each byte, from state ``before`` (premultiplied)."""
@@ -289,23 +329,40 @@ class Scanner:
         classes[:n] = self.class_of[raw]
         steps = np.ascontiguousarray(classes.reshape(rows, CHUNK).T)
         out = np.empty((CHUNK, rows), np.int32)
-        state = np.zeros(rows, np.int32)
-        for j in range(CHUNK):
-            state = self.flat[state + steps[j]]
-            out[j] = state
+        self._side_by_side(steps, 0, out)
         out = np.ascontiguousarray(out.T)
         classes = classes.reshape(rows, CHUNK)
+        from_state: dict[int, tuple[int, np.ndarray]] = {}
         for k in range(rows):                 # put right what each chunk's true first state changes
-            j = 0
-            while before != 0 and j < CHUNK:
-                before = int(self.flat[before + classes[k, j]])
-                if before == out[k, j]:
-                    break
-                out[k, j] = before
-                j += 1
+            if before in from_state:
+                at, states = from_state[before]
+                out[k] = states[:, k - at]
+            elif before != 0 and not self._meets(classes[k], before, out[k]) and len(from_state) < LONG_RUNS:
+                # a match that fills a chunk mostly fills more of them: all that follow, begun in its state
+                left = int(out[k, -1])
+                if left not in from_state and k + 1 < rows:
+                    states = np.empty((CHUNK, rows - k - 1), np.int32)
+                    self._side_by_side(steps[:, k + 1:], left, states)
+                    from_state[left] = (k + 1, states)
             before = int(out[k, -1])
         return out.ravel()[:n]
 
+    def _side_by_side(self, steps: np.ndarray, first: int, out: np.ndarray) -> None:
+        """States of all chunks (columns), each begun in state ``first``."""
+        state = np.full(steps.shape[1], first, np.int32)
+        for j in range(CHUNK):
+            state = self.flat[state + steps[j]]
+            out[j] = state
+
+    def _meets(self, classes: np.ndarray, before: int, out: np.ndarray) -> bool:
+        """Step one chunk from ``before`` until its states are those in ``out``; whether that happened."""
+        for j in range(CHUNK):
+            before = int(self.flat[before + classes[j]])
+            if before == out[j]:
+                return True
+            out[j] = before
+        return False
+
     def ends(self, raw: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ends of matches in a byte stream, and the rules (bits) that match there."""
         before, at, masks = 0, [], []
@@ -328,13 +385,20 @@ class Scanner:
                 if start is None:
                     k += 1
                     continue
-                end = _last(self.forward[r], raw, start, len(raw), 1)
+                end = self._extended(r, raw, _last(self.forward[r], raw, start, len(raw), 1))
                 free = end
                 k = int(np.searchsorted(mine, end, side="right"))
                 if end - start >= rule.least and end - value_start(rule, raw, start, end) >= rule.least_value:
                     out.append((start, end, r))
         return sorted(out)
 
+    def _extended(self, r: int, raw: bytes, end: int) -> int:
+        """Where a match whose head ends at ``end`` ends."""
+        if self.until[r] is None or (run := raw.find(b"-----", end)) < 0:
+            return end
+        last = _last(self.until[r], raw, _HYPHENS.match(raw, run).end(), len(raw), 1)
+        return end if last is None else last
+
     def scan(self, texts: list[str]) -> list[list[tuple[int, int, int]]]:
         """Spans of each text, in code points, by start and then rule; texts are scanned together."""
         raws = [t.encode() for t in texts]
@@ -352,23 +416,21 @@ class Scanner:
 
 def _last(dfa: Dfa, raw: bytes, at: int, stop: int, step: int) -> int | None:
     """Reading from ``at`` towards ``stop``, the farthest place where the automaton accepts."""
+    rows, accepts, classes, dead = dfa.lists
     state, found = 0, None
-    dead = _dead(dfa)
     while at != stop:
-        state = dfa.next[state, dfa.class_of[raw[at if step > 0 else at - 1]]]
-        at += step
-        if dfa.accepts[state]:
-            found = at
-        elif state == dead:
-            break
+        ahead = min(4096, abs(stop - at))
+        piece = raw[at:at + ahead] if step > 0 else raw[at - ahead:at][::-1]
+        for c in piece.translate(classes):
+            state = rows[state][c]
+            at += step
+            if accepts[state]:
+                found = at
+            elif state == dead:
+                return found
     return found
 
 
-def _dead(dfa: Dfa) -> int:
-    stuck = np.flatnonzero((dfa.accepts == 0) & (dfa.next == np.arange(len(dfa.next))[:, None]).all(1))
-    return int(stuck[0]) if len(stuck) else -1
-
-
 def value_start(rule: Rule, raw: bytes, start: int, end: int) -> int:
     """Where the value of a match begins: after the sign, spaces and quote of an assignment."""
     if rule.kind != "assign":
@@ -395,10 +457,20 @@ def _code_points(raw: bytes, spans: list[tuple[int, int, int]]) -> list[tuple[in
 
 @lru_cache(maxsize=4)
 def scanner(rules: tuple[Rule, ...]) -> Scanner:
-    """One scanner per worker process and set of rules."""
+    """The scanner of a set of rules, compiled once."""
     return Scanner(rules)
 
 
+@lru_cache(maxsize=4)
+def _shared(app: str, rules: tuple[Rule, ...]) -> Broadcast:
+    """The driver's scanner, for all workers of an application (a few MB of arrays)."""
+    return SparkSession.active().sparkContext.broadcast(scanner(rules))
+
+
+def shared(rules: tuple[Rule, ...]) -> Broadcast:
+    return _shared(SparkSession.active().sparkContext.applicationId, rules)
+
+
 def _groups(texts: list[str], limit: int = BLOCK) -> Iterator[list[str]]:
     """Consecutive texts of about ``limit`` characters together."""
     group, size = [], 0
@@ -415,10 +487,11 @@ def _groups(texts: list[str], limit: int = BLOCK) -> Iterator[list[str]]:
 def spans_of(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """Array of (kind, start, end) of a text's secrets, by start and then as the kinds are listed."""
     kinds = [r.kind for r in rules]
+    ready = shared(rules)
 
     @F.arrow_udf("array<struct<kind: string, start: long, end: long>>")
     def scan(texts: pa.Array) -> pa.Array:
-        one = scanner(rules)
+        one = ready.value
         found = [s for g in _groups([t or "" for t in texts.to_pylist()]) for s in one.scan(g)]
         offsets = np.cumsum([0] + [len(s) for s in found])
         flat = [x for s in found for x in s]
@@ -432,9 +505,11 @@ def spans_of(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
 
 def redacted(text: Column, rules: tuple[Rule, ...] = RULES) -> Column:
     """The text with every secret value replaced by ``[kind]``; what overlaps is replaced together."""
+    ready = shared(rules)
+
     @F.arrow_udf("string")
     def redact(texts: pa.Array) -> pa.Array:
-        one, out = scanner(rules), []
+        one, out = ready.value, []
         for group in _groups([t or "" for t in texts.to_pylist()]):
             for t, spans in zip(group, one.scan(group)):
                 at, parts = 0, []

@@ -136,6 +136,26 @@ def test_nothing_of_a_key_remains_after_the_stage(spark):
     assert got[0] == "é before -\n[private_key]\nafter" and got[len(texts) - 1] == "only [private_key] is named"
 
 
+def test_long_runs_are_not_walked_byte_by_byte(monkeypatch):
+    """A match over many chunks is stepped over arrays; what follows is still exact."""
+    calls = []
+    kept = S.Scanner._meets
+    monkeypatch.setattr(S.Scanner, "_meets", lambda *a: calls.append(kept(*a)) or calls[-1])
+    long = ["password=" + "x" * 300_000 + " token: abcdefgh", "f" * 200_000 + "g secret=0123456", "-----BEGIN PRIVATE KEY-----" + "words " * 100_000,
+            "-----BEGIN PRIVATE KEY-----\n" + "QUJD" * 100_000 + "\n-----END PRIVATE KEY----- AKIA" + "B" * 20]
+    for text in long:
+        calls.clear()
+        assert ONE.scan([text])[0] == plain_spans(text)
+        assert calls.count(False) < 20                 # chunks stepped through to their end
+
+
+def test_compiles_in_moderate_time():
+    import time
+    t = time.perf_counter()
+    one = S.Scanner(S.RULES)
+    assert time.perf_counter() - t < 15 and len(one.accepts) < 10_000
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert S.report(df).count() == 0
