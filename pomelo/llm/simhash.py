@@ -152,8 +152,9 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     Rows of a component whose ids are all null are kept once, too.
     """
     fp, kept_id, kept_fp = fresh_names(docs, "fp", "kept_id", "kept_fp")
-    marked = docs.withColumn(fp, fingerprint_of(F.col(text_col)))
-    prints = checkpointed(marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")))
+    # written with the rows: whole texts are read for their fingerprints once
+    marked = checkpointed(docs.withColumn(fp, fingerprint_of(F.col(text_col))))
+    prints = (marked.select(F.col(id_col).alias("id"), F.col(fp).alias("fp")))
     # the least id of each fingerprint, and how many rows have it; then the least of each component
     first = F.min(F.struct(F.col("id").isNull().alias("none"), F.col("id"), F.col("fp"), F.col("n"))).alias("first")
     nodes = prints.groupBy("id", "fp").agg(F.count(F.lit(1)).alias("n")).groupBy("fp").agg(first)
