@@ -3,6 +3,11 @@
 Alternating large-star and small-star steps: every step is a grouped minimum
 and a join, so no node's neighbours are ever gathered in one place, and the
 edges of a round are written to the shared checkpoint folder.
+
+A hub may have half of all edges.  The edges of a step are distinct by both
+ends, a shuffle that spreads a hub over all tasks; the join with the least
+neighbours then deals both sides out anew, so adaptive execution splits the
+hub (edges that kept the partitioning by node could not be split).
 """
 
 from __future__ import annotations
@@ -14,14 +19,14 @@ from pomelo.llm.common import checkpointed
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
-    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
     return (both.join(least, "a").where(F.col("b") > F.col("a"))
             .select(F.col("b").alias("a"), F.col("m").alias("b")).distinct())
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
+    down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a <> b")
     return moved.union(least.select("a", F.col("m").alias("b"))).distinct()
