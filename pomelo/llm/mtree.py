@@ -15,10 +15,16 @@ inequality allows, and ends when no page can hold anything better.
 Scale: every vector goes to the nearest of a bounded number of pivots (a
 sample by id hash of at most ``PIVOTS``; exactness does not depend on it), and
 a cell is dealt into trees of about ``TREE`` vectors, so no cell or crowd of
-equal vectors fills a task.  Queries first search one tree of their own cell,
-which bounds their k-th score; with that bound, groups of trees and groups of
-queries meet, every query with every tree, both sides of bounded size.  Each
-meeting returns at most k rows per query.
+equal vectors fills a task.  Cells and trees are numbered along a chain of near
+pivots, and queries are put into blocks along it.  A query first searches one
+tree of its own cell, which bounds its k-th score.  With that bound it is held
+against the roots (routing object and covering radius of every tree, one row a
+tree, in blocks) and goes only to the trees that can hold something better; a
+tree goes only to the blocks that ask for it.  Trees and queries meet in groups
+of bounded size, and a meeting returns at most k rows per query.  Where the
+vectors have clusters, what is shuffled grows with the vectors; of vectors
+without any, such as random directions, every ball reaches every query, and
+trees and queries all meet, in blocks.
 
 Cases: vectors that are null or hold null or non-finite components, and rows
 without an id, take no part; of several rows of one id the least vector
@@ -45,14 +51,15 @@ K = 10
 SCALE = 1024
 PAGE = 64               # entries of a node
 TREE = 4096             # vectors of a tree, about
-PIVOTS = 256            # at most so many cells
-GROUP_TREES, GROUP_QUERIES = 4, 256
+PIVOTS = 1024           # at most so many cells
+GROUP_TREES, GROUP_QUERIES = 4, 1024
+GROUP_ROOTS = 4096
 
 
 class Tree:
     """One M-tree in flat arrays."""
 
-    FIELDS = ("ids", "vectors", "extra", "first", "entry", "far", "radius", "child")
+    FIELDS = ("ids", "vectors", "extra", "first", "entry", "far", "radius", "child", "center", "cover")
 
     def __init__(self, **arrays: np.ndarray):
         self.__dict__.update(arrays)
@@ -88,12 +95,15 @@ class Tree:
             nodes[at] = (head, distance(head, parent), np.array(radius), np.array(child))
             return at
 
-        add(np.arange(len(ids)), 0)
+        # the tree's own routing object is the vector nearest to the mean
+        center = int(((whole - whole.mean(0)) ** 2).sum(1).argmin())
+        add(np.arange(len(ids)), center)
         first = np.cumsum([0] + [len(n[0]) for n in nodes])
         entry, far, radius, child = (np.concatenate([n[i] for n in nodes]) for i in range(4))
         small = next((t for t in (np.int16, np.int32) if np.abs(vectors).max(initial=0) <= np.iinfo(t).max), np.int64)
         return cls(ids=ids, vectors=vectors.astype(small), extra=extra, first=first, entry=entry.astype(np.int64),
-                   far=far, radius=radius, child=child.astype(np.int64))
+                   far=far, radius=radius, child=child.astype(np.int64), center=np.int64(center),
+                   cover=distance(np.arange(len(ids)), center).max())
 
     def pack(self) -> bytes:
         out = io.BytesIO()
@@ -108,6 +118,11 @@ class Tree:
         return tree
 
 
+def reach_of(norms, floor):
+    """The distance of a score of ``floor`` from a query, ``norms`` being |q|^2 + M^2; a margin covers rounding."""
+    return np.sqrt(np.maximum(norms - 2.0 * floor, 0.0)) * (1 + 1e-9) + 1e-6
+
+
 def search(trees: list[Tree], own: int, query: np.ndarray, norm: float, k: int, least: int | None) -> list[tuple[int, int]]:
     """The k best ``(score, id)`` of all trees, best first; only scores of ``least`` or more are wanted."""
     norms = int(query @ query) + norm
@@ -121,7 +136,7 @@ def search(trees: list[Tree], own: int, query: np.ndarray, norm: float, k: int,
             return np.inf
         if least is not None:
             floor = max(floor, least)
-        return float(np.sqrt(max(norms - 2.0 * floor, 0.0))) * (1 + 1e-9) + 1e-6
+        return float(reach_of(norms, floor))
 
     queue = [(0.0, next(order), t, 0, None) for t in trees]
     while queue:
@@ -186,19 +201,88 @@ def _nearest(vector: Column, pivots: np.ndarray) -> Column:
     return nearest(vector)
 
 
+def _chain(pivots: np.ndarray) -> list[int]:
+    """The pivots in an order where each is followed by the nearest of the rest."""
+    order, left = [0], np.ones(len(pivots), bool)
+    while len(order) < len(pivots):
+        left[order[-1]] = False
+        far = ((pivots - pivots[order[-1]]) ** 2).sum(1)
+        order.append(int(np.where(left, far, np.inf).argmin()))
+    return order
+
+
+def _query_blocks(counts: dict[int, int], cells: list[int], size: int) -> list[tuple[int, int, int]]:
+    """``(cell, first block, blocks)``: neighbours share a block up to ``size`` queries, a larger cell has several."""
+    out, block, room = [], -1, 0
+    for cell in cells:
+        n = counts.get(cell, 0)
+        if n > size:
+            blocks = -(-n // size)
+            out.append((cell, block + 1, blocks))
+            block, room = block + blocks, 0
+        elif n:
+            if n > room:
+                block, room = block + 1, size
+            out.append((cell, block, 1))
+            room -= n
+    return out
+
+
+def _route(roots: DataFrame, queries: DataFrame, n_trees: int, norm: float) -> DataFrame:
+    """The trees within reach of every query, but for the one it has searched.
+
+    ``(query_id, v, size, least, block, g, numbers)``, a row per group of trees."""
+    shards = -(-n_trees // GROUP_ROOTS)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        rows, groups, numbers = [], [], []
+        if left.num_rows and right.num_rows:
+            number = left.column("number").to_numpy()
+            by_number = np.argsort(number)
+            number = number[by_number]
+            center = _matrix(left.column("center"))[by_number].astype(np.float64)
+            cover = left.column("cover").to_numpy()[by_number]
+            first = np.flatnonzero(np.r_[True, np.diff(number // GROUP_TREES) > 0])
+            whole = _matrix(right.column("v"), center.shape[1]).astype(np.float64)
+            norms = (whole * whole).sum(1) + norm
+            least, head = right.column("least").to_pylist(), right.column("head").to_numpy()
+            for i, q in enumerate(whole):
+                far = np.sqrt(np.maximum(norms[i] - 2.0 * (center @ q), 0.0))
+                use = number != head[i]
+                if least[i] is not None:
+                    use &= far - cover <= reach_of(norms[i], least[i]) + 1e-9 * (far + cover)
+                for part in np.split(number[use], np.searchsorted(np.flatnonzero(use), first[1:])):
+                    if len(part):
+                        rows.append(i)
+                        groups.append(int(part[0]) // GROUP_TREES)
+                        numbers.append(part.tolist())
+        return (right.select(["query_id", "v", "size", "least", "block"]).take(pa.array(rows, pa.int64()))
+                .append_column("g", pa.array(groups, pa.int32()))
+                .append_column("numbers", pa.array(numbers, pa.list_(pa.int32()))))
+
+    sharded = roots.select("number", "center", "cover", F.expr(f"number div {GROUP_ROOTS}").cast("int").alias("shard"))
+    every = F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))
+    asking = queries.select("block").distinct().withColumn("shard", every)
+    left = sharded.join(asking, "shard").select("number", "center", "cover", "shard", F.col("block").alias("block"))
+    return (left.groupBy("shard", "block").cogroup(queries.withColumn("shard", every).groupBy("shard", "block"))
+            .applyInArrow(run, "query_id long, v array<long>, size int, least long, block int, g int, numbers array<int>"))
+
+
 def _meet(trees: DataFrame, queries: DataFrame, keys: list[str], norm: float, k: int) -> DataFrame:
-    """Search of every query in all trees of its group: ``(query_id, vec_id, score)``."""
+    """Search of every query in those trees of its group that it names: ``(query_id, vec_id, score)``."""
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         found = []
         if left.num_rows and right.num_rows:
-            forest = [Tree.unpack(b) for b in left.column("tree").to_pylist()]
+            forest = {n: Tree.unpack(b) for n, b in zip(left.column("number").to_pylist(), left.column("tree").to_pylist())}
             rows = _matrix(right.column("v"))
-            for own, q, n, least in zip(right.column("query_id").to_pylist(), rows, right.column("size").to_pylist(),
-                                        right.column("least").to_pylist()):
-                found += [(own, i, s) for s, i in search(forest, own, q[:n], norm, k, least)]
+            for own, q, n, least, numbers in zip(right.column("query_id").to_pylist(), rows, right.column("size").to_pylist(),
+                                                 right.column("least").to_pylist(), right.column("numbers").to_pylist()):
+                found += [(own, i, s) for s, i in search([forest[t] for t in numbers], own, q[:n], norm, k, least)]
         ids, vecs, scores = (np.array(c, np.int64) for c in (zip(*found) if found else ((), (), ())))
         return pa.table({"query_id": ids, "vec_id": vecs, "score": scores})
 
+    # columns of their own: the blocks that ask come from the queries
+    trees = trees.select(*[F.col(c).alias(c) for c in trees.columns])
     return (trees.groupBy(*keys).cogroup(queries.groupBy(*keys))
             .applyInArrow(run, "query_id long, vec_id long, score long"))
 
@@ -222,10 +306,11 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
     cells = checkpointed(rows.select("id", "v", _nearest(F.col("v"), pivots).alias("cell"),
                                      F.monotonically_increasing_id().alias("at")))
     sizes = cells.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()    # at most PIVOTS rows
+    n_of, chain = {r.cell: r.n for r in sizes}, _chain(pivots)
     deal, at = [], 0
-    for r in sorted(sizes, key=lambda r: r.cell):
-        parts = -(-r.n // tree_rows)
-        deal.append((r.cell, parts, at))
+    for cell in (c for c in chain if c in n_of):
+        parts = -(-n_of[cell] // tree_rows)
+        deal.append((cell, parts, at))
         at += parts
     n_trees = at
     parts = F.broadcast(spark.createDataFrame(deal, "cell int, parts int, before int"))   # at most PIVOTS rows
@@ -234,29 +319,37 @@ def top_k(vectors: DataFrame, queries: Column, id_col: str = "vec_id", vector_co
         v = _matrix(group.column("v"))
         extra = np.sqrt(np.maximum(norm - (v * v).sum(1), 0).astype(np.float64))
         tree = Tree.build(group.column("id").to_numpy(), v, extra)
-        return pa.table({c: group.column(c).slice(0, 1) for c in ("number", "cell", "head")}
-                        | {"tree": pa.array([tree.pack()], pa.binary())})
+        return pa.table({c: group.column(c).slice(0, 1) for c in ("number", "head")}
+                        | {"center": pa.array([v[tree.center]], pa.list_(pa.int64())), "cover": pa.array([float(tree.cover)]),
+                           "tree": pa.array([tree.pack()], pa.binary())})
 
     trees = checkpointed(
         cells.join(parts, "cell")
-        .select("cell", "id", "v", (F.col("before") + (F.col("at") % F.col("parts"))).cast("int").alias("number"),
+        .select("id", "v", (F.col("before") + (F.col("at") % F.col("parts"))).cast("int").alias("number"),
                 F.col("before").alias("head"))
-        .groupBy("number").applyInArrow(build, "number int, cell int, head int, tree binary"))
+        .groupBy("number").applyInArrow(build, "number int, head int, center array<long>, cover double, tree binary"))
+
+    asked = cells.where(queries).join(parts.select("cell", F.col("before").alias("head")), "cell")
+    counts = {r.cell: r.n for r in asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    blocks = F.broadcast(spark.createDataFrame(_query_blocks(counts, chain, GROUP_QUERIES),
+                                               "cell int, start int, blocks int"))           # at most PIVOTS rows
+    asked = checkpointed(asked.join(blocks, "cell").select(
+        F.col("id").alias("query_id"), "v", F.size("v").alias("size"), "head",
+        (F.col("start") + F.pmod(F.xxhash64("id"), F.col("blocks"))).cast("int").alias("block")))
 
-    asked = cells.where(queries).select(F.col("id").alias("query_id"), "v", F.size("v").alias("size"), "cell")
-    n_queries = asked.count()
-    h = -(-max(n_queries, 1) // GROUP_QUERIES)
-    asked = asked.withColumn("h", F.pmod(F.xxhash64("query_id"), F.lit(h)).cast("int"))
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     # one tree of the own cell bounds each query's k-th score
-    home = _meet(trees.where("number = head").select("cell", "tree", every(h).alias("h")),
-                 asked.withColumn("least", F.lit(None).cast("long")), ["cell", "h"], norm, k)
+    heads = asked.select(F.col("head").alias("number"), "block").distinct()
+    home = checkpointed(_meet(
+        trees.select("number", "tree").join(heads, "number"),
+        asked.select("query_id", "v", "size", "block", F.col("head").alias("number"), F.lit(None).cast("long").alias("least"),
+                     F.array("head").alias("numbers")), ["number", "block"], norm, k))
     least = (home.groupBy("query_id").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("score"))
              .select("query_id", F.when(F.col("n") >= k, F.col("score")).alias("least")))
-    bounded = checkpointed(asked.join(least, "query_id", "left"))
-    g = -(-n_trees // GROUP_TREES)
-    found = _meet(trees.select((F.col("number") % g).alias("g"), "tree", every(h).alias("h")),
-                  bounded.withColumn("g", every(g)), ["g", "h"], norm, k)
+    bounded = asked.join(least, "query_id", "left")
+    routed = checkpointed(_route(trees, bounded, n_trees, norm))
+    grouped = trees.select("number", "tree", F.expr(f"number div {GROUP_TREES}").cast("int").alias("g"))
+    away = _meet(grouped.join(routed.select("g", "block").distinct(), "g"), routed, ["g", "block"], norm, k)
+    found = home.unionByName(away)
     ranked = found.selectExpr(
         "query_id", "vec_id", "score",
         "cast(row_number() over (partition by query_id order by score desc, vec_id) as int) as rank")

@@ -78,3 +78,35 @@ def test_few_candidates_and_empty(spark):
     assert M.top_k(df.where("vec_id = 0"), F.col("id") % 100 == 0).count() == 0
     assert M.top_k(df.where("vec_id = 7"), F.col("id") % 100 == 0).count() == 0
     assert M.top_k(df.limit(0), F.col("id") % 100 == 0).count() == 0
+
+
+def test_queries_go_only_to_trees_within_reach(spark, monkeypatch):
+    prepare(spark)
+    rng = np.random.default_rng(11)
+    centers = rng.normal(size=(40, 8))
+    centers /= np.linalg.norm(centers, axis=1)[:, None]
+    v = centers[np.arange(4000) % 40] + rng.normal(size=(4000, 8)) * 0.003
+    v /= np.linalg.norm(v, axis=1)[:, None]
+    rows = [(i, x.tolist()) for i, x in enumerate(v)]
+    routes, route = [], M._route
+
+    def seen(roots, queries, n_trees, norm):
+        out = route(roots, queries, n_trees, norm)
+        routes.append((n_trees, queries.count(), out.selectExpr("sum(size(numbers))").first()[0]))
+        return out
+
+    monkeypatch.setattr(M, "_route", seen)
+    monkeypatch.setattr(M, "GROUP_ROOTS", 16)
+    monkeypatch.setattr(M, "GROUP_QUERIES", 8)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, M.top_k(df, F.col("id") % 20 == 0, tree_rows=50).collect()))
+    assert got == plain(rows, every=20)
+    [(n_trees, n_queries, visits)] = routes
+    assert n_trees >= 80 and n_queries == 200
+    assert visits < 0.2 * n_trees * n_queries
+
+
+def test_blocks_of_queries():
+    got = M._query_blocks({0: 3, 1: 2, 2: 9, 4: 1, 5: 4}, [1, 0, 2, 3, 4, 5], 4)
+    assert got == [(1, 0, 1), (0, 1, 1), (2, 2, 3), (4, 5, 1), (5, 6, 1)]
+    assert M._chain(np.array([[0.0], [5.0], [1.0], [3.0]])) == [0, 2, 3, 1]
