@@ -33,6 +33,19 @@ def test_word_ids_match_the_library_for_every_character_of_the_fast_range():
         assert one.encode(t).tolist() == lib_ids(t)
 
 
+def test_words_are_remembered_within_a_bound(monkeypatch):
+    monkeypatch.setattr(word_bpe, "KNOWN", 50)
+    one, rng = word_bpe.WordBpe(), random.Random(3)
+    for _ in range(400):
+        t = " ".join(rng.choice("the cat's Été 12,000 zqxv hyperparameters".split()) + rng.choice(["", "s", str(rng.randint(0, 999))])
+                     for _ in range(rng.randint(0, 12)))
+        assert one.encode(t).tolist() == lib_ids(t), repr(t)
+        assert len(one.words) <= 50 + 60 and len(one.ends) == len(one.words) + 1
+    long = "x" * 5000 + " a"
+    assert one.encode(long).tolist() == lib_ids(long) == one.encode(long).tolist()
+    assert one.encode("").tolist() == one.encode(" \t").tolist() == []
+
+
 def best_fit_decreasing(lengths, capacity):
     gaps = []
     for s in sorted(lengths, reverse=True):
