@@ -35,8 +35,9 @@ class Chain:
     """Lazy plan of a daily run.
 
     ``materialize=True`` checkpoints the nodes that several later steps read
-    (the item index, the tagged train/predict set, the scored validation
-    set, the prediction set, the merged set) into the shared checkpoint
+    (the top-K items, their distinct entity pairs, the item index, the tagged
+    train/predict set, the scored validation set, the prediction set, the
+    merged set) into the shared checkpoint
     folder — the points where the reference writes a table or caches.
     Multi-output plans (run record, publishing) then read each of them once
     instead of recomputing the whole run per branch, and a lost executor
@@ -85,11 +86,12 @@ class Chain:
 
     @cached_property
     def topk(self) -> DataFrame:
-        return FE.top_k_items(self.items, self.p.top_k)
+        return self._m(FE.top_k_items(self.items, self.p.top_k))
 
     @cached_property
     def pairs(self) -> DataFrame:
-        return FE.topk_pairs(self.tokens, self.topk, self.p.top_k)
+        """Kept: the index and, in a plan of its own, the features read them; the behaviour is exploded once."""
+        return self._m(FE.topk_pairs(self.tokens, self.topk, self.p.top_k))
 
     @cached_property
     def active(self) -> DataFrame:

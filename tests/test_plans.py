@@ -118,6 +118,23 @@ def test_feature_join_broadcasts_only_the_bounded_index(spark):
     assert "TakeOrderedAndProject" in text or "limit" in text.lower()
 
 
+@pytest.mark.parametrize("name", ["hard_auc_accuracy", "score_linear"])
+def test_kept_run_steps_build_behavior_and_top_k_once(spark, name, monkeypatch):
+    """Over all plans that are run for the query: one builds the behaviour, one counts and ranks the items."""
+    plans = []
+    own = type(spark.range(1))
+    kept = own.checkpoint
+
+    def seen(self, *args, **kwargs):
+        plans.append(plan_text(self))
+        return kept(self, *args, **kwargs)
+
+    monkeypatch.setattr(own, "checkpoint", seen)
+    plans.append(plan_text(QUERIES[name](spark, SF_SMALL)))
+    assert sum("partial_collect_list(token" in x for x in plans) == 1
+    assert sum("install_num" in x and "TakeOrderedAndProject" in x for x in plans) == 1
+
+
 def test_scan_prunes_columns_and_pushes_filters(spark, tmp_path):
     c = Chain.from_testdata(spark, SF_SMALL)
     assert "ReadSchema: struct<o_orderkey:bigint,o_custkey:bigint>" in plan_text(c.truth_latest)
