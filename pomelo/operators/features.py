@@ -35,10 +35,10 @@ def item_codes(item_dim: DataFrame, prefix: str = P.CODE_PREFIX) -> DataFrame:
     """P5 + P8 + P10: (item_code = prefix + trimmed id, item_name, install_num).
 
     Items without an id are dropped here, before they could take a top-K slot."""
-    blank = T.java_trim(F.regexp_replace("item_id", "\n", "")) == ""
+    blank = T.java_trim(T.without_newlines("item_id")) == ""
     return item_dim.where(F.col("item_id").isNotNull() & ~blank).select(
         T.add_prefix(prefix, "item_id").alias("item_code"),
-        T.java_trim(F.regexp_replace("item_name", "\n", "")).alias("item_name"),
+        T.java_trim(T.without_newlines("item_name")).alias("item_name"),
         F.col("install_num").cast("bigint").alias("install_num"))
 
 
